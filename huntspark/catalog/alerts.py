@@ -116,6 +116,7 @@ def search_alerts_aggregate(i: Inputs) -> DataFrame:
 @query(
     sql="""select event_id, event_type from events
     where ts >= timestamp '2024-01-13 00:00:00' and ts <= timestamp '2024-01-19 12:00:00'""",
+    name="time_range",
 )
 def time_range_relative(i: Inputs) -> DataFrame:
     now = datetime(2024, 1, 20, tzinfo=timezone.utc)
@@ -226,7 +227,7 @@ def apply_resolution(i: Inputs) -> DataFrame:
     return done.select("id", "status", "resolution_reason")
 
 
-@query("f_alerts", "select id, coalesce(investigation_id, resolution_reason, title) as value from f_alerts")
+@query("f_alerts", "select id, coalesce(investigation_id, resolution_reason, title) as value from f_alerts", name="coalesce_columns")
 def coalesce_first(i: Inputs) -> DataFrame:
     df = i("f_alerts")
     return df.select("id", coalesce_columns(df, ["nope", "investigation_id", "resolution_reason", "title"]).alias("value"))
@@ -293,6 +294,7 @@ def dedup_scalars(i: Inputs) -> DataFrame:
 @query(
     "f_alerts",
     f"with {ATTACHED.strip()} select id, resource_id as event_resource_id, host_id as event_host_id from attached",
+    name="inflate_raw_events",
 )
 def inflate_events(i: Inputs) -> DataFrame:
     return inflate_raw_events(nested_alerts(i)).select(
@@ -356,6 +358,7 @@ def apply_suppression(i: Inputs) -> DataFrame:
     "f_alerts",
     """select id, epoch_us(d)//1000000 as first_second, epoch_us(d)//1000000 + 86399 as last_second
     from (select id, date_trunc('day', make_timestamp(created_at_seconds*1000000)) as d from f_alerts)""",
+    name="day_bounds",
 )
 def day_window(i: Inputs) -> DataFrame:
     day = F.date_format(F.timestamp_seconds("created_at_seconds"), "yyyyMMdd")
@@ -378,3 +381,13 @@ def alert_history(i: Inputs) -> DataFrame:
     history = i("f_alerts").withColumn("alert_id", q("id"))
     return scans.alert_history(history, "a77").select("id", "status", "created_at_seconds")
 
+
+
+@query("f_alerts", "select id, title from f_alerts order by md5(id||':7'), id limit 200")
+def row_sample(i: Inputs) -> DataFrame:
+    return scans.repeatable_sample(i("f_alerts"), 200, "id", seed=7).select("id", "title")
+
+
+@query("f_alerts", "select id, title from f_alerts where regexp_matches(title, '^(cl|vi)')")
+def regex_filter(i: Inputs) -> DataFrame:
+    return ind.regex_filter(i("f_alerts"), "title", "^(cl|vi)").select("id", "title")

@@ -33,24 +33,25 @@ class Inputs:
         return self.spark.sql(text, **used)
 
 
-def query(views: str = "", sql: str | None = None, recursive: bool = False):
-    """Register ``fn(inputs)`` under its name; ``sql`` is the check, with the named views in front of it."""
+def query(views: str = "", sql: str | None = None, recursive: bool = False, name: str | None = None):
+    """Register ``fn(inputs)`` under its own or the given name; ``sql`` is the check, with the named views in front of it."""
 
     def register(fn: Callable[[Inputs], DataFrame]):
-        QUERIES[fn.__name__] = lambda spark, sf_dir: fn(Inputs(spark, sf_dir))
+        key = name or fn.__name__
+        QUERIES[key] = lambda spark, sf_dir: fn(Inputs(spark, sf_dir))
         if sql is not None:
             ctes = []
-            for name in views.split():
-                text = VIEWS[name].replace("{usec}", "epoch_us(ts)")
+            for view in views.split():
+                text = VIEWS[view].replace("{usec}", "epoch_us(ts)")
                 for t in TABLES:
                     text = text.replace("{" + t + "}", t)
-                ctes.append(f"{name} as ({text})")
+                ctes.append(f"{view} as ({text})")
             body = sql.strip()
             if ctes:
                 joiner = ", " if body.lower().startswith("with ") else " "
                 body = body[5:] if joiner == ", " else body
                 body = f"with {'recursive ' if recursive else ''}{', '.join(ctes)}{joiner}{body}"
-            ORACLES[fn.__name__] = body
+            ORACLES[key] = body
         return fn
 
     return register

@@ -70,7 +70,7 @@ def classify_indicator(value: Column, fqdn: bool = False) -> Column:
 
 def extract_indicators(text: Column, kind: str) -> Column:
     """Distinct indicators of one kind in a whole text, as an array."""
-    check = {"ip": lambda v: v.rlike(IPV4), "domain": is_domain, "hash": is_hash}[kind]
+    check = {"ip": lambda v: v.rlike(IPV4), "domain": lambda v: is_domain(v), "hash": is_hash}[kind]
     found = F.regexp_extract_all(text, F.lit(TEXT_PATTERNS[kind]), F.lit(0))
     return F.array_distinct(F.filter(found, check))
 

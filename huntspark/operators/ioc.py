@@ -13,7 +13,6 @@ from huntspark.functions.fixed import DOMAIN_COLUMNS, HASH_COLUMNS, IP_COLUMNS
 from huntspark.functions.indicators import is_domain, is_hash, is_ip_address, logical
 from huntspark.functions.names import q, require
 from huntspark.operators.inflate import inflate_raw_events, lookup_first_environment
-from huntspark.plans.joins import split_hot_join
 
 LOGICALS = {"ip": IP_COLUMNS, "domain": DOMAIN_COLUMNS, "hash": HASH_COLUMNS}
 SEARCHES: dict[str, Callable[[Column], Column]] = {"domain": is_domain, "hash": is_hash, "ip": is_ip_address}
@@ -165,13 +164,15 @@ def publication_matches(df: DataFrame, publications: DataFrame, id_column: str)
 def get_ti_pubs(df: DataFrame, publications: DataFrame, id_column: str) -> DataFrame:
     """``tips.found``, ``tips.indicators`` (matching indicators) and ``tips.publications`` (their publications) per row.
 
-    Publications are counted per indicator before the join.
+    Publications are counted per indicator before the join, so an indicator has one row on that side; where it fills
+    the other side, adaptive execution splits it.
     """
     per_indicator = publications.groupBy(F.col("indicator").alias("__i")).agg(
         F.count_distinct("publication_id").alias("__pubs")
     )
-    matches = publication_matches(df, publications, id_column)
-    joined = split_hot_join(matches, per_indicator, [("indicator", "__i")])
+    arrays = [q(c) for c in df.columns if c.startswith("logicals.")]
+    held = df.select(q(id_column), F.explode(F.array_distinct(F.flatten(F.array(*arrays)))).alias("indicator"))
+    joined = held.distinct().join(per_indicator, F.col("indicator") == F.col("__i"))
     per_row = joined.groupBy(q(id_column).alias("__row")).agg(
         F.count("*").alias("__indicators"), F.sum("__pubs").alias("__publications")
     )

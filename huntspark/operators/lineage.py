@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from huntspark.functions.names import q, require
@@ -11,6 +11,7 @@ from huntspark.plans.lineage_cut import cut
 
 HOST, KEY, PARENT, OPTIONAL = "host_id", "process_correlation_id", "parent_correlation_id", "resource_id"
 KEYS = [HOST, KEY]
+MAX_DEPTH = 1 << 16
 LINEAGE, CHILDREN, PARENT_INFO = "process_info.process_lineage", "process_info.process_children", "process_info.parent"
 
 
@@ -36,15 +37,7 @@ def unmatched_rate(df: DataFrame, column: str, by: list[str]) -> DataFrame:
     )
 
 
-def _edges(processes: DataFrame) -> DataFrame:
-    """(host, node, parent) of the processes whose parent is known; a process is listed once."""
-    listed = processes.groupBy(q(HOST).alias("host"), q(KEY).alias("node")).agg(F.min(q(PARENT)).alias("anc"))
-    known = listed.select(F.col("host").alias("__h"), F.col("node").alias("__n"))
-    linked = split_hot_join(listed, known, [("host", "__h"), ("anc", "__n")])
-    return linked.select("host", "node", "anc")
-
-
-def ancestors(processes: DataFrame, keys: DataFrame, max_depth: int = 1 << 16) -> DataFrame:
+def ancestors(processes: DataFrame, keys: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     """(host_id, process_correlation_id, steps, ancestor) for every key, the process itself being 0 steps away.
 
     Pointer jumping: table k leads 2**k steps up and is made from table k - 1 joined to itself, so a chain of depth d
@@ -52,33 +45,41 @@ def ancestors(processes: DataFrame, keys: DataFrame, max_depth: int = 1 << 16) -
     two in exactly one way, hence applying the tables from long to short adds every ancestor once, and only for the
     keys that were asked for. A parent with very many children is split.
     """
+    # a process that is listed twice has one parent
+    nodes = cut(processes.groupBy(q(HOST).alias("host"), q(KEY).alias("node")).agg(F.min(q(PARENT)).alias("anc")))
+    size = nodes.count()
+    known = nodes.select(F.col("host").alias("__h"), F.col("node").alias("__n"))
+    linked = split_hot_join(nodes, known, [("host", "__h"), ("anc", "__n")], at_most=size)
+    table = cut(linked.select("host", "node", "anc"))
     jumps = []
-    table = cut(_edges(processes))
     while not table.isEmpty():
         if 1 << len(jumps) > max_depth:
             raise ValueError(f"a chain is longer than {max_depth} steps; parents run in a circle")
         jumps.append(table)
-        further = table.select(F.col("host").alias("__h"), F.col("node").alias("__n"), F.col("anc").alias("__a"))
-        table = cut(
-            split_hot_join(table, further, [("host", "__h"), ("anc", "__n")]).select("host", "node", F.col("__a").alias("anc"))
-        )
-    known = processes.select(q(HOST).alias("__h"), q(KEY).alias("__n")).distinct()
+        table = cut(_up(table, table, size).select("host", "node", F.col("__a").alias("anc")))
+
     start = keys.select(q(HOST).alias("host"), q(KEY).alias("key")).distinct()
     reached = start.join(known, (F.col("host") == F.col("__h")) & (F.col("key") == F.col("__n")), "left_semi")
     reached = reached.select("host", "key", F.lit(0).cast("bigint").alias("steps"), F.col("key").alias("anc"))
     for level in reversed(range(len(jumps))):
-        jump = jumps[level].select(F.col("host").alias("__h"), F.col("node").alias("__n"), F.col("anc").alias("__a"))
-        more = split_hot_join(reached, jump, [("host", "__h"), ("anc", "__n")]).select(
+        more = _up(reached, jumps[level], size).select(
             "host", "key", (F.col("steps") + (1 << level)).alias("steps"), F.col("__a").alias("anc")
         )
         reached = cut(reached.unionByName(more))
+        size *= 2
     return reached.select(
         F.col("host").alias(HOST), F.col("key").alias(KEY), "steps", F.col("anc").alias("ancestor")
     )
 
 
+def _up(rows: DataFrame, jump: DataFrame, at_most: int) -> DataFrame:
+    """``rows`` whose ancestor can be left by ``jump``, with the ancestor it leads to as ``__a``."""
+    target = jump.select(F.col("host").alias("__h"), F.col("node").alias("__n"), F.col("anc").alias("__a"))
+    return split_hot_join(rows, target, [("host", "__h"), ("anc", "__n")], at_most=at_most)
+
+
 def lookup_lineage(
-    df: DataFrame, processes: DataFrame, max_unmatched: float | None = None, max_depth: int = 1 << 16
+    df: DataFrame, processes: DataFrame, max_unmatched: float | None = None, max_depth: int = MAX_DEPTH
 ) -> DataFrame:
     """One row per step of each process's ancestor chain, farthest ancestor first, ending with the process.
 
@@ -86,17 +87,15 @@ def lookup_lineage(
     required key or with an unknown process keep one row without lineage.
     """
     chain = ancestors(processes, lineage_keys(df), max_depth)
-    depth = chain.groupBy(HOST, KEY).agg(F.max("steps").alias("__depth")).select(
-        F.col(HOST).alias("__dh"), F.col(KEY).alias("__dk"), "__depth"
-    )
-    steps = split_hot_join(chain, depth, [(HOST, "__dh"), (KEY, "__dk")]).select(
+    depth = F.max("steps").over(Window.partitionBy(HOST, KEY))  # a group is one chain, at most max_depth rows
+    steps = chain.select(
         F.col(HOST).alias("__host"),
         F.col(KEY).alias("__key"),
         F.col("ancestor").alias(LINEAGE),
-        (F.col("__depth") - F.col("steps")).alias(LINEAGE + ".index"),
+        (depth - F.col("steps")).alias(LINEAGE + ".index"),
     )
-    out = expand_left_join(df, steps, [(HOST, "__host"), (KEY, "__key")]).drop("__host", "__key")
-    return assert_max_unmatched(out, LINEAGE, max_unmatched) if max_unmatched is not None else out
+    out = split_hot_join(df, steps, [(HOST, "__host"), (KEY, "__key")], "left").drop("__host", "__key")
+    return out if max_unmatched is None else assert_max_unmatched(out, LINEAGE, max_unmatched)
 
 
 def lookup_children(df: DataFrame, processes: DataFrame) -> DataFrame:

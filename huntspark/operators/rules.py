@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from huntspark.functions.names import q
 from huntspark.plans.joins import split_hot_join
+from huntspark.plans.lineage_cut import cut
 
 # Keys of a suppression filter.
 KEYS = ("alert_title", "detector", "entity")
@@ -94,6 +95,7 @@ def matching_alerts(
         .distinct()
         .withColumn("rule", F.to_json("filters"))
     )
+    rules = cut(rules)
     plain = rules.where(F.exists("filters", lambda f: ~f["inverted"]))
     inverted = rules.where(~F.exists("filters", lambda f: ~f["inverted"]))
 
@@ -101,7 +103,7 @@ def matching_alerts(
     tagged = held.select("__id", F.explode("__values").alias("v")).select("__id", "v.key", "v.value")
     each = rules.select("rule", F.explode("filters").alias("f")).select("rule", "f.key", "f.pattern", "f.inverted")
     per_value = tagged.groupBy("key", "value").agg(F.count("*").alias("__alerts"))
-    matches = pattern_matches(per_value, each).withColumnsRenamed({"key": "__k", "value": "__v"})
+    matches = cut(pattern_matches(per_value, each)).withColumnsRenamed({"key": "__k", "value": "__v"})
     frequency = (
         per_value.join(matches, (F.col("key") == F.col("__k")) & (F.col("value") == F.col("__v")))
         .groupBy(F.col("key").alias("__fk"), F.col("pattern").alias("__fp"))
@@ -129,23 +131,23 @@ def matching_alerts(
     )
     by_plain = split_hot_join(in_row.drop("__value"), candidates, [("__vk", "__k"), ("__vv", "__v")]).where(holds)
 
-    n_inverted = inverted.agg(F.count("*").alias("__total"))
-    blocked = inverted.select("rule", F.explode("filters").alias("f")).select("rule", "f.key", "f.pattern")
-    hit_values = matches.join(
-        blocked.withColumnsRenamed({"key": "__bk", "pattern": "__bp"}),
-        (F.col("__k") == F.col("__bk")) & (F.col("pattern") == F.col("__bp")),
-    ).select("__k", "__v", "rule").distinct()
-    blocked_per_alert = (
-        split_hot_join(tagged, hit_values, [("key", "__k"), ("value", "__v")])
-        .groupBy("__id")
-        .agg(F.count_distinct("rule").alias("__blocked"))
-    )
-    total = n_inverted.first()["__total"]  # one number
-    free = blocked_per_alert.where(F.col("__blocked") == total).select(F.col("__id").alias("__free"))
     out = by_plain.select(F.col("__id").alias(id_column))
+    total = inverted.count()
     if total:
-        unblocked = held.join(free, F.col("__id") == F.col("__free"), "left_anti").select(F.col("__id").alias(id_column))
-        out = out.unionByName(unblocked)
+        blocked = inverted.select("rule", F.explode("filters").alias("f")).select("rule", "f.key", "f.pattern")
+        hit_values = matches.join(
+            blocked.withColumnsRenamed({"key": "__bk", "pattern": "__bp"}),
+            (F.col("__k") == F.col("__bk")) & (F.col("pattern") == F.col("__bp")),
+        ).select("__k", "__v", "rule").distinct()
+        free = (
+            split_hot_join(tagged, hit_values, [("key", "__k"), ("value", "__v")])
+            .groupBy("__id")
+            .agg(F.count_distinct("rule").alias("__blocked"))
+            .where(F.col("__blocked") == total)
+            .select(F.col("__id").alias("__free"))
+        )
+        unblocked = held.join(free, F.col("__id") == F.col("__free"), "left_anti")
+        out = out.unionByName(unblocked.select(F.col("__id").alias(id_column)))
     return out.distinct()
 
 

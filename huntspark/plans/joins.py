@@ -1,8 +1,7 @@
 """Join shapes that hold when one key owns a third of all rows.
 
 No side is ever forced into a broadcast by size hope: Spark broadcasts a side itself once its measured size is under
-``spark.sql.autoBroadcastJoinThreshold`` (adaptive execution re-checks at run time). The only ``broadcast`` hints
-here are on the heavy-hitter table, which has at most ``TOP`` rows by construction.
+``spark.sql.autoBroadcastJoinThreshold`` (adaptive execution re-checks at run time).
 """
 
 from __future__ import annotations
@@ -16,6 +15,7 @@ from pyspark.sql import types as T
 from huntspark.functions.names import q
 
 TOP = 64  # heavy hitters looked for
+TRACKED = 1024  # keys the sketch of a task may hold
 HOT_ROWS = 1_000_000  # rows from which a key is worth splitting
 SALTS = 32  # parts a hot key is split into
 
@@ -31,14 +31,15 @@ def all_present(names: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [q(n).isNotNull() for n in names])
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Hashes of the keys with at least about ``hot_rows`` rows; at most ``TOP`` rows, from one bounded sketch.
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> list[int]:
+    """Hashes of the keys with at least about ``hot_rows`` rows, from a bounded sketch: at most ``TOP`` numbers.
 
-    A wrong guess costs speed only: keys that are not listed simply are not split.
+    One job over the key columns. The answer becomes part of the plan, so both sides of a join always agree on it; a
+    key the sketch misses is joined like any other.
     """
-    hashed = df.where(all_present(keys)).select(F.xxhash64(*[q(k) for k in keys]).alias("__hot"))
-    items = hashed.agg(F.expr(f"approx_top_k(__hot, {TOP})").alias("top")).select(F.explode("top").alias("t"))
-    return items.where(F.col("t.count") >= hot_rows).select(F.col("t.item").alias("__hot"))
+    hashed = df.where(all_present(keys)).select(F.xxhash64(*[q(k) for k in keys]).alias("__h"))
+    top = hashed.agg(F.expr(f"approx_top_k(__h, {TOP}, {TRACKED})").alias("top")).select(F.explode("top").alias("t"))
+    return [r["h"] for r in top.where(F.col("t.count") >= hot_rows).select(F.col("t.item").alias("h")).collect()]
 
 
 def _row_hash(df: DataFrame) -> Column:
@@ -46,33 +47,40 @@ def _row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[q(c) for c in usable])
 
 
-def _mark(df: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
-    return df.withColumn("__join_hash", F.xxhash64(*[q(k) for k in keys])).join(
-        F.broadcast(hot), F.col("__join_hash") == F.col("__hot"), "left"
-    )
-
-
 def split_hot_join(
     many: DataFrame,
     few: DataFrame,
     pairs: list[tuple[str, str]],
+    how: str = "inner",
+    at_most: int | None = None,
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
-    """Inner equi join in which the hot keys of ``many`` are spread over ``salts`` tasks.
+    """Equi join (inner, or left with ``many`` kept) in which the hot keys of ``many`` are spread over ``salts`` tasks.
 
-    ``pairs`` names the key columns as (many, few). Rows of a hot key get a salt from their own content, so a task that
-    is run again salts them the same way; the matching rows of ``few`` are copied once per salt, all others once.
+    ``pairs`` names the key columns as (many, few). Without hot keys this is the plain join; ``at_most`` is a known
+    bound on the rows of ``many`` that can make the search for them unnecessary. Otherwise a row of a hot key gets a
+    salt from its own content, so a task that is run again salts it the same way; the rows of ``few`` with a hot key
+    are copied once per salt, all others stand once. Kept rows without a key are salted too: they match nothing.
     """
     many_keys, few_keys = [m for m, _ in pairs], [f for _, f in pairs]
-    many = many.where(all_present(many_keys))
+    if how == "inner":
+        many = many.where(all_present(many_keys))
     few = few.where(all_present(few_keys))
-    hot = hot_keys(many, many_keys, hot_rows)
-    salt = F.when(F.col("__hot").isNull(), F.lit(0)).otherwise(F.pmod(_row_hash(many), F.lit(salts)).cast("int"))
-    left = _mark(many, many_keys, hot).withColumn("__many_part", salt).drop("__join_hash", "__hot")
-    copies = F.when(F.col("__hot").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.lit(salts - 1)))
-    right = _mark(few, few_keys, hot).withColumn("__few_part", F.explode(copies)).drop("__join_hash", "__hot")
-    joined = left.join(right, on_keys(left, right, pairs) & (F.col("__many_part") == F.col("__few_part")))
+    hot = [] if at_most is not None and at_most < hot_rows else hot_keys(many, many_keys, hot_rows)
+    if not hot:
+        return many.join(few, on_keys(many, few, pairs), how)
+
+    def is_hot(keys: list[str]) -> Column:
+        return F.xxhash64(*[q(k) for k in keys]).isin(hot)
+
+    salt = F.pmod(_row_hash(many), F.lit(salts)).cast("int")
+    left = many.withColumn(
+        "__many_part", F.when(is_hot(many_keys) | ~all_present(many_keys), salt).otherwise(F.lit(0))
+    )
+    copies = F.when(is_hot(few_keys), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    right = few.withColumn("__few_part", F.explode(copies))
+    joined = left.join(right, on_keys(left, right, pairs) & (F.col("__many_part") == F.col("__few_part")), how)
     return joined.drop("__many_part", "__few_part")
 
 
@@ -85,7 +93,7 @@ def expand_left_join(
     the unmatched ones from an anti join against the distinct keys. ``pairs`` names (few, many).
     """
     flipped = [(m, f) for f, m in pairs]
-    matched = split_hot_join(many, few, flipped, hot_rows, salts).select(
+    matched = split_hot_join(many, few, flipped, hot_rows=hot_rows, salts=salts).select(
         *[q(c) for c in few.columns], *[q(c) for c in many.columns]
     )
     keys = many.select(*[q(m).alias(f"__{m}") for _, m in pairs]).distinct()

@@ -4,16 +4,12 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder and read back: it survives the loss of executors.
-
-    The folder is the one the session names in ``spark.checkpoint.dir``. Only where none is named, and only in local
-    mode, a temporary one is made.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the session names in ``spark.checkpoint.dir``; only where none is named, and only in local mode, a
+    temporary one."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -22,4 +18,10 @@ def cut(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a shared folder")
             folder = tempfile.mkdtemp(prefix="huntspark-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder and read back: it survives the loss of executors."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -203,6 +203,11 @@ def read_network_ranges(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).schema(schema).csv(path)
 
 
+def network_ranges(networks: DataFrame, tenant: str) -> DataFrame:
+    return networks.where(q("tenant_id").cast("string") == tenant)
+
+
 def repeatable_sample(df: DataFrame, n: int, id_column: str, seed: int = 0) -> DataFrame:
     """``n`` rows in an order fixed by the id and the seed."""
-    return df.orderBy(F.xxhash64(q(id_column).cast("string"), F.lit(seed)), q(id_column)).limit(n)
+    shuffled = F.md5(F.concat(q(id_column).cast("string"), F.lit(f":{seed}")).cast("binary"))
+    return df.orderBy(shuffled, q(id_column)).limit(n)
