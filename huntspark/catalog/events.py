@@ -206,11 +206,12 @@ def pivot_detectionfinding(i: Inputs) -> DataFrame:
 
 @query(
     "f_processes f_http",
-    f"""with {SEEN.strip()} select event_id from f_http e where exists (select 1 from seen s where s.tenant_id = '4'
-      and s.tenant_id = e.tenant_id and (s.sensor_type is null or s.sensor_type = e.sensor_type))""",
+    """with busy as (select distinct tenant_id, sensor_type from f_processes where value > 200)
+    select event_id from f_http e where exists (select 1 from busy s
+      where s.tenant_id = e.tenant_id and (s.sensor_type is null or s.sensor_type = e.sensor_type))""",
 )
 def pivot_with_map(i: Inputs) -> DataFrame:
-    rows = seen(i).where("tenant_id = '4'").select(q("tenant_id").alias("customer"), q("sensor_type").alias("sensor"))
+    rows = i("f_processes").where("value > 200").selectExpr("tenant_id as customer", "sensor_type as sensor")
     return process.process_pivot_http(rows, i("f_http"), {"customer": "tenant_id", "sensor": "sensor_type"}).select("event_id")
 
 

@@ -86,9 +86,10 @@ def rule_search(i: Inputs) -> DataFrame:
 
 @query(
     "f_rules",
-    """select rule_id, 'alert_title' as key, title_pattern as pattern, title_inverted as inverted from f_rules where rule_id % 4 > 0
-    union all select rule_id, 'entity', entity_pattern, false from f_rules where rule_id % 4 > 0
-    union all select rule_id, null, null, null from f_rules where rule_id % 4 = 0""",
+    """select rule_id, 'alert_title' as key, title_pattern as pattern, if(title_inverted, 'true', 'false') as inverted
+    from f_rules where rule_id % 4 > 0
+    union all select rule_id, 'entity', entity_pattern, 'false' from f_rules where rule_id % 4 > 0
+    union all select rule_id, null, null, '' from f_rules where rule_id % 4 = 0""",
 )
 def inflate_filters(i: Inputs) -> DataFrame:
     nested = i("f_rules").selectExpr(
@@ -97,7 +98,10 @@ def inflate_filters(i: Inputs) -> DataFrame:
              struct('entity' as key, entity_pattern as pattern, false as inverted)), null) as filters""",
     )
     return inflate.inflate_filters(nested).select(
-        "rule_id", q("filters.key").alias("key"), q("filters.pattern").alias("pattern"), q("filters.inverted").alias("inverted")
+        "rule_id",
+        q("filters.key").alias("key"),
+        q("filters.pattern").alias("pattern"),
+        F.coalesce(q("filters.inverted").cast("string"), F.lit("")).alias("inverted"),
     )
 
 

@@ -71,8 +71,11 @@ def classify_indicator(value: Column, fqdn: bool = False) -> Column:
 def extract_indicators(text: Column, kind: str) -> Column:
     """Distinct indicators of one kind in a whole text, as an array."""
     check = {"ip": lambda v: v.rlike(IPV4), "domain": lambda v: is_domain(v), "hash": is_hash}[kind]
-    found = F.regexp_extract_all(text, F.lit(TEXT_PATTERNS[kind]), F.lit(0))
-    return F.array_distinct(F.filter(found, check))
+    found = F.array_distinct(F.filter(F.regexp_extract_all(text, F.lit(TEXT_PATTERNS[kind]), F.lit(0)), check))
+    if kind != "domain":
+        return found
+    # a word pattern is slow to fail on plain prose; no domain stands without a dot and two letters behind it
+    return F.when(text.rlike(r"\.[A-Za-z]{2}"), found).otherwise(F.when(text.isNotNull(), F.array().cast("array<string>")))
 
 
 # List predicates -------------------------------------------------------------------------------------------------

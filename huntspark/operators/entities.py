@@ -12,33 +12,35 @@ FIELD, VALUE = "x_entities_field", "x_entities_value"
 
 
 def _logical_type(kind: Column) -> Column:
-    pairs = [F.lit(x) for logical, names in ENTITY_TYPES.items() for n in names for x in (n, logical)]
-    return F.element_at(F.create_map(*pairs), kind)
+    out = F.lit(None).cast("string")
+    for logical, names in reversed(ENTITY_TYPES.items()):
+        out = F.when(kind.isin(names), logical).otherwise(out)
+    return out
 
 
 def _entity(text: Column) -> Column:
-    """``type:value`` as a (field, value) struct, null where the type has no logical type or there is no value."""
-    parts = F.split(text, ":", 2)
-    field = _logical_type(F.get(parts, F.lit(0)))
-    value = F.get(parts, F.lit(1))
-    return F.when(
-        field.isNotNull() & value.isNotNull(), F.struct(field.alias("field"), value.alias("value"))
-    )
+    """``type:value`` as a (field, value) struct; without a known type or without a colon a part of it is null."""
+    kind = F.substring_index(text, ":", 1)
+    value = F.when(F.contains(text, F.lit(":")), F.substr(text, F.length(kind) + 2))
+    return F.struct(_logical_type(kind).alias("field"), value.alias("value"))
 
 
 def entity_set(column: Column) -> Column:
     """The distinct logical entities of one alert, sorted."""
-    return F.array_sort(F.array_distinct(F.array_compact(F.transform(column, _entity))))
+    known = F.filter(F.transform(column, _entity), lambda e: e["field"].isNotNull() & e["value"].isNotNull())
+    return F.array_sort(F.array_distinct(known))
 
 
-def normalize_entities(df: DataFrame, column: str = "entities.entities") -> DataFrame:
-    """One row per distinct (alert id, field, value). Alerts without known entities contribute nothing.
+def entity_rows(df: DataFrame, column: str = "entities.entities") -> DataFrame:
+    """One row per listed entity with a logical type, duplicates included."""
+    rows = df.withColumn("__entity", F.explode(q(column))).withColumn("__e", _entity(F.col("__entity")))
+    rows = rows.withColumns({FIELD: F.col("__e.field"), VALUE: F.col("__e.value")}).drop("__entity", "__e")
+    return rows.dropna(subset=[FIELD, VALUE])
 
-    Duplicates inside an alert are removed inside its row; the shuffle only meets repeated alert ids.
-    """
-    rows = df.withColumn("__e", F.explode(entity_set(q(column))))
-    rows = rows.withColumns({FIELD: F.col("__e.field"), VALUE: F.col("__e.value")}).drop("__e")
-    return rows.dropDuplicates(["id", FIELD, VALUE])
+
+def normalize_entities(df: DataFrame, column: str = "entities.entities") -> DataFrame:
+    """One row per distinct (alert id, field, value). Alerts without known entities contribute nothing."""
+    return entity_rows(df, column).dropDuplicates(["id", FIELD, VALUE])
 
 
 def keep_logical_type(df: DataFrame, field: str) -> DataFrame:

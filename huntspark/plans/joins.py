@@ -53,13 +53,15 @@ def split_hot_join(
     pairs: list[tuple[str, str]],
     how: str = "inner",
     at_most: int | None = None,
+    hot: list[int] | None = None,
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
     """Equi join (inner, or left with ``many`` kept) in which the hot keys of ``many`` are spread over ``salts`` tasks.
 
     ``pairs`` names the key columns as (many, few). Without hot keys this is the plain join; ``at_most`` is a known
-    bound on the rows of ``many`` that can make the search for them unnecessary. Otherwise a row of a hot key gets a
+    bound on the rows of ``many`` that can make the search for them unnecessary, ``hot`` the answer of ``hot_keys`` on
+    something cheaper than ``many``. Otherwise a row of a hot key gets a
     salt from its own content, so a task that is run again salts it the same way; the rows of ``few`` with a hot key
     are copied once per salt, all others stand once. Kept rows without a key are salted too: they match nothing.
     """
@@ -67,7 +69,8 @@ def split_hot_join(
     if how == "inner":
         many = many.where(all_present(many_keys))
     few = few.where(all_present(few_keys))
-    hot = [] if at_most is not None and at_most < hot_rows else hot_keys(many, many_keys, hot_rows)
+    if hot is None:
+        hot = [] if at_most is not None and at_most < hot_rows else hot_keys(many, many_keys, hot_rows)
     if not hot:
         return many.join(few, on_keys(many, few, pairs), how)
 
