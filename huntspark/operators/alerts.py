@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from huntspark.functions.names import DERIVED, first_present, flatten_struct, q, tenant_id_column
-from huntspark.plans.joins import lookup_join
+from huntspark.plans.joins import broadcast_if_small, lookup_join
 from huntspark.plans.numbering import number_within
 
 
@@ -61,6 +61,7 @@ def get_alerts_from_aggregation(
     if not keys:
         raise ValueError("the frame has no aggregate columns")
     wanted = df.select(*[q(c).cast("string").alias(f"__{i}") for i, c in enumerate(keys)]).distinct()
+    wanted = broadcast_if_small(wanted)
     rows = reduce(lambda d, condition: d.where(condition), additional or [], alerts)
     match = reduce(
         lambda a, b: a & b,

@@ -62,10 +62,13 @@ def third_party_map(column: Column) -> Column:
     return F.map_from_entries(F.transform(last, lambda p: F.struct(p["key"], p["value"])))
 
 
-def map_keys_of(df: DataFrame, column: str) -> list[str]:
-    """Distinct keys of a map column. Runs one job; what reaches the driver are the future column names."""
-    keys = df.select(F.explode(F.map_keys(q(column))).alias("k")).distinct().orderBy("k")
-    return [r.k for r in keys.toLocalIterator()]
+def map_keys_of(df: DataFrame, column: str, most: int = 5000) -> list[str]:
+    """Distinct keys of a map column, one job. They become column names; more than ``most`` are refused, not cut."""
+    keys = df.select(F.explode(F.map_keys(q(column))).alias("k")).distinct()
+    names = [r.k for r in keys.limit(most + 1).collect()]
+    if len(names) > most:
+        raise ValueError(f"more than {most} keys; keep the map or name the keys you need")
+    return sorted(names)
 
 
 def inflate_third_party_details(df: DataFrame, keys: list[str] | None = None) -> DataFrame:

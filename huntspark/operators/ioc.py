@@ -13,6 +13,7 @@ from huntspark.functions.fixed import DOMAIN_COLUMNS, HASH_COLUMNS, IP_COLUMNS
 from huntspark.functions.indicators import is_domain, is_hash, is_ip_address, logical
 from huntspark.functions.names import q, require
 from huntspark.operators.inflate import inflate_raw_events, lookup_first_environment
+from huntspark.plans.joins import broadcast_if_small
 
 LOGICALS = {"ip": IP_COLUMNS, "domain": DOMAIN_COLUMNS, "hash": HASH_COLUMNS}
 SEARCHES: dict[str, Callable[[Column], Column]] = {"domain": is_domain, "hash": is_hash, "ip": is_ip_address}
@@ -43,8 +44,9 @@ def ioc_sweep(
 
     ``events`` has ``event_type``, ``tenant_id``, ``date`` and one array ``logicals.<type>`` per logical type. The
     window is the ``days`` + 1 days that end the day before ``as_of``. ``tenants`` (``id``) restricts the sweep.
-    An event counts once per value. Events are cut down to the indicators before they are counted, and the counting is
-    partial in every task, so an indicator found in a third of all events is not a hot spot.
+    An event counts once per value. The indicators are measured and, if they are few enough, sent to the events, which
+    then are not shuffled at all; counting is partial in every task, so an indicator found in a third of all events is
+    not a hot spot.
     """
     first, last = as_of - timedelta(days=days + 1), as_of - timedelta(days=1)
     window = events.where(q("date").between(F.lit(first), F.lit(last)))
@@ -66,7 +68,9 @@ def ioc_sweep(
     found = window.select("event_type", "date", "tenant_id", F.explode(held).alias("h")).select(
         "event_type", "date", "tenant_id", F.col("h.value").alias("matching_value"), F.col("h.kind").alias("logical_type")
     )
-    wanted = iocs.select(F.col("value").alias("__value"), F.col("logical_type").alias("__kind")).distinct()
+    wanted = broadcast_if_small(
+        iocs.select(F.col("value").alias("__value"), F.col("logical_type").alias("__kind")).distinct()
+    )
     hits = found.join(
         wanted, (F.col("matching_value") == F.col("__value")) & (F.col("logical_type") == F.col("__kind")), "left_semi"
     )

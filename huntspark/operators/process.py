@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from huntspark.functions.fixed import PIVOT_COLUMNS
 from huntspark.functions.names import prefix_columns, q
-from huntspark.plans.joins import expand_left_join
+from huntspark.plans.joins import BROADCAST_BYTES, expand_left_join
+from huntspark.plans.lineage_cut import cut
 
 NETFLOW = "netflow."
 
@@ -54,23 +55,26 @@ def pivot(df: DataFrame, events: DataFrame, columns: dict[str, str]) -> DataFram
     ``columns`` maps columns of ``df`` to columns of ``events``. A null is a wildcard, which as one join condition
     would need a nested loop. Instead the distinct rows are told apart by which columns they have; each kind is a plain
     equi join that sets a flag, and an event stays if any flag is set. There are at most 2**n - 1 kinds; one small job
-    finds those that occur.
+    finds those that occur and their sizes, and kinds that are small enough together are broadcast.
     """
     sources = list(columns)
     keys = df.select(*[q(c).cast("string").alias(f"k{i}") for i, c in enumerate(sources)])
     mask = reduce(
         lambda a, b: a + b, [F.when(F.col(f"k{i}").isNotNull(), 1 << i).otherwise(0) for i in range(len(sources))]
     )
-    keys = keys.withColumn("mask", mask).where("mask > 0").distinct()
-    masks = sorted(r["mask"] for r in keys.select("mask").distinct().collect())  # at most 2**n - 1 numbers
+    keys = cut(keys.withColumn("mask", mask).where("mask > 0").distinct())
+    size = F.sum(F.octet_length(F.concat_ws("", *[f"k{i}" for i in range(len(sources))])) + 16 * len(sources))
+    masks = {r["mask"]: r["size"] for r in keys.groupBy("mask").agg(size.alias("size")).collect()}  # at most 2**n - 1
     if not masks:
         raise ValueError(f"no row has a value in any of {sources}")
     out = events
-    for m in masks:
+    for m in sorted(masks):
         used = [i for i in range(len(sources)) if m & (1 << i)]
         kind = keys.where(F.col("mask") == m).select(
             *[F.col(f"k{i}").alias(f"__{m}_{i}") for i in used], F.lit(True).alias(f"__hit{m}")
         )
+        if masks[m] <= BROADCAST_BYTES // len(masks):
+            kind = F.broadcast(kind)
         condition = reduce(
             lambda a, b: a & b,
             [out["`" + columns[sources[i]] + "`"].cast("string") == kind[f"__{m}_{i}"] for i in used],

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from huntspark.functions.names import q
-from huntspark.plans.joins import split_hot_join
+from huntspark.plans.joins import hot_of_counts, split_hot_join
 from huntspark.plans.lineage_cut import cut
 
 # Keys of a suppression filter.
@@ -102,7 +102,8 @@ def matching_alerts(
     held = alerts.select(q(id_column).alias("__id"), _values(alerts, title, detector, entities).alias("__values"))
     tagged = held.select("__id", F.explode("__values").alias("v")).select("__id", "v.key", "v.value")
     each = rules.select("rule", F.explode("filters").alias("f")).select("rule", "f.key", "f.pattern", "f.inverted")
-    per_value = tagged.groupBy("key", "value").agg(F.count("*").alias("__alerts"))
+    per_value = cut(tagged.groupBy("key", "value").agg(F.count("*").alias("__alerts")))
+    hot = hot_of_counts(per_value, ["key", "value"], "__alerts")
     matches = cut(pattern_matches(per_value, each)).withColumnsRenamed({"key": "__k", "value": "__v"})
     frequency = (
         per_value.join(matches, (F.col("key") == F.col("__k")) & (F.col("value") == F.col("__v")))
@@ -129,7 +130,9 @@ def matching_alerts(
     holds = F.expr(
         "forall(filters, f -> exists(__values, v -> v.key = f.key and v.value rlike f.pattern) <> f.inverted)"
     )
-    by_plain = split_hot_join(in_row.drop("__value"), candidates, [("__vk", "__k"), ("__vv", "__v")]).where(holds)
+    by_plain = split_hot_join(
+        in_row.drop("__value"), candidates, [("__vk", "__k"), ("__vv", "__v")], hot=hot
+    ).where(holds)
 
     out = by_plain.select(F.col("__id").alias(id_column))
     total = inverted.count()
@@ -140,7 +143,7 @@ def matching_alerts(
             (F.col("__k") == F.col("__bk")) & (F.col("pattern") == F.col("__bp")),
         ).select("__k", "__v", "rule").distinct()
         free = (
-            split_hot_join(tagged, hit_values, [("key", "__k"), ("value", "__v")])
+            split_hot_join(tagged, hit_values, [("key", "__k"), ("value", "__v")], hot=hot)
             .groupBy("__id")
             .agg(F.count_distinct("rule").alias("__blocked"))
             .where(F.col("__blocked") == total)

@@ -1,7 +1,7 @@
 """Join shapes that hold when one key owns a third of all rows.
 
-No side is ever forced into a broadcast by size hope: Spark broadcasts a side itself once its measured size is under
-``spark.sql.autoBroadcastJoinThreshold`` (adaptive execution re-checks at run time).
+Spark broadcasts a side by itself where the files show it is small, and adaptive execution where a shuffle did, but then
+the large side is shuffled already. ``broadcast_if_small`` measures a derived side first. Nothing else is hinted.
 """
 
 from __future__ import annotations
@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from huntspark.functions.names import q
+from huntspark.plans.lineage_cut import cut
 
+BROADCAST_BYTES = 64 << 20  # largest side that is sent to every executor
 TOP = 64  # heavy hitters looked for
 TRACKED = 1024  # keys the sketch of a task may hold
 HOT_ROWS = 1_000_000  # rows from which a key is worth splitting
@@ -27,6 +29,16 @@ def on_keys(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) ->
     return reduce(lambda a, b: a & b, [side(left, lk) == side(right, rk) for lk, rk in pairs])
 
 
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df``, computed and written once, with a broadcast hint if its rows as text take at most ``limit`` bytes.
+
+    Beyond that it is a plain side that Spark shuffles.
+    """
+    kept = cut(df)
+    size = kept.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return F.broadcast(kept) if size <= limit else kept
+
+
 def all_present(names: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [q(n).isNotNull() for n in names])
 
@@ -42,6 +54,12 @@ def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> list[i
     return [r["h"] for r in top.where(F.col("t.count") >= hot_rows).select(F.col("t.item").alias("h")).collect()]
 
 
+def hot_of_counts(counts: DataFrame, keys: list[str], count: str, hot_rows: int = HOT_ROWS) -> list[int]:
+    """The same from rows that are counted per key already."""
+    top = counts.where(all_present(keys) & (q(count) >= hot_rows)).orderBy(F.desc(count)).limit(TOP)
+    return [r["h"] for r in top.select(F.xxhash64(*[q(k) for k in keys]).alias("h")).collect()]
+
+
 def _row_hash(df: DataFrame) -> Column:
     usable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     return F.xxhash64(*[q(c) for c in usable])

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from huntspark.functions.names import q, require
 from huntspark.functions.times import time_range
 from huntspark.operators.alerts import aggregate_count
+from huntspark.plans.joins import broadcast_if_small
 
 EVENT_ROWS = 100_000
 SEARCH_ROWS = 10_000
@@ -73,7 +74,7 @@ def search_events(
 def rows_by_id(df: DataFrame, ids: list[str] | DataFrame, column: str = "resource_id") -> DataFrame:
     """Rows with one of the ids: a short list becomes ``IN``, a frame of ids (its first column) a semi join."""
     if isinstance(ids, DataFrame):
-        wanted = ids.select(q(ids.columns[0]).alias("__id")).distinct()
+        wanted = broadcast_if_small(ids.select(q(ids.columns[0]).alias("__id")).distinct())
         return df.join(wanted, df["`" + column + "`"] == wanted["__id"], "left_semi")
     return df.where(q(column).isin(list(ids)))
 
