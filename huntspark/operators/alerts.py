@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import re
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from huntspark.functions.names import DERIVED, first_present, flatten_struct, q, tenant_id_column
+from huntspark.functions.severity import severity_rounded_and_category
+from huntspark.functions.times import convert_alert_timestamps, time_range
+from huntspark.operators.inflate import inflate_raw_events
 from huntspark.plans.joins import broadcast_if_small, lookup_join
 from huntspark.plans.numbering import number_within
 
@@ -51,18 +55,22 @@ def get_alerts_from_aggregation(
     alerts: DataFrame,
     additional: list[Column] | None = None,
     limit: int | None = None,
+    earliest: str | None = None,
+    latest: str | None = None,
+    time_column: str = "metadata.created_at.seconds",
+    now: datetime | None = None,
 ) -> DataFrame:
     """The alerts behind aggregate rows: equal in every column but ``count`` and those that start with a digit.
 
-    Values are compared as text and a missing value equals nothing. Time bounds belong to ``alerts``
-    (``huntspark.functions.times.time_range``), further conditions to ``additional``.
+    Values are compared as text and a missing value equals nothing; ``additional`` holds further conditions.
     """
     keys = [c for c in df.columns if c != "count" and re.match("[^0-9]", c)]
     if not keys:
         raise ValueError("the frame has no aggregate columns")
     wanted = df.select(*[q(c).cast("string").alias(f"__{i}") for i, c in enumerate(keys)]).distinct()
     wanted = broadcast_if_small(wanted)
-    rows = reduce(lambda d, condition: d.where(condition), additional or [], alerts)
+    rows = time_range(alerts, time_column, earliest, latest, now) if earliest or latest else alerts
+    rows = reduce(lambda d, condition: d.where(condition), additional or [], rows)
     match = reduce(
         lambda a, b: a & b,
         [rows["`" + c + "`"].cast("string") == wanted[f"__{i}"] for i, c in enumerate(keys)],
@@ -108,10 +116,6 @@ def triage(alerts: DataFrame, detectors: DataFrame) -> DataFrame:
 
     One lazy chain; the only shuffles are the small detector lookup and the final count.
     """
-    from huntspark.functions.severity import severity_rounded_and_category
-    from huntspark.functions.times import convert_alert_timestamps
-    from huntspark.operators.inflate import inflate_raw_events
-
     chain = (
         flatten_struct(alerts, max_level=3)
         .transform(inflate_raw_events)

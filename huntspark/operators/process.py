@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from huntspark.functions.fixed import PIVOT_COLUMNS
 from huntspark.functions.names import prefix_columns, q
+from huntspark.functions.times import time_range
 from huntspark.plans.joins import BROADCAST_BYTES, expand_left_join
 from huntspark.plans.lineage_cut import cut
 
@@ -31,15 +33,21 @@ def split_correlation_id(column: Column) -> Column:
 
 
 def process_correlate_netflow(
-    df: DataFrame, netflow: DataFrame, process_column: str = "process_correlation_id"
+    df: DataFrame,
+    netflow: DataFrame,
+    process_column: str = "process_correlation_id",
+    earliest: str | None = None,
+    time_column: str = "event_time_usec",
+    now: datetime | None = None,
 ) -> DataFrame:
     """Left join to the network flows of the same process; their columns get the prefix ``netflow.``.
 
-    ``netflow`` has ``host_id``, ``processcorrelationid.pid`` and ``processcorrelationid.timewindow`` (dotted) and is
-    already restricted in time. A process may own very many flows, so hot processes are split.
+    ``netflow`` has ``host_id``, ``processcorrelationid.pid`` and ``processcorrelationid.timewindow`` (dotted);
+    ``earliest`` (``1d``) looks at recent flows only. A process may own very many flows, so hot processes are split.
     """
     if process_column not in df.columns or NETFLOW + "process_correlation_id" in df.columns:
         return df
+    netflow = time_range(netflow, time_column, earliest, now=now) if earliest else netflow
     key = correlation_key(
         q("host_id"), q("processcorrelationid.pid"), q("processcorrelationid.timewindow").cast("string")
     )
@@ -84,7 +92,16 @@ def pivot(df: DataFrame, events: DataFrame, columns: dict[str, str]) -> DataFram
     return out.where(any_hit).select(*[q(c) for c in events.columns])
 
 
-def _pivot_to(df: DataFrame, events: DataFrame, table: str, pivot_map: dict[str, str] | None) -> DataFrame:
+def _pivot_to(
+    df: DataFrame,
+    events: DataFrame,
+    table: str,
+    pivot_map: dict[str, str] | None,
+    earliest: str | None = None,
+    time_column: str = "event_time_usec",
+    now: datetime | None = None,
+) -> DataFrame:
+    events = time_range(events, time_column, earliest, now=now) if earliest else events
     if pivot_map is not None:
         missing = [c for c in pivot_map if c not in df.columns]
         if missing or not pivot_map:
@@ -96,19 +113,25 @@ def _pivot_to(df: DataFrame, events: DataFrame, table: str, pivot_map: dict[str,
     return pivot(df, events, {c: c for c in shared})
 
 
-def process_pivot_netflow(df: DataFrame, netflow: DataFrame, pivot_map: dict[str, str] | None = None) -> DataFrame:
-    return _pivot_to(df, netflow, "netflow", pivot_map)
+def process_pivot_netflow(
+    df: DataFrame, netflow: DataFrame, pivot_map: dict[str, str] | None = None, **recent
+) -> DataFrame:
+    """Flows that match any row of ``df`` on the shared columns, or on those of ``pivot_map``.
+
+    ``recent``: ``earliest`` (``1d``), ``time_column`` and ``now`` restrict the events in time, here and below.
+    """
+    return _pivot_to(df, netflow, "netflow", pivot_map, **recent)
 
 
-def process_pivot_http(df: DataFrame, http: DataFrame, pivot_map: dict[str, str] | None = None) -> DataFrame:
-    return _pivot_to(df, http, "http", pivot_map)
+def process_pivot_http(df: DataFrame, http: DataFrame, pivot_map: dict[str, str] | None = None, **recent) -> DataFrame:
+    return _pivot_to(df, http, "http", pivot_map, **recent)
 
 
-def process_pivot_auth(df: DataFrame, auth: DataFrame, pivot_map: dict[str, str] | None = None) -> DataFrame:
-    return _pivot_to(df, auth, "auth", pivot_map)
+def process_pivot_auth(df: DataFrame, auth: DataFrame, pivot_map: dict[str, str] | None = None, **recent) -> DataFrame:
+    return _pivot_to(df, auth, "auth", pivot_map, **recent)
 
 
 def process_pivot_detectionfinding(
-    df: DataFrame, findings: DataFrame, pivot_map: dict[str, str] | None = None
+    df: DataFrame, findings: DataFrame, pivot_map: dict[str, str] | None = None, **recent
 ) -> DataFrame:
-    return _pivot_to(df, findings, "detectionfinding", pivot_map)
+    return _pivot_to(df, findings, "detectionfinding", pivot_map, **recent)

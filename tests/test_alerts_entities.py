@@ -138,6 +138,9 @@ def test_alerts_from_aggregation(spark):
     assert rows(alerts.get_alerts_from_aggregation(groups, alerts_df), "id") == [(1,), (4,)]
     assert rows(alerts.get_alerts_from_aggregation(groups, alerts_df, [F.col("n") > 5]), "id") == [(4,)]
     assert alerts.get_alerts_from_aggregation(groups, alerts_df, limit=1).count() == 1
+    timed = alerts_df.withColumn("metadata.created_at.seconds", F.col("id"))
+    late = alerts.get_alerts_from_aggregation(groups, timed, earliest="1970-01-01T00:00:02Z", latest="1970-01-01T00:01:00Z")
+    assert rows(late, "id") == [(4,)]
     with pytest.raises(ValueError):
         alerts.get_alerts_from_aggregation(groups.select("count"), alerts_df)
 

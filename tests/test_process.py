@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import itertools
 import random
+from datetime import datetime, timezone
 
 import pytest
 from conftest import rows
@@ -18,6 +19,9 @@ def test_correlate_netflow(spark):
     )
     out = process.process_correlate_netflow(df, flows)
     assert rows(out, "id", "netflow.id") == sorted([(1, 7), (1, 8), (2, None), (3, 7), (3, 8), (4, None)], key=repr)
+    timed = flows.withColumn("event_time_usec", F.when(F.col("id") == 7, 0).otherwise(1704153600000000))
+    recent = process.process_correlate_netflow(df, timed, earliest="1d", now=datetime(2024, 1, 2, tzinfo=timezone.utc))
+    assert rows(recent, "id", "netflow.id") == sorted([(1, 8), (2, None), (3, 8), (4, None)], key=repr)
     assert process.process_correlate_netflow(out, flows) is out
     assert process.process_correlate_netflow(df.select("id"), flows).columns == ["id"]
     empty = process.process_correlate_netflow(df, flows.limit(0))
