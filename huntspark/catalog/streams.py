@@ -18,8 +18,7 @@ from huntspark.streaming import streams as op
 
 
 def source(i: Inputs, table: str) -> DataFrame:
-    reader = i.spark.readStream.schema(i.table(table).schema).option("pathGlobFilter", f"{table}.parquet")
-    return reader.parquet(i.sf_dir)
+    return i.spark.readStream.schema(i.table(table).schema).parquet(f"{i.sf_dir}/{table}.parque[t]")  # a file or a folder
 
 
 def event_stream(i: Inputs) -> DataFrame:

@@ -65,7 +65,8 @@ def ancestors(processes: DataFrame, keys: DataFrame, max_depth: int = MAX_DEPTH)
         more = _up(reached, jumps[level], size).select(
             "host", "key", (F.col("steps") + (1 << level)).alias("steps"), F.col("__a").alias("anc")
         )
-        reached = cut(reached.unionByName(more))
+        reached = reached.unionByName(more)
+        reached = cut(reached) if level else reached  # the last one is read once
         size *= 2
     return reached.select(
         F.col("host").alias(HOST), F.col("key").alias(KEY), "steps", F.col("anc").alias("ancestor")

@@ -1,8 +1,9 @@
-"""Reliable checkpoints for iterative plans."""
+"""Tables in the shared folder that cut the lineage of iterative plans."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +23,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder and read back: it survives the loss of executors."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` written as a table to the shared checkpoint folder and read back.
+
+    It survives the loss of executors, is computed once however often it is used, is read by column, and its size is
+    known to the planner.
+    """
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
