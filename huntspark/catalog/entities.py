@@ -14,7 +14,8 @@ entity as (select id, '@user' as field, substr(entity1, 10) as value, title, sta
     entity3||','||entity2||','||entity1 as entities from f_alerts
   union all select id, '@ip', substr(entity2, 17), title, status, investigation_id, resolution_reason,
     entity3||','||entity2||','||entity1 from f_alerts)"""
-SEED = "seed as (select field, value, arg_min(title, id) as title from entity group by all)"
+SEED = """seed as (select value, field, title from entity
+  qualify row_number() over (partition by value order by id, field, title) = 1)"""
 
 
 def flat(i: Inputs) -> DataFrame:
@@ -34,7 +35,7 @@ def normalize_entities(i: Inputs) -> DataFrame:
 
 @query(
     "f_alerts",
-    f"""with {ENTITY.strip()} select distinct a.field, a.value, b.field as related_field, b.value as related_value
+    f"""with {ENTITY.strip()} select distinct a.value, b.field as related_field, b.value as related_value
     from entity a join entity b on a.id = b.id and a.value <> b.value""",
 )
 def relate_entities(i: Inputs) -> DataFrame:
@@ -43,14 +44,14 @@ def relate_entities(i: Inputs) -> DataFrame:
 
 @query(
     "f_alerts",
-    f"""with {ENTITY.strip()}, rel as (select distinct a.field, a.value, b.field as rf, b.value as rv
+    f"""with {ENTITY.strip()}, rel as (select distinct a.value, b.field as rf, b.value as rv
       from entity a join entity b on a.id = b.id and a.value <> b.value)
-    select field, value, count(*) filter (rf = '@ip') as related_ip, count(*) filter (rf = '@user') as related_user
+    select value, count(*) filter (rf = '@ip') as related_ip, count(*) filter (rf = '@user') as related_user
     from rel group by all""",
 )
 def relation_counts(i: Inputs) -> DataFrame:
     counts = entities.relation_counts(entities.relate_entities(flat(i)))
-    return counts.select("field", "value", "related_ip", "related_user")
+    return counts.select("value", "related_ip", "related_user")
 
 
 @query("f_alerts", f"with {ENTITY.strip()} select field, value, count(distinct id) as alerts from entity group by all")

@@ -48,9 +48,9 @@ def keep_logical_type(df: DataFrame, field: str) -> DataFrame:
 
 
 def relate_entities(df: DataFrame, column: str = "entities.entities") -> DataFrame:
-    """Which values appear together in an alert: (field, value, related_field, related_value), each once.
+    """Which values appear together in an alert: (value, related_field, related_value), each once.
 
-    Long form on purpose: a value that is everywhere is related to most others, and such a list does not fit a row.
+    A value is the same entity whichever fields it appears in. Long form on purpose: a value that is everywhere is related to most others, and such a list does not fit a row.
     The entities of an alert stand in its row, so no join is needed; alerts with the same entities are merged first
     and only distinct relations reach the last shuffle.
     """
@@ -59,7 +59,6 @@ def relate_entities(df: DataFrame, column: str = "entities.entities") -> DataFra
     return (
         pairs.where(F.col("o.value") != F.col("e.value"))
         .select(
-            F.col("e.field").alias("field"),
             F.col("e.value").alias("value"),
             F.col("o.field").alias("related_field"),
             F.col("o.value").alias("related_value"),
@@ -73,7 +72,7 @@ def relation_counts(relations: DataFrame) -> DataFrame:
     per_type = [
         F.count_if(F.col("related_field") == name).alias("related_" + name.strip("@")) for name in ENTITY_TYPES
     ]
-    return relations.groupBy("field", "value").agg(*per_type)
+    return relations.groupBy("value").agg(*per_type)
 
 
 def entity_alerts(df: DataFrame, column: str = "entities.entities") -> DataFrame:

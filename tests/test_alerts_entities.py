@@ -19,6 +19,7 @@ def flat(spark):
         ("a5", "T1", "OPEN", None, "i1", ["userName:u1"]),
         ("a6", "T1", "OPEN", None, None, None),
         ("a7", "T2", "CLOSED", "ok", None, ["md5:abc", "sourceIpAddress:1.1.1.1"]),
+        ("a9", "T9", "OPEN", None, None, ["hostName:abc", "domain:other.org"]),
         ("a8", "T2", "OPEN", None, None, ["odd", "unknownType:x"]),
     ]
     return spark.createDataFrame(
@@ -42,13 +43,13 @@ def test_normalize_entities(flat):
     got = rows(entities.normalize_entities(flat), "id", entities.FIELD, entities.VALUE)
     assert got == want
     assert ("a4", "@domain", "ex.org:8080") in got
-    assert entities.keep_logical_type(entities.normalize_entities(flat), "@host").count() == 1
+    assert entities.keep_logical_type(entities.normalize_entities(flat), "@host").count() == 2
 
 
 def test_relate_entities_against_brute_force(flat):
     want = set()
     for es in python_entities(flat).values():
-        want |= {(*a, *b) for a, b in itertools.permutations(es, 2) if a[1] != b[1]}
+        want |= {(a[1], *b) for a, b in itertools.permutations(es, 2) if a[1] != b[1]}
     relations = entities.relate_entities(flat)
     assert rows(relations) == sorted(want)
     counts = {r.value: r.asDict() for r in entities.relation_counts(relations).collect()}
@@ -76,12 +77,16 @@ def test_contexts_against_brute_force(flat, two_hop):
     seed = context.seeds(entities.normalize_entities(flat))
     relations = entities.relate_entities(flat)
     terms = context.related_terms(seed, relations) if two_hop else context.own_terms(seed)
-    wanted = {}
+    wanted, firsts = {}, {}
+    for _, es in sorted(python_entities(flat).items()):
+        for e in es:
+            firsts.setdefault(e[1], e)
     for es in python_entities(flat).values():
         for e in es:
-            wanted.setdefault(e, {e})
+            first = firsts[e[1]]
+            wanted.setdefault(first, {first})
             if two_hop:
-                wanted[e] |= {o for o in es if o[1] != e[1]}
+                wanted[first] |= {o for o in es if o[1] != e[1]}
     got = rows(context.context_resolved(flat, terms))
     assert got == brute_context(flat, wanted, lambda r: r.status != "OPEN", lambda r: (r["metadata.title"], r.status, r.resolution_reason))
     got = rows(context.context_investigations(flat, terms))
