@@ -50,7 +50,8 @@ def keep_logical_type(df: DataFrame, field: str) -> DataFrame:
 def relate_entities(df: DataFrame, column: str = "entities.entities") -> DataFrame:
     """Which values appear together in an alert: (value, related_field, related_value), each once.
 
-    A value is the same entity whichever fields it appears in. Long form on purpose: a value that is everywhere is related to most others, and such a list does not fit a row.
+    A value is the same entity whichever fields it appears in. Long form on purpose: a value that is everywhere is
+    related to most others, and such a list does not fit a row.
     The entities of an alert stand in its row, so no join is needed; alerts with the same entities are merged first
     and only distinct relations reach the last shuffle.
     """
