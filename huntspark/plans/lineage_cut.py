@@ -2,22 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the session names in ``spark.checkpoint.dir``; only where none is named, and only in local mode, a
-    temporary one."""
+    """The folder the session names in ``spark.checkpoint.dir``; where none is named, one in the session's warehouse,
+    which a cluster shares as well. Never a temporary folder of one machine."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="huntspark-checkpoint-")
+            folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
         context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
