@@ -8,8 +8,9 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check import normal
+from huntspark.catalog import ORACLES, QUERIES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -22,19 +23,19 @@ def duck():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_sql(spark, duck, name):
-    df = queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
-    cursor = duck.execute(oracle_sql()[name])
+    cursor = duck.execute(ORACLES[name])
     columns = [d[0] for d in cursor.description]
     assert sorted(columns) == sorted(df.columns)
     assert normal(df.collect(), df.columns) == normal(cursor.fetchall(), columns)
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
@@ -42,7 +43,7 @@ def test_entry(spark):
 
 
 def test_filters_reach_the_scan(spark):
-    plan = queries()["search_alerts_aggregate"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES["search_alerts_aggregate"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "html" not in plan and "props" not in plan
-    pushed = queries()["time_range"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    pushed = QUERIES["time_range"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in pushed
