@@ -106,8 +106,9 @@ def filter_urls(pages: DataFrame, block_rules: DataFrame, rules=RULES) -> DataFr
     judged = pages.select("page_id", "url", host.alias("host"), path.alias("path")).select(
         "page_id", "host", "path", explicit_rule(F.col("host"), F.col("path"), rules).alias("own"), "url"
     )
-    judged = judged.withColumn("tokens", F.when(F.col("own").isNull(), F.coalesce(url_tokens(F.col("url")), F.array())))
-    sets = judged.where(F.col("own").isNull()).select("tokens").distinct()
+    ruled = judged.where(F.col("own").isNotNull())
+    open_ = judged.where(F.col("own").isNull()).withColumn("tokens", F.coalesce(url_tokens(F.col("url")), F.array()))
+    sets = open_.select("tokens").distinct()
     uses = sets.select(F.explode("tokens").alias("token")).groupBy("token").count()
     rarest = (
         block_rules.select("antecedent", F.explode("antecedent").alias("token"))
@@ -125,13 +126,9 @@ def filter_urls(pages: DataFrame, block_rules: DataFrame, rules=RULES) -> DataFr
         .distinct()
         .withColumn("mined", F.lit("block"))
     )
-    return judged.join(blocked, "tokens", "left").select(
-        "page_id",
-        "host",
-        "path",
-        F.col("own.rule").alias("rule"),
-        F.coalesce("own.verdict", "mined", F.lit("allow")).alias("verdict"),
-    )
+    mined = open_.join(blocked, "tokens", "left").withColumn("verdict", F.coalesce("mined", F.lit("allow")))
+    ruled = ruled.select("page_id", "host", "path", "own.rule", "own.verdict")
+    return ruled.unionByName(mined.select("page_id", "host", "path", F.lit(None).cast("string").alias("rule"), "verdict"))
 
 
 def label_urls(pages: DataFrame, labels: DataFrame) -> DataFrame:
