@@ -14,9 +14,11 @@ File format: Parquet rows, one per shard, in ascending doc_id order by (part, se
 from __future__ import annotations
 
 import os
+import re
 import sys
 import types
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,9 @@ SHARD_TOKENS = 1 << 20
 LEAST = 8  # uses of a pair that make it a rule
 PER_ROUND = 4096  # pairs replaced at once
 WORDS = 300_000  # distinct words whose ids a worker keeps
+TEXTS = 4 << 20  # characters encoded at once
+LOT = 500  # words that are encoded as one string
+LETTERS_END = 0x250  # letters beyond Latin go the longer way
 SHARD = "part int, seq int, n_tokens long, doc_ids array<{id}>, rules binary, lengths binary, symbols binary, offsets binary"
 
 
@@ -51,6 +56,14 @@ class Words(dict):
         return n
 
 
+def byte_alphabet() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: itself where it can be seen, else the next from
+    256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = iter(range(256, 512))
+    return [chr(b if b in seen else next(hidden)) for b in range(256)]
+
+
 class Encoder:
     """Whole texts to ids with a byte-level tokenizer file of the tokenizers library.
 
@@ -66,22 +79,40 @@ class Encoder:
         self.whole = Tokenizer.from_file(path)
         self.whole.encode_special_tokens = True
         self.vocab = self.whole.get_vocab_size()
-        # a space and letters are one pre-token: no pattern is needed to find it
-        self.single = Tokenizer.from_file(path)
-        self.single.encode_special_tokens = True
-        self.single.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # words of letters need no pattern: in the vocabulary's byte alphabet they are split at spaces only
+        self.plain = Tokenizer.from_file(path)
+        self.plain.encode_special_tokens = True
+        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.sizes = np.array([len(t) for t, _ in sorted(self.whole.get_vocab().items(), key=lambda x: x[1])], np.int64)
+        alphabet = byte_alphabet()
+        self.table = {k: "".join(alphabet[b] for b in chr(k).encode()) for k in range(LETTERS_END)}
+        self.space = alphabet[32]
+        self.table |= {ord("\n"): f" {self.space}", ord("."): " .", ord(","): " ,"}
+        self.letters = re.compile(rf"[^\W\d_{chr(LETTERS_END)}-\U0010ffff]+[.,]?").fullmatch
         self.words, self.limit = Words(), limit
         self.flat, self.start, self.size = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
 
-    def _of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        out: list = [None] * len(words)
-        plain = [k for k, w in enumerate(words) if w.isascii() and w.isalpha()]
-        other = [k for k, w in enumerate(words) if not (w.isascii() and w.isalpha())]
-        for tool, of in ((self.single, plain), (self.whole, other)):
-            for k, e in zip(of, tool.encode_batch_fast([" " + words[k] for k in of], add_special_tokens=False)):
-                out[k] = e.ids
-        sizes = np.fromiter(map(len, out), np.int64, len(out))
-        return np.fromiter((i for x in out for i in x), np.uint32, int(sizes.sum())), sizes
+    def _of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of ``words``, each with a space before it; where those of a word start, and how many they are."""
+        simple = np.fromiter((self.letters(w) is not None for w in words), bool, len(words))
+        plain = [words[k] for k in np.flatnonzero(simple)]
+        counts, flats = np.zeros(len(words), np.int64), []
+        if plain:
+            lots = [self.space + "\n".join(plain[k : k + LOT]).translate(self.table) for k in range(0, len(plain), LOT)]
+            flats.append(np.concatenate([np.array(e.ids, np.uint32) for e in self.plain.encode_batch_fast(lots, add_special_tokens=False)]))
+            ends = np.cumsum([1 + (len(w) if w.isascii() else len(w.encode())) for w in plain])
+            upto = np.searchsorted(np.cumsum(self.sizes[flats[0]]), ends) + 1
+            counts[simple] = np.diff(upto, prepend=0)
+        other = [k for k in np.flatnonzero(~simple)]
+        if other:
+            ids = [e.ids for e in self.whole.encode_batch_fast([" " + words[k] for k in other], add_special_tokens=False)]
+            counts[~simple] = [len(x) for x in ids]
+            flats.append(np.fromiter(chain.from_iterable(ids), np.uint32))
+        order = np.concatenate([np.flatnonzero(simple), np.flatnonzero(~simple)])  # whose ids stand where
+        size = counts[order]
+        start = np.empty(len(words), np.int64)
+        start[order] = np.cumsum(size) - size
+        return np.concatenate(flats), start, counts
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text; ``texts`` should be some megabytes together."""
@@ -92,8 +123,8 @@ class Encoder:
         flat, start, size = self.flat, self.start, self.size
         fresh = self.words.fresh
         if fresh:
-            more, sizes = self._of_words(fresh)
-            start = np.concatenate([start, len(flat) + np.cumsum(sizes) - sizes])
+            more, at, sizes = self._of_words(fresh)
+            start = np.concatenate([start, len(flat) + at])
             flat, size = np.concatenate([flat, more]), np.concatenate([size, sizes])
             if self.words.number <= self.limit:
                 self.flat, self.start, self.size = flat, start, size
@@ -124,10 +155,6 @@ def encoder(path: str) -> Encoder:
 # --- Re-Pair -----------------------------------------------------------------------------------------------------------
 
 
-def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return a.astype(np.uint64) << np.uint64(32) | b
-
-
 def repair(symbols: np.ndarray, barrier: int, least: int = LEAST, per_round: int = PER_ROUND) -> tuple[np.ndarray, np.ndarray]:
     """(rules, symbols): frequent neighbours replaced by nonterminals from ``barrier`` + 1 on, until no pair occurs ``least``
     times. Nothing is paired with ``barrier``.
@@ -136,10 +163,19 @@ def repair(symbols: np.ndarray, barrier: int, least: int = LEAST, per_round: int
     pair and the right of another, so occurrences cannot overlap, except in runs of one symbol, which are paired from
     their start; what a round passes over is counted again in the next.
     """
-    rules, first = [np.empty((0, 2), np.uint32)], barrier + 1
+    # symbols are numbered anew as they occur, so that mostly a pair fits 32 bits, which sort faster
+    present = np.zeros(barrier + 1, bool)
+    present[symbols] = True
+    names, ids = np.flatnonzero(present), int(present.sum())
+    number = (np.cumsum(present) - 1).astype(np.uint32)
+    end = int(number[barrier]) if present[barrier] else -1
+    symbols = number[symbols]
+    rules = [np.empty((0, 2), np.uint32)]
     while len(symbols) > 1:
+        kind, bits = (np.uint32, 16) if ids <= 1 << 16 else (np.uint64, 32)
         left, right = symbols[:-1], symbols[1:]
-        keys = np.sort(_pair(left, right)[(left != barrier) & (right != barrier)])
+        pairs = left.astype(kind) << kind(bits) | right.astype(kind)
+        keys = np.sort(pairs[(left != end) & (right != end)])
         new = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.empty(0, np.int64)
         count = np.diff(np.append(new, len(keys)))
         keys, count = keys[new[count >= least]], count[count >= least]
@@ -147,7 +183,7 @@ def repair(symbols: np.ndarray, barrier: int, least: int = LEAST, per_round: int
         rights: set[int] = set()
         picked = []
         for k in keys[np.argsort(-count, kind="stable")].tolist():
-            a, b = k >> 32, k & 0xFFFFFFFF
+            a, b = k >> bits, k & (1 << bits) - 1
             if a in rights or b in lefts or (a == b and (a in lefts or b in rights)):
                 continue
             lefts.add(a)
@@ -157,15 +193,15 @@ def repair(symbols: np.ndarray, barrier: int, least: int = LEAST, per_round: int
                 break
         if not picked:
             break
-        pairs = np.sort(np.array(picked, np.uint64))
-        is_left, is_right = np.zeros(first, bool), np.zeros(first, bool)
-        is_left[(pairs >> np.uint64(32)).astype(np.int64)] = True
-        is_right[(pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)] = True
+        chosen = np.sort(np.array(picked, kind))
+        both = np.stack([chosen >> kind(bits), chosen & kind((1 << bits) - 1)], axis=1).astype(np.uint32)
+        is_left, is_right = np.zeros(ids, bool), np.zeros(ids, bool)
+        is_left[both[:, 0]] = True
+        is_right[both[:, 1]] = True
         at = np.flatnonzero(is_left[left] & is_right[right])
-        key = _pair(left[at], right[at])
-        rule = np.searchsorted(pairs, key)
-        rule[rule == len(pairs)] = 0
-        ok = pairs[rule] == key
+        rule = np.searchsorted(chosen, pairs[at])
+        rule[rule == len(chosen)] = 0
+        ok = chosen[rule] == pairs[at]
         at, rule = at[ok], rule[ok]
         double = left[at] == right[at]
         if double.any():  # every second place of a run, counted from its start
@@ -173,16 +209,15 @@ def repair(symbols: np.ndarray, barrier: int, least: int = LEAST, per_round: int
             origin = at[np.maximum.accumulate(np.where(run, np.arange(len(at)), 0))]
             ok = ~double | ((at - origin) % 2 == 0)
             at, rule = at[ok], rule[ok]
-        if not len(at):
-            break
-        symbols = symbols.copy()
-        symbols[at] = (first + rule).astype(np.uint32)
+        symbols[at] = (ids + rule).astype(np.uint32)
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
         symbols = symbols[keep]
-        rules.append(np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32))
-        first += len(pairs)
-    return np.concatenate(rules), symbols
+        rules.append(both)
+        ids += len(both)
+    every = np.concatenate(rules)
+    names = np.concatenate([names, barrier + 1 + np.arange(len(every))]).astype(np.uint32)
+    return names[every], names[symbols]
 
 
 def expansion_lengths(rules: np.ndarray, barrier: int) -> np.ndarray:
@@ -196,18 +231,21 @@ def expansion_lengths(rules: np.ndarray, barrier: int) -> np.ndarray:
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, barrier: int, end: int = END) -> np.ndarray:
-    """The ids that ``symbols`` stand for; the end of a document is ``end``."""
-    while True:
-        inner = symbols > barrier
-        if not inner.any():
-            return np.where(symbols == barrier, end, symbols).astype(np.uint32)
-        sizes = np.where(inner, 2, 1)
-        at = np.cumsum(sizes) - sizes
-        out = np.empty(int(sizes.sum()), np.uint32)
-        out[at[~inner]] = symbols[~inner]
-        pair = rules[symbols[inner].astype(np.int64) - barrier - 1]
-        out[at[inner]], out[at[inner] + 1] = pair[:, 0], pair[:, 1]
-        symbols = out
+    """The ids that ``symbols`` stand for; the end of a document is ``end``. The rules are written out first, round by round,
+    then each symbol is looked up once."""
+    flat, at = np.arange(barrier + 1, barrier + 1 + len(rules), dtype=np.uint32), np.arange(len(rules) + 1)
+    while (inner := flat > barrier).any():
+        place = np.cumsum(np.concatenate(([0], np.where(inner, 2, 1))))
+        out = np.empty(int(place[-1]), np.uint32)
+        out[place[:-1][~inner]] = flat[~inner]
+        pair = rules[flat[inner].astype(np.int64) - barrier - 1]
+        out[place[:-1][inner]], out[place[:-1][inner] + 1] = pair[:, 0], pair[:, 1]
+        flat, at = out, place[at]
+    flat = np.concatenate([np.arange(barrier + 1, dtype=np.uint32), flat])
+    flat[barrier] = end
+    start = np.concatenate([np.arange(barrier + 1), at[:-1] + barrier + 1])
+    size = np.concatenate([np.ones(barrier + 1, np.int64), np.diff(at)])[symbols]
+    return flat[np.repeat(start[symbols] - np.cumsum(size) + size, size) + np.arange(size.sum())]
 
 
 def id_at(shard: dict, doc: int, position: int, barrier: int, end: int = END) -> int:
@@ -257,7 +295,7 @@ def shards(docs: DataFrame, tokenizer: str, shard_tokens: int = SHARD_TOKENS) ->
             for k in range(b.num_rows):
                 texts.append(b.column(1)[k].as_py())
                 chars += len(texts[-1])
-                if chars < 1 << 20 and k + 1 < b.num_rows:
+                if chars < TEXTS and k + 1 < b.num_rows:
                     continue
                 for n, found in enumerate(tool.encode(texts)):
                     held.append(np.append(found, np.uint32(tool.vocab)))
