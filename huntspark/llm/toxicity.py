@@ -88,8 +88,11 @@ def mine_voters(sample: DataFrame, least: int = LEAST, most: int = VOTERS) -> li
     and that speak for toxicity by the lower end of their log odds. Counted in Spark; at most ``most`` come back. A
     voter is left out if a shorter beginning of it was kept with as few clean documents, for it would see less."""
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}{3,})"), F.lit(1)))
-    starts = [F.transform(F.filter("w", lambda x, n=n: F.length(x) > n), lambda x, n=n: F.concat(F.substring(x, 1, n), F.lit("*"))) for n in PREFIXES]
-    terms = sample.select("toxic", words.alias("w")).select("toxic", F.explode(F.array_distinct(F.concat("w", *starts))).alias("term"))
+
+    def starts(n: int):
+        return F.transform(F.filter("w", lambda x: F.length(x) > n), lambda x: F.concat(F.substring(x, 1, n), F.lit("*")))
+
+    terms = sample.select("toxic", words.alias("w")).select("toxic", F.explode(F.array_distinct(F.concat("w", *map(starts, PREFIXES)))).alias("term"))
     counts = terms.groupBy("term").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
     sizes = sample.agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first()
     n_bad, n_good = float(sizes[0] or 0), float(sizes[1] or 0)

@@ -38,10 +38,11 @@ def url_tokens(url: Column) -> Column:
     host, path = host_and_path(url)
     query = F.coalesce(F.regexp_extract(url, r"\?([^#]*)", 1), F.lit(""))
     parts = [(host, "[^a-z0-9]+", "h:"), (path, "[/._-]+", "p:"), (query, "&", "q:")]
-    lists = [F.array(F.concat(F.lit("d:"), host))] + [
-        F.transform(F.split(F.regexp_replace(text, "[0-9]+", "#"), cut_at), lambda t, p=prefix: F.concat(F.lit(p), t))
-        for text, cut_at, prefix in parts
-    ]
+
+    def words(text: Column, cut_at: str, prefix: str) -> Column:
+        return F.transform(F.split(F.regexp_replace(text, "[0-9]+", "#"), cut_at), lambda t: F.concat(F.lit(prefix), t))
+
+    lists = [F.array(F.concat(F.lit("d:"), host)), *(words(*p) for p in parts)]
     return F.array_sort(F.array_distinct(F.filter(F.concat(*lists), lambda t: F.length(t) > 2)))
 
 
