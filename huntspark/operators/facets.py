@@ -14,32 +14,39 @@ from huntspark.functions.names import q
 PREVIEW = 200
 
 
-def preview(text: Column) -> Column:
-    return F.substring(text, 1, PREVIEW)
+def _names(df: DataFrame, schema: str, extra: list[str]) -> list[str]:
+    return [c for c in [*DEFAULT_COLUMNS.get(schema, []), *extra] if c in df.columns]
 
 
-def _facet(df: DataFrame, schema: str, extra: list[str], missing: str | None) -> Column:
-    """``column=value|…`` of the schema's columns; null if a value is missing and ``missing`` is not given."""
-    names = [c for c in [*DEFAULT_COLUMNS.get(schema, []), *extra] if c in df.columns]
+def _facet(names: list[str], missing: str | None) -> Column:
+    """``column=value|…`` of the values of ``names``; only here long scripts are shortened."""
     parts = []
-    for name in names:
-        value = q(name).cast("string")
+    for k, name in enumerate(names):
+        value = F.get("values", F.lit(k))
         if name == "decoded_block_text":
-            value = preview(value)
+            value = F.substring(value, 1, PREVIEW)
         if missing is not None:
             value = F.coalesce(value, F.lit(missing))
         parts += [F.lit(f"{'|' if parts else ''}{name}="), value]
     return F.concat(*parts) if parts else F.lit("")
 
 
+def _by_schema(schema: Column, schemas: list[str], of) -> Column:
+    return reduce(lambda chain, s: chain.when(schema == s, of(s)), schemas[1:], F.when(schema == schemas[0], of(schemas[0])))
+
+
 def _counts(df: DataFrame, schema: Column, schemas: list[str], extra: list[str], missing: str | None) -> DataFrame:
-    facet = reduce(
-        lambda chain, s: chain.when(schema == s, _facet(df, s, extra, missing)),
-        schemas[1:],
-        F.when(schema == schemas[0], _facet(df, schemas[0], extra, missing)),
-    )
-    rows = df.where(schema.isin(schemas)).select(schema.alias("schema"), facet.alias("facet"))
-    return rows.where("facet is not null").groupBy("schema", "facet").agg(F.count("*").alias("count"))
+    """Counted by the whole values, so neither long texts, nor separators in them, nor a text like ``missing`` meet."""
+
+    def values(s: str) -> Column:
+        return F.array(*[q(c).cast("string") for c in _names(df, s, extra)]).cast("array<string>")
+
+    rows = df.where(schema.isin(schemas)).select(schema.alias("schema"), _by_schema(schema, schemas, values).alias("values"))
+    if missing is None:
+        rows = rows.where(~F.exists("values", lambda v: v.isNull()))
+    counted = rows.groupBy("schema", "values").agg(F.count("*").alias("count"))
+    facet = _by_schema(F.col("schema"), schemas, lambda s: _facet(_names(df, s, extra), missing))
+    return counted.select("schema", facet.alias("facet"), "count")
 
 
 def facets_by_schema(df: DataFrame, schema: Column, schemas: list[str], extra: list[str] | None = None) -> DataFrame:

@@ -30,7 +30,8 @@ def lookup_tenants(df: DataFrame, tenants: DataFrame, column: str | None = None)
         return df
     keyed = prefix_columns(tenants.withColumn("id", q("id").cast("string")), "tenant.").withColumn("__id", q("tenant.id"))
     right = suffix_clashes(keyed, df, ".lookup_tenants")
-    return lookup_join(df, right, [(column, "__id")]).drop("__id")
+    left = df.withColumn("__tenant_key", q(column).cast("string"))  # ids may be numbers in one table and text in the other
+    return lookup_join(left, right, [("__tenant_key", "__id")]).drop("__id", "__tenant_key")
 
 
 def lookup_users(

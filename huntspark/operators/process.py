@@ -74,7 +74,7 @@ def pivot(df: DataFrame, events: DataFrame, columns: dict[str, str]) -> DataFram
     size = F.sum(F.octet_length(F.concat_ws("", *[f"k{i}" for i in range(len(sources))])) + 16 * len(sources))
     masks = {r["mask"]: r["size"] for r in keys.groupBy("mask").agg(size.alias("size")).collect()}  # at most 2**n - 1
     if not masks:
-        raise ValueError(f"no row has a value in any of {sources}")
+        return events.where(F.lit(False))
     out = events
     for m in sorted(masks):
         used = [i for i in range(len(sources)) if m & (1 << i)]

@@ -122,16 +122,11 @@ def expand_left_join(
     return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
-def lookup_join(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], spread: int = 64) -> DataFrame:
-    """Left join of facts to a lookup table; rows without a key do not all meet in one task.
+def lookup_join(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """Left join of facts to a lookup table; rows without a key go past the join, so they do not all meet in one task.
 
-    Null keys never match, so the join key of such a row may be any value that the lookup cannot hold: a NUL mark plus
-    a small number taken from the row.
+    Nothing but the keys is read for the join: columns that the caller does not use are pruned at the scan.
     """
-    if not all(isinstance(left.schema[lk].dataType, T.StringType) for lk, _ in pairs):
-        return left.join(right, on_keys(left, right, pairs), "left")
-    first = pairs[0][0]
-    bucket = F.concat(F.lit("\u0000"), F.pmod(_row_hash(left), F.lit(spread)).cast("string"))
-    keyed = left.withColumn("__lookup_key", F.coalesce(q(first), bucket))
-    condition = on_keys(keyed, right, [("__lookup_key", pairs[0][1]), *pairs[1:]])
-    return keyed.join(right, condition, "left").drop("__lookup_key")
+    whole = all_present([lk for lk, _ in pairs])
+    joined = left.where(whole).join(right, on_keys(left, right, pairs), "left")
+    return joined.unionByName(left.where(~whole), allowMissingColumns=True)

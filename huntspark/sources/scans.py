@@ -13,9 +13,6 @@ from huntspark.functions.times import time_range
 from huntspark.operators.alerts import aggregate_count
 from huntspark.plans.joins import broadcast_if_small
 
-EVENT_ROWS = 100_000
-SEARCH_ROWS = 10_000
-
 
 def _where(df: DataFrame, conditions: list[Column]) -> DataFrame:
     return reduce(lambda d, c: d.where(c), conditions, df)
@@ -35,12 +32,12 @@ def search_alerts(
     time_column: str = "metadata.created_at.seconds",
     tenants: list[str] | None = None,
     aggregate: list[str] | None = None,
-    limit: int | None = SEARCH_ROWS,
+    limit: int | None = None,
     now: datetime | None = None,
 ) -> DataFrame:
     """Alert search: conditions, time range, tenants as one ``IN``; ``aggregate`` counts instead of listing rows.
 
-    ``limit`` is the analyst's page size and never cuts an aggregate; ``None`` lists everything.
+    ``limit`` is a page size, of the earliest rows, and never cuts an aggregate; without one every row is listed.
     """
     out = _where(alerts, where or [])
     if earliest or latest:
@@ -49,7 +46,9 @@ def search_alerts(
         out = out.where(q("tenant_id").isin(tenants))
     if aggregate:
         return aggregate_count(out, aggregate)
-    return out.limit(limit) if limit is not None else out
+    if limit is None:
+        return out
+    return (out.orderBy(q(time_column)) if time_column in out.columns else out).limit(limit)
 
 
 def search_events(
@@ -59,7 +58,7 @@ def search_events(
     earliest: str | None = None,
     latest: str | None = None,
     time_column: str = "event_time_usec",
-    limit: int | None = EVENT_ROWS,
+    limit: int | None = None,
     now: datetime | None = None,
 ) -> DataFrame:
     """Event search in ascending time. With a limit Spark keeps the first rows per task instead of sorting everything."""
@@ -94,7 +93,7 @@ def search_audits(
     after: str | None = None,
     sort_by: str | None = None,
     ascending: bool = True,
-    limit: int | None = SEARCH_ROWS,
+    limit: int | None = None,
     time_column: str = "event_time",
     **equal: object,
 ) -> DataFrame:

@@ -6,7 +6,8 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from huntspark.operators import alerts, audits, context, entities, facets, rules
+from huntspark.operators import alerts, audits, context, entities, facets, rules, lookups
+from huntspark.sources import scans
 
 
 @pytest.fixture(scope="module")
@@ -225,3 +226,31 @@ def test_facets_by_schema_extra_and_preview(spark):
     assert got == [("nids", "tag=e", 1), ("scriptblock", "interpreter_name=bash|decoded_block_text=" + "x" * 200 + "|tag=e", 1)]
     top = rows(facets.top_by_schema(df, F.col("schema"), ["scriptblock", "nids"], 1))
     assert [t[0] for t in top] == ["nids", "scriptblock"]
+
+
+def test_facets_count_whole_values(spark):
+    df = spark.createDataFrame(
+        [("nids", None, None), ("nids", None, "null"), *[("scriptblock", "b", "x" * 300 + k) for k in "aab"]],
+        "schema string, interpreter_name string, decoded_block_text string",
+    )
+    got = rows(facets.facets_by_schema(df, F.col("schema"), ["scriptblock"]))
+    assert [r[2] for r in got] == [1, 2] and got[0][1] == got[1][1]
+    missing = df.where("schema = 'nids'").withColumn("schema", F.lit("scriptblock"))
+    assert [r[2] for r in rows(facets.top_by_schema(missing, F.col("schema"), ["scriptblock"]))] == [1, 1]
+
+
+def test_searches_list_every_row_unless_a_limit_is_given(spark):
+    many = spark.range(120_000).select(F.col("id").alias("event_time_usec"), F.lit("s").alias("application"))
+    assert scans.search_alerts(many).count() == scans.search_audits(many).count() == scans.search_events(many).count() == 120_000
+    assert rows(scans.search_alerts(many, time_column="event_time_usec", limit=2), "event_time_usec") == [(0,), (1,)]
+
+
+def test_lookups_read_only_what_is_used(spark, tmp_path):
+    wide = spark.range(50).select(
+        F.when(F.col("id") % 3 > 0, F.col("id") % 5).alias("tenant_id"), F.lit("wide").alias("props"), F.col("id").alias("event_id")
+    )
+    wide.write.parquet(str(tmp_path / "wide"))
+    tenants = spark.createDataFrame([("1", "one"), ("x-2", "two")], "id string, name string")
+    found = lookups.lookup_tenants(spark.read.parquet(str(tmp_path / "wide")), tenants).select("event_id", "`tenant.name`")
+    assert "props" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 50 and found.where("`tenant.name` = 'one'").count() == wide.where("tenant_id = 1").count()
