@@ -6,7 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from huntspark.operators import alerts, audits, context, entities, facets, rules, lookups
+from huntspark.operators import alerts, audits, context, entities, facets, lookups, rules
 from huntspark.sources import scans
 
 
