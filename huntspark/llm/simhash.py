@@ -265,3 +265,184 @@ def near_copies(docs: DataFrame, width: int = 3, group: int = GROUP) -> DataFram
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = cut(rooted.join(least, "root").select("fp", "component_id"))
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+# --- texts by the similarity of their shingle sets --------------------------------------------------------------------
+
+SIMILARITY = 0.8  # shared shingles of a pair among all of theirs
+LANES = 4  # 64-bit words of a wide fingerprint
+WIDE_BUDGET = 58  # of its 256 bits: similarity 0.8 differs in 39, with a deviation of 5.7
+BANDS, ROWS = 20, 5  # a pair of similarity 0.8 misses all bands three times in 10,000
+PART = 2048  # rows of a band that are compared in one task
+ALL_PAIRS = 8  # up to here every pair of a group is a candidate
+HUBS = 2  # rows next to the middle of a group; every other row is held against them
+NEAREST = 4  # of the hubs of a band in several parts
+_ODD = np.random.default_rng(42).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ x >> np.uint64(31)) * np.uint64(0x9E3779B97F4A7C15)
+    return x ^ x >> np.uint64(29)
+
+
+def shingles(text: str | None, width: int) -> np.ndarray:
+    """Sorted distinct uint64 hashes of the ``width``-word shingles; none for a text without words."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    n = max(1, len(words) - width + 1) if words else 0
+    pieces = (b" ".join(words[k : k + width]) for k in range(n))
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, pieces, repeat(42)), np.uint64, n))
+
+
+def wide_fingerprint(hashes: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """A SimHash of 64 ``LANES`` bits, and a key for each band of ``ROWS`` least hashes."""
+    ones = np.zeros(64 * LANES, np.int64)
+    least = np.full(BANDS * ROWS, ~np.uint64(0))
+    for k in range(0, len(hashes), CHUNK // 8):
+        part = hashes[k : k + CHUNK // 8]
+        lanes = np.stack([_mixed(part + np.uint64(lane)) for lane in range(LANES)], axis=1)
+        ones += np.unpackbits(lanes.astype("<u8").view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        np.minimum(least, _mixed(part[:, None] * _ODD[None, :]).min(axis=0), out=least)
+    keys = np.arange(BANDS, dtype=np.uint64)
+    for row in least.reshape(BANDS, ROWS).T:
+        keys = _mixed(keys ^ row) * np.uint64(3)
+    return np.packbits(ones * 2 > len(hashes), bitorder="little").tobytes(), keys
+
+
+def signatures(docs: DataFrame, width: int) -> DataFrame:
+    """(doc_id, fp, bands) of the documents with an id and a word."""
+
+    @F.pandas_udf("fp binary, bands array<long>")
+    def of(texts: pd.Series) -> pd.DataFrame:
+        found = [wide_fingerprint(s) if len(s) else (None, None) for s in (shingles(t, width) for t in texts)]
+        return pd.DataFrame({"fp": [f for f, _ in found], "bands": [None if b is None else b.view(np.int64) for _, b in found]})
+
+    signed = docs.where("doc_id is not null").select("doc_id", of("text").alias("s"))
+    return signed.select("doc_id", "s.fp", "s.bands").where("fp is not null")
+
+
+def _apart(fps: np.ndarray, one: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(fps ^ one).sum(axis=1, dtype=np.int64)
+
+
+def hubs_of(fps: np.ndarray) -> np.ndarray:
+    """Positions of the ``HUBS`` fingerprints nearest to the bits that most of ``fps`` have."""
+    bits = np.unpackbits(fps.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    middle = np.packbits(bits * 2 > len(fps), bitorder="little").view(np.uint64)
+    return np.argsort(_apart(fps, middle), kind="stable")[:HUBS]
+
+
+def group_links(fps: np.ndarray, hubs: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Candidate pairs of positions that connect a group: all of a small one; else each fingerprint with the nearest hubs
+    (a text that many were made of lies in their middle) and the edges of a minimum spanning tree, which finds the
+    families beside it."""
+    n = len(fps)
+    if n <= ALL_PAIRS:
+        for k in range(n - 1):
+            for j in np.flatnonzero(_apart(fps[k + 1 :], fps[k]) <= WIDE_BUDGET):
+                yield k, k + 1 + int(j)
+        return
+    far = np.stack([_apart(fps, fps[h]) for h in hubs])
+    for h in np.argsort(far, axis=0, kind="stable")[:NEAREST]:
+        near = (far[h, np.arange(n)] <= WIDE_BUDGET) & (hubs[h] != np.arange(n))
+        yield from ((int(hubs[h[j]]), int(j)) for j in np.flatnonzero(near))
+    best, by, out = np.full(n, 1 << 30), np.zeros(n, np.int64), np.ones(n, bool)
+    k = 0
+    for _ in range(n - 1):
+        out[k], best[k] = False, 1 << 30
+        d = _apart(fps, fps[k])
+        closer = (d < best) & out
+        best[closer], by[closer] = d[closer], k
+        k = int(np.argmin(best))
+        if best[k] <= WIDE_BUDGET:
+            yield int(by[k]), k
+
+
+def _by_group(batches, of) -> Iterator[pa.RecordBatch]:
+    """``of(key, ids, fps, hub)`` for each group of rows (key, part, hub, id, fp) that come sorted by key and part."""
+    held: list[pa.RecordBatch] = []
+
+    def groups(rows: pa.Table):
+        key, part, hub, ids = (rows.column(k).to_numpy() for k in range(4))
+        fps = np.frombuffer(b"".join(rows.column(4).to_pylist()), np.uint64).reshape(-1, LANES)
+        ends = np.flatnonzero((key[1:] != key[:-1]) | (part[1:] != part[:-1])) + 1
+        for a, z in zip([0, *ends], [*ends, len(key)]):
+            yield int(a), lambda a=a, z=z: of(int(key[a]), ids[a:z], fps[a:z], hub[a:z])
+
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        rows = pa.Table.from_batches([*held, batch])
+        found = list(groups(rows))
+        for _, run in found[:-1]:
+            yield from run()
+        held = rows.slice(found[-1][0]).combine_chunks().to_batches()
+    if held:
+        for _, run in groups(pa.Table.from_batches(held)):
+            yield from run()
+
+
+def candidate_links(nodes: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of ``nodes`` (id, fp, bands) that share a band and differ in at most ``WIDE_BUDGET`` bits, as
+    ``group_links`` chooses them.
+
+    A band of many rows is dealt over parts by the hash of their ids; the hubs of all parts are then shown to each part.
+    """
+
+    def find_hubs(batches):
+        def of(key, ids, fps, hub):
+            at = hubs_of(fps)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(at), key)), pa.array(ids[at]), pa.array([f.tobytes() for f in fps[at]], pa.binary())], names=["key", "id", "fp"]
+            )
+
+        yield from _by_group(batches, of)
+
+    def link(batches):
+        def of(key, ids, fps, hub):
+            if len(ids) > 1:
+                pairs = list(group_links(fps, np.flatnonzero(hub) if hub.any() else hubs_of(fps)))
+                a, b = ids[[p[0] for p in pairs]], ids[[p[1] for p in pairs]]
+                if len(pairs):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+        yield from _by_group(batches, of)
+
+    def dealt(rows):
+        columns = ["key", "part", "hub", "id", "fp"]
+        return rows.repartition("key", "part").sortWithinPartitions("key", "part", "id").select(columns)
+
+    counts = nodes.select(F.explode("bands").alias("key")).groupBy("key").count().where("count > 1")
+    parts = cut(counts.select("key", F.ceil(F.col("count") / PART).cast("int").alias("parts")))
+    rows = nodes.select(F.explode("bands").alias("key"), "id", "fp").join(parts, "key")
+    rows = cut(rows.withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int")).withColumn("hub", F.lit(0)))
+    hubs = dealt(rows.where("parts > 1")).mapInArrow(find_hubs, "key long, id long, fp binary").withColumn("hub", F.lit(1))
+    shown = hubs.join(parts, "key").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    columns = ["key", "part", "id", "fp"]
+    all_rows = rows.select(*columns, "hub").unionByName(shown.select(*columns, "hub"))
+    return dealt(all_rows).mapInArrow(link, "a long, b long").where("a != b").distinct()
+
+
+def similar_copies(docs: DataFrame, width: int = 5, similarity: float = SIMILARITY) -> DataFrame:
+    """``docs`` (doc_id, text) as rows (doc_id, component_id): the smallest doc_id reachable over pairs of texts that share at
+    least ``similarity`` of their distinct ``width``-word shingles. Rows without an id or a word have no row.
+
+    Wide SimHash fingerprints choose the candidates, an exact count of shared shingles decides. Texts with one
+    fingerprint are one node, so copies are never expanded into pairs.
+    """
+
+    @F.pandas_udf("array<long>")
+    def hashed(texts: pd.Series) -> pd.Series:
+        return pd.Series([shingles(t, width).view(np.int64) for t in texts])
+
+    signed = cut(signatures(docs.select("doc_id", "text"), width))
+    nodes = cut(signed.groupBy("fp").agg(F.min(F.struct("doc_id", "bands")).alias("n")).select(F.col("n.doc_id").cast("long").alias("id"), "fp", "n.bands"))
+    links = cut(candidate_links(nodes))
+    ends = links.select(F.col("a").alias("id")).union(links.select("b")).distinct()
+    sets = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ends, "id", "left_semi").distinct()
+    sets = cut(sets.select("id", hashed("text").alias("s")))
+    pairs = links.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
+    shared = F.size(F.array_intersect("sa", "sb"))
+    close = pairs.where(shared >= similarity * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
+    found = components(close)
+    rooted = nodes.join(found, nodes.id == found.node, "left").select("fp", F.coalesce("root", "id").alias("component_id"))
+    return signed.select("doc_id", "fp").join(rooted, "fp").select("doc_id", "component_id")
