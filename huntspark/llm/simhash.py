@@ -276,6 +276,8 @@ BANDS, ROWS = 20, 5  # a pair of similarity 0.8 misses all bands three times in
 PART = 2048  # rows of a band that are compared in one task
 ALL_PAIRS = 8  # up to here every pair of a group is a candidate
 HUBS = 2  # rows next to the middle of a group; every other row is held against them
+WIDE_CHUNK = 1 << 10  # shingles counted at once
+SLICE = 128  # texts whose hashes a worker holds
 NEAREST = 4  # of the hubs of a band in several parts
 _ODD = np.random.default_rng(42).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -297,8 +299,8 @@ def wide_fingerprint(hashes: np.ndarray) -> tuple[bytes, np.ndarray]:
     """A SimHash of 64 ``LANES`` bits, and a key for each band of ``ROWS`` least hashes."""
     ones = np.zeros(64 * LANES, np.int64)
     least = np.full(BANDS * ROWS, ~np.uint64(0))
-    for k in range(0, len(hashes), CHUNK // 8):
-        part = hashes[k : k + CHUNK // 8]
+    for k in range(0, len(hashes), WIDE_CHUNK):
+        part = hashes[k : k + WIDE_CHUNK]
         lanes = np.stack([_mixed(part + np.uint64(lane)) for lane in range(LANES)], axis=1)
         ones += np.unpackbits(lanes.astype("<u8").view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
         np.minimum(least, _mixed(part[:, None] * _ODD[None, :]).min(axis=0), out=least)
@@ -311,13 +313,23 @@ def wide_fingerprint(hashes: np.ndarray) -> tuple[bytes, np.ndarray]:
 def signatures(docs: DataFrame, width: int) -> DataFrame:
     """(doc_id, fp, bands) of the documents with an id and a word."""
 
-    @F.pandas_udf("fp binary, bands array<long>")
-    def of(texts: pd.Series) -> pd.DataFrame:
-        found = [wide_fingerprint(s) if len(s) else (None, None) for s in (shingles(t, width) for t in texts)]
-        return pd.DataFrame({"fp": [f for f, _ in found], "bands": [None if b is None else b.view(np.int64) for _, b in found]})
+    def of(batches):
+        for ids, texts in _slices(batches):
+            found = [(i, *wide_fingerprint(h)) for i, h in ((i, shingles(t.as_py(), width)) for i, t in zip(ids, texts)) if len(h)]
+            if found:
+                bands = pa.array([keys.view(np.int64) for _, _, keys in found], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array([i for i, _, _ in found], pa.int64()), pa.array([f for _, f, _ in found], pa.binary()), bands], names=["doc_id", "fp", "bands"])
 
-    signed = docs.where("doc_id is not null").select("doc_id", of("text").alias("s"))
-    return signed.select("doc_id", "s.fp", "s.bands").where("fp is not null")
+    rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.mapInArrow(of, "doc_id long, fp binary, bands array<long>")
+
+
+def _slices(batches) -> Iterator[tuple[list[int], pa.Array]]:
+    """Ids and texts (first and second column) of a few rows at a time; texts become Python values one by one."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, SLICE):
+            rows = batch.slice(k, SLICE)
+            yield rows.column(0).to_pylist(), rows.column(1)
 
 
 def _apart(fps: np.ndarray, one: np.ndarray) -> np.ndarray:
@@ -430,16 +442,17 @@ def similar_copies(docs: DataFrame, width: int = 5, similarity: float = SIMILARI
     fingerprint are one node, so copies are never expanded into pairs.
     """
 
-    @F.pandas_udf("array<long>")
-    def hashed(texts: pd.Series) -> pd.Series:
-        return pd.Series([shingles(t, width).view(np.int64) for t in texts])
+    def hashed(batches):
+        for ids, texts in _slices(batches):
+            sets = [shingles(t.as_py(), width).view(np.int64) for t in texts]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["id", "s"])
 
     signed = cut(signatures(docs.select("doc_id", "text"), width))
     nodes = cut(signed.groupBy("fp").agg(F.min(F.struct("doc_id", "bands")).alias("n")).select(F.col("n.doc_id").cast("long").alias("id"), "fp", "n.bands"))
     links = cut(candidate_links(nodes))
     ends = links.select(F.col("a").alias("id")).union(links.select("b")).distinct()
     sets = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ends, "id", "left_semi").distinct()
-    sets = cut(sets.select("id", hashed("text").alias("s")))
+    sets = cut(sets.mapInArrow(hashed, "id long, s array<long>"))
     pairs = links.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
     shared = F.size(F.array_intersect("sa", "sb"))
     close = pairs.where(shared >= similarity * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
