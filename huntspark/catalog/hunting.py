@@ -174,11 +174,11 @@ def with_findings(i: Inputs) -> DataFrame:
 
 
 @query(
-    sql=f"""with {FOUND.strip()}, pub as (select value, count(*) as n from
-        (select distinct value, doc_id from found join documents using (doc_id) where lang = 'en') group by all),
+    sql=f"""with {FOUND.strip()}, pub as (
+        select distinct value, doc_id as pub from found join documents using (doc_id) where lang = 'en'),
       v as (select distinct doc_id, value from found)
-    select doc_id, count(p.value) > 0 as found, count(p.value) as indicators, cast(coalesce(sum(p.n), 0) as bigint) as publications
-    from documents left join v using (doc_id) left join pub p using (value) group by all""",
+    select doc_id, count(p.value) > 0 as found, count(distinct p.value) as indicators, count(distinct p.pub) as publications
+    from documents left join v using (doc_id) left join pub p using (value) group by doc_id""",
 )
 def ti_pubs(i: Inputs) -> DataFrame:
     rows = raw_events(i)

@@ -29,24 +29,34 @@ def java_pattern(format_: str) -> str:
     return "".join(out)
 
 
-def _as_text(ts: Column, format_: str) -> Column:
-    return F.coalesce(F.date_format(ts, java_pattern(format_)), F.lit("N/A"))
+# Where the parts of a time stand in its text.
+_PLACE = {"%Y": (1, 4), "%m": (6, 2), "%d": (9, 2), "%H": (12, 2), "%M": (15, 2), "%S": (18, 2)}
 
 
-def _convert(df: DataFrame, names: list[str], to_ts, format_: str) -> DataFrame:
-    return df.withColumns({derived(c): _as_text(to_ts(q(c).cast("bigint")), format_) for c in names})
+def _as_text(seconds: Column, format_: str) -> Column:
+    """UTC in any session time zone: a time without a zone is counted from 1970 and its parts are put together."""
+    java_pattern(format_)  # refuses other directives
+    text = (F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)).cast("string")
+    parts = [
+        F.substring(text, *_PLACE[t]) if t in _PLACE else F.lit("%" if t == "%%" else t) for t in re.findall(r"%.|[^%]+", format_)
+    ]
+    return F.coalesce(F.when(seconds.isNotNull(), F.concat(*parts)), F.lit("N/A"))
+
+
+def _convert(df: DataFrame, names: list[str], to_seconds, format_: str) -> DataFrame:
+    return df.withColumns({derived(c): _as_text(to_seconds(q(c).cast("bigint")), format_) for c in names})
 
 
 def convert_alert_timestamps(df: DataFrame, format_: str = ISO) -> DataFrame:
     """Text form of every epoch-second column ``*.seconds``; a missing time reads ``N/A``."""
     names = [c for c in df.columns if c.endswith(".seconds") and not c.startswith(DERIVED)]
-    return _convert(df, names, F.timestamp_seconds, format_) if names else df
+    return _convert(df, names, lambda c: c.cast("decimal(18,6)"), format_) if names else df
 
 
 def convert_event_timestamps(df: DataFrame, format_: str = ISO) -> DataFrame:
     """Text form of every epoch-microsecond column ``*_time_usec`` or ``*mod_time_us``."""
     names = [c for c in df.columns if c.endswith(("_time_usec", "mod_time_us")) and not c.startswith(DERIVED)]
-    return _convert(df, names, F.timestamp_micros, format_) if names else df
+    return _convert(df, names, lambda c: (c / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)"), format_) if names else df
 
 
 def parse_bound(text: str, now: datetime | None = None) -> datetime:
@@ -78,8 +88,8 @@ def time_range(
         if isinstance(dtype, T.IntegralType):
             micros = round(when.timestamp() * 1_000_000)
             return F.lit(micros // 1_000_000 if column.endswith("seconds") else micros)
-        literal = F.lit(when.strftime("%Y-%m-%d %H:%M:%S.%f"))
-        return literal.cast(dtype) if isinstance(dtype, T.TimestampNTZType) else literal.cast("timestamp")
+        text = when.strftime("%Y-%m-%d %H:%M:%S.%f")
+        return F.lit(text).cast(dtype) if isinstance(dtype, T.TimestampNTZType) else F.lit(text + "+00:00").cast("timestamp")
 
     if earliest:
         df = df.where(q(column) >= bound(earliest))
@@ -89,6 +99,6 @@ def time_range(
 
 
 def day_bounds(day: Column) -> tuple[Column, Column]:
-    """First and last second of a ``yyyyMMdd`` day."""
-    start = F.to_timestamp(day, "yyyyMMdd")
+    """First and last second of a ``yyyyMMdd`` day in UTC."""
+    start = F.to_timestamp(F.concat(day, F.lit(" +00:00")), "yyyyMMdd xxx")
     return start, start + F.expr("interval 86399 seconds")

@@ -29,13 +29,27 @@ def _lines(df: DataFrame, name: str) -> Column:
     dtype = df.schema[name].dataType
     if isinstance(dtype, T.ArrayType):
         return F.coalesce(q(name).cast("array<string>"), F.array().cast("array<string>"))
-    return F.filter(F.split(F.coalesce(q(name).cast("string"), F.lit("")), "\n"), lambda s: s != "")
+    text = q(name).cast("string")
+    return F.when(F.coalesce(text, F.lit("")) == "", F.array().cast("array<string>")).otherwise(F.split(text, "\n"))
+
+
+def _surplus(of: Column, other: Column, mark: str) -> Column:
+    """The items of ``of`` as often as it has them more than ``other``, in order of their first place, marked."""
+
+    def times(items: Column, s: Column) -> Column:
+        return F.size(F.filter(items, lambda x: x.eqNullSafe(s)))
+
+    def more(s: Column) -> Column:
+        return F.array_repeat(F.concat(F.lit(mark), s), F.greatest(times(of, s) - times(other, s), F.lit(0)))
+
+    return F.flatten(F.transform(F.array_distinct(of), more))
 
 
 def get_diffs(df: DataFrame) -> DataFrame:
     """``x_diff_<field>``: the lines (or list items) that went away, marked ``- ``, and those that came, ``+ ``.
 
-    Lines are compared as sets; a repeated line counts once and order does not matter.
+    Lines are compared as often as they stand, blank ones included; a line that only moved is not shown, though
+    ``changed_fields`` names the field. A missing or empty text has no lines.
     """
     new = {}
     for field in diff_fields(df):
@@ -43,9 +57,7 @@ def get_diffs(df: DataFrame) -> DataFrame:
         if name in df.columns:
             continue
         before, after = _lines(df, BEFORE + field), _lines(df, AFTER + field)
-        gone = F.transform(F.array_except(before, after), lambda s: F.concat(F.lit("- "), s))
-        came = F.transform(F.array_except(after, before), lambda s: F.concat(F.lit("+ "), s))
-        new[name] = F.concat(gone, came)
+        new[name] = F.concat(_surplus(before, after, "- "), _surplus(after, before, "+ "))
     return df.withColumns(new) if new else df
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from huntspark.functions.fixed import DOMAIN_COLUMNS, HASH_COLUMNS, IP_COLUMNS
-from huntspark.functions.indicators import is_domain, is_hash, is_ip_address, logical
+from huntspark.functions.indicators import event_schema, is_domain, is_hash, is_ip_address, logical
 from huntspark.functions.names import q, require
 from huntspark.operators.inflate import inflate_raw_events, lookup_first_environment
 from huntspark.plans.joins import broadcast_if_small
@@ -132,7 +132,7 @@ def add_logicals(df: DataFrame) -> DataFrame:
         chain = None
         for name, columns in mapping.items():
             values = logical(df, [prefix + c for c in columns])
-            here = F.contains(resource, F.lit(name))
+            here = event_schema(resource) == name
             chain = F.when(here, values) if chain is None else chain.when(here, values)
         new[f"logicals.{kind}"] = chain.otherwise(empty)
     return df.withColumns(new)
@@ -166,10 +166,12 @@ def publication_matches(df: DataFrame, publications: DataFrame, id_column: str)
 
 
 def get_ti_pubs(df: DataFrame, publications: DataFrame, id_column: str) -> DataFrame:
-    """``tips.found``, ``tips.indicators`` (matching indicators) and ``tips.publications`` (their publications) per row.
+    """``tips.found``, ``tips.indicators`` (matching indicators) and ``tips.publications`` (distinct publications that name one
+    of them) per row.
 
     Publications are counted per indicator before the join, so an indicator has one row on that side; where it fills
-    the other side, adaptive execution splits it.
+    the other side, adaptive execution splits it. Only the distinct sets of several indicators meet the publications
+    themselves, for these may name more than one of a set.
     """
     per_indicator = publications.groupBy(F.col("indicator").alias("__i")).agg(
         F.count_distinct("publication_id").alias("__pubs")
@@ -178,8 +180,14 @@ def get_ti_pubs(df: DataFrame, publications: DataFrame, id_column: str) -> DataF
     held = df.select(q(id_column), F.explode(F.array_distinct(F.flatten(F.array(*arrays)))).alias("indicator"))
     joined = held.distinct().join(per_indicator, F.col("indicator") == F.col("__i"))
     per_row = joined.groupBy(q(id_column).alias("__row")).agg(
-        F.count("*").alias("__indicators"), F.sum("__pubs").alias("__publications")
+        F.count("*").alias("__indicators"), F.max("__pubs").alias("__most"), F.sort_array(F.collect_list("indicator")).alias("__set")
     )
+    named = publications.select(F.col("indicator").alias("__i"), "publication_id").distinct()
+    per_set = (
+        per_row.where("__indicators > 1").select("__set").distinct().select("__set", F.explode("__set").alias("__x"))
+        .join(named, F.col("__x") == F.col("__i")).groupBy("__set").agg(F.count_distinct("publication_id").alias("__several"))
+    )
+    per_row = per_row.join(per_set, "__set", "left").select("__row", "__indicators", F.coalesce("__several", "__most").alias("__publications"))
     out = df.join(per_row, df["`" + id_column + "`"] == per_row["__row"], "left")
     return out.withColumns(
         {

@@ -254,3 +254,8 @@ def test_lookups_read_only_what_is_used(spark, tmp_path):
     found = lookups.lookup_tenants(spark.read.parquet(str(tmp_path / "wide")), tenants).select("event_id", "`tenant.name`")
     assert "props" not in found._jdf.queryExecution().executedPlan().toString()
     assert found.count() == 50 and found.where("`tenant.name` = 'one'").count() == wide.where("tenant_id = 1").count()
+
+
+def test_differences_count_repeated_and_blank_lines(spark):
+    df = spark.createDataFrame([("a\na", "a"), ("a\n\nb", "a\nb"), ("a\nb", "b\na"), (None, "")], "`before_state.t` string, `after_state.t` string")
+    assert [r.x_diff_t for r in audits.get_diffs(df).collect()] == [["- a"], ["- "], [], []]

@@ -196,3 +196,19 @@ def test_logical_and_event_schema(spark):
     assert df.select(ind.logical(df, ["no"])).first()[0] == []
     assert df.select(ind.event_schema(F.col("r"))).first()[0] == "process"
     assert df.select(ind.event_schema(F.lit("odd"))).first()[0] is None
+
+
+def test_times_are_utc_in_any_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql("select 1704067200L as `a.seconds`, 1710055800123456L as t_time_usec, timestamp'2024-01-01 00:00:00+00:00' as ts")
+        shown = convert_event_timestamps(convert_alert_timestamps(df))
+        assert [shown.first()[c] for c in shown.columns if c.startswith("x_")] == ["2024-01-01T00:00:00Z", "2024-03-10T07:30:00Z"]
+        assert time_range(df, "ts", "2024-01-01T00:00:00Z", "2024-01-01T00:00:00Z").count() == 1
+        start, end = day_bounds(F.lit("20240101"))
+        assert df.select(start == F.col("ts"), end.cast("long")).first() == (True, 1704067200 + 86399)
+        odd = spark.sql("select -1L as `a.seconds` union all select cast(null as bigint)")
+        assert sorted(r[1] for r in convert_alert_timestamps(odd, "%d/%m/%Y %H%%").collect()) == ["31/12/1969 23%", "N/A"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

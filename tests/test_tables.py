@@ -206,6 +206,8 @@ def test_threat_intel(spark):
         (1, ["9.9.9.9"], [], True, 1, 2), (2, [], ["f", "m"], True, 1, 1), (3, [], [], False, 0, 0), (4, [], ["m"], False, 0, 0),
     ]
     assert ioc.add_threat_intel(df.select("n"), [correlate]).columns == ["n"]
+    both = spark.createDataFrame([("f", "p3"), ("m", "p3"), ("m", "p5")], "indicator string, publication_id string")
+    assert ("2", 2, 2) in [(str(r[0]), r[1], r[2]) for r in ioc.get_ti_pubs(ioc.add_logicals(df), both, "n").select("n", "`tips.indicators`", "`tips.publications`").collect()]
     nested = spark.sql("select 1 as n, array(named_struct('resource_id', 'a:b:s.nids:1', 'source_address', '1.1.1.1')) as event_ids")
     assert ioc.add_logicals(nested).select("`logicals.ip`").first()[0] == ["1.1.1.1"]
 
