@@ -11,7 +11,6 @@ from huntspark.plans.lineage_cut import cut
 
 HOST, KEY, PARENT, OPTIONAL = "host_id", "process_correlation_id", "parent_correlation_id", "resource_id"
 KEYS = [HOST, KEY]
-MAX_DEPTH = 1 << 16
 LINEAGE, CHILDREN, PARENT_INFO = "process_info.process_lineage", "process_info.process_children", "process_info.parent"
 
 
@@ -37,13 +36,17 @@ def unmatched_rate(df: DataFrame, column: str, by: list[str]) -> DataFrame:
     )
 
 
-def ancestors(processes: DataFrame, keys: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+def ancestors(processes: DataFrame, keys: DataFrame) -> DataFrame:
     """(host_id, process_correlation_id, steps, ancestor) for every key, the process itself being 0 steps away.
 
     Pointer jumping: table k leads 2**k steps up and is made from table k - 1 joined to itself, so a chain of depth d
     costs log2(d) joins and not d. Every table is written to the checkpoint folder. A distance is a sum of powers of
     two in exactly one way, hence applying the tables from long to short adds every ancestor once, and only for the
     keys that were asked for. A parent with very many children is split.
+
+    Ids are used again, so parents may run in a circle. No chain has more steps than its host has processes; what still
+    leads up after that many ends in a circle, and then exactly the processes of circles are reached. These count as
+    processes without a parent: chains end at the first of them, and all other chains stay whole.
     """
     # a process that is listed twice has one parent
     nodes = cut(processes.groupBy(q(HOST).alias("host"), q(KEY).alias("node")).agg(F.min(q(PARENT)).alias("anc")))
@@ -51,10 +54,14 @@ def ancestors(processes: DataFrame, keys: DataFrame, max_depth: int = MAX_DEPTH)
     known = nodes.select(F.col("host").alias("__h"), F.col("node").alias("__n"))
     linked = split_hot_join(nodes, known, [("host", "__h"), ("anc", "__n")], at_most=size)
     table = cut(linked.select("host", "node", "anc"))
-    jumps = []
+    longest = nodes.groupBy("host").count().agg(F.max("count")).first()[0] or 0
+    jumps, first = [], table
     while not table.isEmpty():
-        if 1 << len(jumps) > max_depth:
-            raise ValueError(f"a chain is longer than {max_depth} steps; parents run in a circle")
+        if 1 << len(jumps) >= longest:
+            circles = table.select(F.col("host").alias("__h"), F.col("anc").alias("__n")).distinct()
+            in_circle = (F.col("host") == F.col("__h")) & (F.col("node") == F.col("__n"))
+            jumps, table = [], cut(first.join(circles, in_circle, "left_anti"))
+            continue
         jumps.append(table)
         table = cut(_up(table, table, size).select("host", "node", F.col("__a").alias("anc")))
 
@@ -80,15 +87,15 @@ def _up(rows: DataFrame, jump: DataFrame, at_most: int) -> DataFrame:
 
 
 def lookup_lineage(
-    df: DataFrame, processes: DataFrame, max_unmatched: float | None = None, max_depth: int = MAX_DEPTH
+    df: DataFrame, processes: DataFrame, max_unmatched: float | None = None
 ) -> DataFrame:
     """One row per step of each process's ancestor chain, farthest ancestor first, ending with the process.
 
     Adds ``process_info.process_lineage`` (correlation id of the step) and ``….index`` (0, 1, …). Rows without a
     required key or with an unknown process keep one row without lineage.
     """
-    chain = ancestors(processes, lineage_keys(df), max_depth)
-    depth = F.max("steps").over(Window.partitionBy(HOST, KEY))  # a group is one chain, at most max_depth rows
+    chain = ancestors(processes, lineage_keys(df))
+    depth = F.max("steps").over(Window.partitionBy(HOST, KEY))  # a group is one chain
     steps = chain.select(
         F.col(HOST).alias("__host"),
         F.col(KEY).alias("__key"),
