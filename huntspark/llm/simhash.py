@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -279,6 +280,12 @@ HUBS = 2  # rows next to the middle of a group; every other row is held against
 WIDE_CHUNK = 1 << 10  # shingles counted at once
 SLICE = 128  # texts whose hashes a worker holds
 NEAREST = 4  # of the hubs of a band in several parts
+SAMPLE = 10_000  # texts, about, whose shingles are counted to put frequent ones last
+FREQUENT = 1 << 18  # shingles of them whose counts are kept
+CHUNK_ROWS = 1000  # texts with one rare shingle that a task compares with as many others
+SMALL = 24  # groups up to this size are compared shift by shift, all at once
+BLOCK = 256  # texts of a larger group that are compared at once
+GATHER = 20_000  # rows a task gathers before it compares them
 _ODD = np.random.default_rng(42).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -311,17 +318,16 @@ def wide_fingerprint(hashes: np.ndarray) -> tuple[bytes, np.ndarray]:
 
 
 def signatures(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, fp, bands) of the documents with an id and a word."""
+    """(id, fp, bands) of the texts of ``docs`` (id, text) that have a word."""
 
     def of(batches):
         for ids, texts in _slices(batches):
             found = [(i, *wide_fingerprint(h)) for i, h in ((i, shingles(t.as_py(), width)) for i, t in zip(ids, texts)) if len(h)]
             if found:
                 bands = pa.array([keys.view(np.int64) for _, _, keys in found], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array([i for i, _, _ in found], pa.int64()), pa.array([f for _, f, _ in found], pa.binary()), bands], names=["doc_id", "fp", "bands"])
+                yield pa.RecordBatch.from_arrays([pa.array([i for i, _, _ in found], pa.int64()), pa.array([f for _, f, _ in found], pa.binary()), bands], names=["id", "fp", "bands"])
 
-    rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(of, "doc_id long, fp binary, bands array<long>")
+    return docs.select("id", "text").mapInArrow(of, "id long, fp binary, bands array<long>")
 
 
 def _slices(batches) -> Iterator[tuple[list[int], pa.Array]]:
@@ -434,12 +440,123 @@ def candidate_links(nodes: DataFrame) -> DataFrame:
     return dealt(all_rows).mapInArrow(link, "a long, b long").where("a != b").distinct()
 
 
-def similar_copies(docs: DataFrame, width: int = 5, similarity: float = SIMILARITY) -> DataFrame:
-    """``docs`` (doc_id, text) as rows (doc_id, component_id): the smallest doc_id reachable over pairs of texts that share at
-    least ``similarity`` of their distinct ``width``-word shingles. Rows without an id or a word have no row.
+# --- exact candidates ---------------------------------------------------------------------------------------------------
+
+
+def frequent_shingles(docs: DataFrame, width: int, texts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes (sorted) and counts of the ``FREQUENT`` most frequent shingles in a sample of ``SAMPLE`` of the ``texts`` distinct
+    texts. They only order the shingles: a shingle that is missed here costs time, never a pair."""
+
+    def of(batches):
+        for _, found in _slices(batches):
+            sets = [shingles(t.as_py(), width).view(np.int64) for t in found]
+            yield pa.RecordBatch.from_arrays([pa.array(sets, pa.list_(pa.int64()))], names=["s"])
+
+    some = docs.select("id", "text").where(F.pmod("id", F.lit(max(1, texts // SAMPLE))) == 0).dropDuplicates(["id"])
+    counts = some.mapInArrow(of, "s array<long>").select(F.explode("s").alias("h")).groupBy("h").count().where("count > 1")
+    rows = counts.orderBy(F.desc("count")).limit(FREQUENT).toPandas()
+    hashes, order = np.unique(rows["h"].to_numpy(np.int64).view(np.uint64), return_index=True)
+    return hashes, rows["count"].to_numpy(np.int64)[order]
+
+
+def prefix(hashes: np.ndarray, similarity: float, known: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The rarest of the sorted ``hashes``, as many as two sets of that similarity must share one of. Every set has the
+    same order: by count, unknown ones first, then by hash."""
+    size = len(hashes) - math.ceil(similarity * len(hashes) - 1e-9) + 1 if len(hashes) else 0
+    if not len(known):
+        return hashes[:size]
+    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+    return hashes[np.argsort(np.where(known[at] == hashes, counts[at], 0), kind="stable")[:size]]
+
+
+def _pairs_of_groups(similarity: float, key, lo, hi, side, node, root, left, size) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of nodes of one (key, lo, hi) with different roots that can still have the similarity: they share at most what is
+    left of each from this key on. Rows come sorted by group; side 1 is compared with side 2, side 0 with itself."""
+
+    def fits(i, j):
+        most = np.minimum(left[i], left[j])
+        return (root[i] != root[j]) & (most >= similarity * (size[i] + size[j] - most) - 1e-9)
+
+    change = (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
+    starts = np.concatenate(([0], np.flatnonzero(change) + 1))
+    ends = np.append(starts[1:], len(key))
+    group, small = np.repeat(np.arange(len(starts)), ends - starts), np.repeat(ends - starts <= SMALL, ends - starts)
+    for shift in range(1, SMALL):
+        i = np.flatnonzero((group[:-shift] == group[shift:]) & small[:-shift])
+        if not len(i):
+            break
+        i = i[((side[i] == 0) | (side[i] != side[i + shift])) & fits(i, i + shift)]
+        yield node[i], node[i + shift]
+    for a, z in zip(starts, ends):
+        if z - a <= SMALL:
+            continue
+        one = two = np.arange(a, z)
+        if side[a]:
+            one, two = one[side[a:z] == 1], two[side[a:z] == 2]
+        for k in range(0, len(one), BLOCK):
+            i, j = one[k : k + BLOCK, None], two[None, :]
+            x, y = np.nonzero(fits(i, j) & ((i < j) | bool(side[a])))
+            yield node[one[k + x]], node[two[y]]
 
-    Wide SimHash fingerprints choose the candidates, an exact count of shared shingles decides. Texts with one
-    fingerprint are one node, so copies are never expanded into pairs.
+
+def exact_links(docs: DataFrame, roots: DataFrame, width: int, similarity: float) -> DataFrame:
+    """Distinct pairs (a, b) among which are all pairs of the nodes ``roots`` (id, root) that have the similarity and
+    different roots; ``docs`` (id, text) has a text for every id.
+
+    Two such sets share one of their rarest shingles (``prefix``). Nodes are grouped by these; a group within one root is
+    left out, one of more than ``CHUNK_ROWS`` nodes is dealt out as pairs of chunks, every pair is looked at.
+    """
+    known, counts = frequent_shingles(docs, width, roots.count())
+
+    def keys_of(batches):
+        for ids, texts in _slices(batches):
+            sets = [shingles(t.as_py(), width) for t in texts]
+            keys = pa.array([prefix(s, similarity, known, counts).view(np.int64) for s in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int32()), keys], names=["id", "size", "keys"])
+
+    def link(batches):
+        held, n = [], 0
+
+        def pairs(rows):
+            for a, b in _pairs_of_groups(similarity, *rows):
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+        for batch in batches:
+            held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            n += batch.num_rows
+            if n < GATHER:
+                continue
+            rows = [np.concatenate(x) for x in zip(*held)]
+            change = np.flatnonzero((rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1]) | (rows[2][1:] != rows[2][:-1])) + 1
+            last = int(change[-1]) if len(change) else 0
+            if last:
+                yield from pairs([x[:last] for x in rows])
+            held, n = [[x[last:] for x in rows]], len(rows[0]) - last
+        if n:
+            yield from pairs([np.concatenate(x) for x in zip(*held)])
+
+    keyed = docs.select("id", "text").mapInArrow(keys_of, "id long, size int, keys array<long>").dropDuplicates(["id"])
+    keyed = cut(keyed.join(roots, "id").select(F.col("id").alias("node"), "root", "size", "keys"))
+    rows = keyed.select("node", "root", "size", F.posexplode("keys").alias("at", "key")).withColumn("left", F.col("size") - F.col("at"))
+    met = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most")).where("least < most")
+    met = cut(met.select("key", F.ceil(F.col("n") / CHUNK_ROWS).cast("int").alias("chunks")))
+    chunk = F.pmod(F.xxhash64("node", "key"), "chunks").cast("int")
+    dealt = rows.join(met, "key").withColumn("chunk", chunk).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    dealt = dealt.withColumns({"lo": F.least("chunk", "other"), "hi": F.greatest("chunk", "other")})
+    side = F.when(F.col("lo") == F.col("hi"), 0).when(F.col("chunk") == F.col("lo"), 1).otherwise(2)
+    dealt = dealt.withColumn("side", side).repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "side", "node")
+    return dealt.select("key", "lo", "hi", "side", "node", "root", "left", "size").mapInArrow(link, "a long, b long").distinct()
+
+
+def similar_texts(docs: DataFrame, width: int = 5, similarity: float = SIMILARITY) -> DataFrame:
+    """``docs`` (id, text), an id being the hash of its text, as distinct rows (id, root): one root for the texts that are
+    linked over pairs which share at least ``similarity`` of their distinct ``width``-word shingles. A text without a word
+    has no row.
+
+    Only the count of shared shingles links two texts. Wide SimHash fingerprints first choose the likely pairs, which joins
+    large families by few comparisons; then every pair of the families so far whose rarest shingles meet is counted.
+    Texts with one fingerprint are one node, so copies are never expanded into pairs.
     """
 
     def hashed(batches):
@@ -447,15 +564,31 @@ def similar_copies(docs: DataFrame, width: int = 5, similarity: float = SIMILARI
             sets = [shingles(t.as_py(), width).view(np.int64) for t in texts]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["id", "s"])
 
-    signed = cut(signatures(docs.select("doc_id", "text"), width))
-    nodes = cut(signed.groupBy("fp").agg(F.min(F.struct("doc_id", "bands")).alias("n")).select(F.col("n.doc_id").cast("long").alias("id"), "fp", "n.bands"))
-    links = cut(candidate_links(nodes))
-    ends = links.select(F.col("a").alias("id")).union(links.select("b")).distinct()
-    sets = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ends, "id", "left_semi").distinct()
-    sets = cut(sets.mapInArrow(hashed, "id long, s array<long>"))
-    pairs = links.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
-    shared = F.size(F.array_intersect("sa", "sb"))
-    close = pairs.where(shared >= similarity * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
-    found = components(close)
-    rooted = nodes.join(found, nodes.id == found.node, "left").select("fp", F.coalesce("root", "id").alias("component_id"))
-    return signed.select("doc_id", "fp").join(rooted, "fp").select("doc_id", "component_id")
+    def close(links):
+        ends = links.select(F.col("a").alias("id")).union(links.select("b")).distinct()
+        sets = docs.select("id", "text").join(ends, "id", "left_semi").dropDuplicates(["id"])
+        sets = cut(sets.mapInArrow(hashed, "id long, s array<long>"))
+        pairs = links.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
+        shared = F.size(F.array_intersect("sa", "sb"))
+        return pairs.where(shared >= similarity * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
+
+    def rooted(edges):
+        return nodes.join(components(edges), F.col("id") == F.col("node"), "left").select("fp", "id", F.coalesce("root", "id").alias("root"))
+
+    signed = cut(signatures(docs, width))
+    nodes = cut(signed.groupBy("fp").agg(F.min(F.struct("id", "bands")).alias("n")).select(F.col("n.id").alias("id"), "fp", "n.bands"))
+    roots = cut(rooted(close(cut(candidate_links(nodes)))))
+    more = cut(exact_links(docs, roots.select("id", "root"), width, similarity))
+    if not more.isEmpty():
+        edges = close(more).unionByName(roots.where("id != root").select(F.col("id").alias("a"), F.col("root").alias("b")))
+        roots = cut(rooted(edges))
+    return signed.select("id", "fp").distinct().join(roots.select("fp", "root"), "fp").select("id", "root")
+
+
+def similar_copies(docs: DataFrame, width: int = 5, similarity: float = SIMILARITY) -> DataFrame:
+    """``docs`` (doc_id, text) as rows (doc_id, component_id): the smallest doc_id of the texts that ``similar_texts`` links.
+    Rows without an id or a word have no row."""
+    rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("id"), "text")
+    named = cut(rows.select("doc_id", "id").join(similar_texts(rows, width, similarity), "id"))
+    least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return named.join(least, "root").select("doc_id", "component_id")
