@@ -272,7 +272,7 @@ def near_copies(docs: DataFrame, width: int = 3, group: int = GROUP) -> DataFram
 
 SIMILARITY = 0.8  # shared shingles of a pair among all of theirs
 LANES = 4  # 64-bit words of a wide fingerprint
-WIDE_BUDGET = 58  # of its 256 bits: similarity 0.8 differs in 39, with a deviation of 5.7
+WIDE_BUDGET = 58  # of its 256 bits: long texts of similarity 0.8 differ in 39, short ones in more; only for likely pairs
 BANDS, ROWS = 20, 5  # a pair of similarity 0.8 misses all bands three times in 10,000
 PART = 2048  # rows of a band that are compared in one task
 ALL_PAIRS = 8  # up to here every pair of a group is a candidate
@@ -318,16 +318,20 @@ def wide_fingerprint(hashes: np.ndarray) -> tuple[bytes, np.ndarray]:
 
 
 def signatures(docs: DataFrame, width: int) -> DataFrame:
-    """(id, fp, bands) of the texts of ``docs`` (id, text) that have a word."""
+    """(id, node, fp, bands) of the texts of ``docs`` (id, text) that have a word; node is a hash of the set of shingles."""
 
     def of(batches):
         for ids, texts in _slices(batches):
-            found = [(i, *wide_fingerprint(h)) for i, h in ((i, shingles(t.as_py(), width)) for i, t in zip(ids, texts)) if len(h)]
+            sets = [(i, shingles(t.as_py(), width)) for i, t in zip(ids, texts)]
+            found = [(i, xxhash.xxh64_intdigest(h.tobytes()), *wide_fingerprint(h)) for i, h in sets if len(h)]
             if found:
-                bands = pa.array([keys.view(np.int64) for _, _, keys in found], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array([i for i, _, _ in found], pa.int64()), pa.array([f for _, f, _ in found], pa.binary()), bands], names=["id", "fp", "bands"])
+                names = pa.array(np.array([n for _, n, _, _ in found], np.uint64).view(np.int64))
+                bands = pa.array([keys.view(np.int64) for _, _, _, keys in found], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([i for i, _, _, _ in found], pa.int64()), names, pa.array([f for _, _, f, _ in found], pa.binary()), bands], names=["id", "node", "fp", "bands"]
+                )
 
-    return docs.select("id", "text").mapInArrow(of, "id long, fp binary, bands array<long>")
+    return docs.select("id", "text").mapInArrow(of, "id long, node long, fp binary, bands array<long>")
 
 
 def _slices(batches) -> Iterator[tuple[list[int], pa.Array]]:
@@ -555,8 +559,8 @@ def similar_texts(docs: DataFrame, width: int = 5, similarity: float = SIMILARIT
     has no row.
 
     Only the count of shared shingles links two texts. Wide SimHash fingerprints first choose the likely pairs, which joins
-    large families by few comparisons; then every pair of the families so far whose rarest shingles meet is counted.
-    Texts with one fingerprint are one node, so copies are never expanded into pairs.
+    large families by few comparisons; then every pair of the families so far whose rarest shingles meet is counted, however
+    far apart the fingerprints are. Texts with one set of shingles are one node, so copies are never expanded into pairs.
     """
 
     def hashed(batches):
@@ -573,16 +577,17 @@ def similar_texts(docs: DataFrame, width: int = 5, similarity: float = SIMILARIT
         return pairs.where(shared >= similarity * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
 
     def rooted(edges):
-        return nodes.join(components(edges), F.col("id") == F.col("node"), "left").select("fp", "id", F.coalesce("root", "id").alias("root"))
+        found = components(edges).withColumnRenamed("node", "end")
+        return nodes.join(found, F.col("id") == F.col("end"), "left").select("node", "id", F.coalesce("root", "id").alias("root"))
 
     signed = cut(signatures(docs, width))
-    nodes = cut(signed.groupBy("fp").agg(F.min(F.struct("id", "bands")).alias("n")).select(F.col("n.id").alias("id"), "fp", "n.bands"))
+    nodes = cut(signed.groupBy("node").agg(F.min(F.struct("id", "fp", "bands")).alias("n")).select("node", "n.id", "n.fp", "n.bands"))
     roots = cut(rooted(close(cut(candidate_links(nodes)))))
     more = cut(exact_links(docs, roots.select("id", "root"), width, similarity))
     if not more.isEmpty():
         edges = close(more).unionByName(roots.where("id != root").select(F.col("id").alias("a"), F.col("root").alias("b")))
         roots = cut(rooted(edges))
-    return signed.select("id", "fp").distinct().join(roots.select("fp", "root"), "fp").select("id", "root")
+    return signed.select("id", "node").distinct().join(roots.select("node", "root"), "node").select("id", "root")
 
 
 def similar_copies(docs: DataFrame, width: int = 5, similarity: float = SIMILARITY) -> DataFrame:

@@ -265,6 +265,17 @@ def test_similar_copies_under_one_template(spark, monkeypatch, chunk):
     assert {r.doc_id: r.component_id for r in simhash.similar_copies(documents(spark, rows)).collect()} == want
 
 
+def test_similar_copies_of_short_texts(spark):
+    """Eight words and the same with one more: similarity 0.8 exactly, but fingerprints that are often far apart."""
+    random_ = random.Random(5)
+    texts = []
+    for k in range(400):
+        words = [f"{k}v{random_.randrange(10**6)}" for _ in range(8)]
+        texts += [" ".join(words), " ".join([*words, f"z{k}"])]
+    got = {r.doc_id: r.component_id for r in simhash.similar_copies(documents(spark, [(i, t, "s") for i, t in enumerate(texts)])).collect()}
+    assert got == {i: i - i % 2 for i in range(800)}
+
+
 def test_perspectives(spark):
     rows = [(1, 0, "system", "s"), (1, 1, "ann", "hi"), (1, 2, "bob", None), (1, 2, "bob", None), (1, 300, None, "?"), (None, None, "ann", "x"), (2, 0, "system", "only")]
     turns = spark.createDataFrame([(*r, "clash") for r in rows], "conv_id long, turn long, role string, text string, speaker string")
