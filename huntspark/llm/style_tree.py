@@ -17,7 +17,6 @@ from huntspark.plans.lineage_cut import cut
 THRESHOLD = 0.4  # importance below which a branch goes
 LEAST_PAGES = 10  # pages of a host that must have a branch before its repetition counts
 GAMMA = 0.9  # share of the content in a node's importance, the rest is its presentation
-MARKED = 0.3  # weight of a branch whose tag or class says that it is no content
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -32,34 +31,39 @@ NO_CONTENT = frozenset(
     "head script style noscript template nav header footer aside form button select textarea input iframe object svg canvas dialog menu "
     "title".split()
 )
+ALWAYS = NO_CONTENT - {"form"}  # a form may span the page; like a marked class it gives way where nothing else is left
 MAIN = frozenset("article main".split())
 NO_CONTENT_WORD = re.compile(
     r"(?:^|[^a-z])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|alert|popup|modal|newsletter|subscribe|"
     r"side-?bar|nav\w*|menu|breadcrumbs?|header|footer|masthead|comments?|replies|share|sharing|social|related|widget|login|search|"
     r"skip|toolbar|pagination|contentinfo|complementary|navigation)(?:$|[^a-z])"
 )
+MAIN_WORD = re.compile(r"(?:^|[^a-z])main(?:$|[^a-z])")
+TOLD = re.compile(r"(?:has|have|no|not|with|without|is|show|hide|open|enable[ds]?|disable[ds]?|layout)[^a-z]")
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = frozenset("html body article main section div table td th ul ol dl nav aside header footer form blockquote".split())
 
 
 def role(tag: str, marks: str) -> int:
-    """2 main, 0 no content, 1 anything else."""
-    if tag in NO_CONTENT or NO_CONTENT_WORD.search(marks):
-        return 0
-    return 2 if tag in MAIN or re.search(r"(?:^|[^a-z])main(?:$|[^a-z])", marks) else 1
+    """2 main, 0 no content, 1 anything else. A main tag or name wins over other names; a name like ``main-menu`` is none,
+    and one like ``has-sidebar`` only tells of a part."""
+    names = marks.split()
+    if tag in MAIN or tag not in NO_CONTENT and any(MAIN_WORD.search(n) and not NO_CONTENT_WORD.search(n) for n in names):
+        return 2
+    return 0 if tag in NO_CONTENT or any(NO_CONTENT_WORD.search(n) and not TOLD.match(n) for n in names) else 1
 
 
 class Node:
-    __slots__ = ("sig", "path", "role", "protected", "children", "texts")
+    __slots__ = ("sig", "path", "role", "protected", "main", "above", "children", "texts")
 
-    def __init__(self, sig, path, role_, protected):
-        self.sig, self.path, self.role, self.protected = sig, path, role_, protected
+    def __init__(self, sig, path, role_, protected, main=False, above=None):
+        self.sig, self.path, self.role, self.protected, self.main, self.above = sig, path, role_, protected, main, above
         self.children, self.texts = [], []
 
 
 def parse(page: str | None) -> Node:
     """The page as a tree. Text runs and child nodes stand in page order in ``children``; open ends are closed as browsers
-    do for paragraphs, list items and cells, and at the end of the page."""
+    do for paragraphs, list items and cells, and at the end of the page. What the longest main node stands in is protected."""
     root = Node("", "", 1, False)
     stack, tags, at, page = [root], [""], 0, page or ""
 
@@ -97,8 +101,8 @@ def parse(page: str | None) -> Node:
         marks = re.sub(r"\d+", "#", marks)
         sig, above = (f"{tag}.{marks}" if marks else tag), stack[-1]
         what = role(tag, marks)
-        held = above.protected and tag in FLOW and not marks
-        node = Node(sig, f"{above.path}/{sig}", what, what == 2 or tag in ("html", "body") or held)
+        held = above.protected and tag in FLOW and (not marks or above.main and what == 1)
+        node = Node(sig, f"{above.path}/{sig}", what, what == 2 or tag in ("html", "body") or held, what == 2 or held and above.main, above)
         above.children.append(node)
         if tag in RAW:
             found = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
@@ -106,11 +110,30 @@ def parse(page: str | None) -> Node:
         elif tag not in VOID and not rest.endswith("/"):
             stack.append(node)
             tags.append(tag)
+    longest = max(_main_nodes(root), default=(0, 0, None), key=lambda x: x[:2])[2]
+    while longest is not None and longest.above is not None:
+        longest = longest.above
+        longest.protected = True
     return root
 
 
+def _main_nodes(root: Node) -> Iterator[tuple[int, int, Node]]:
+    """Length of the text, place (first ones higher) and node of the main nodes."""
+    order, todo, length = [], [root], {}
+    while todo:
+        node = todo.pop()
+        order.append(node)
+        todo += [c for c in reversed(node.children) if not isinstance(c, str)]
+    for k in range(len(order) - 1, -1, -1):
+        node = order[k]
+        length[id(node)] = sum(len(c.strip()) if isinstance(c, str) else length[id(c)] for c in node.children)
+        if node.role == 2:
+            yield length[id(node)], -k, node
+
+
 def blocks(node: Node, removed: frozenset[str] | set[str], marked: bool = True) -> list[str]:
-    """Texts of the blocks under ``node`` in page order, without removed paths; ``marked``: nor those marked no content."""
+    """Texts of the blocks under ``node`` in page order, without removed paths, nor those that a tag marks no content; ``marked``:
+    nor those that a form or a class marks."""
     done, open_ = [], []
 
     def stop() -> None:
@@ -129,7 +152,7 @@ def blocks(node: Node, removed: frozenset[str] | set[str], marked: bool = True)
             tag = child.sig.partition(".")[0]
             if tag == "br":
                 open_.append(" ")
-            if not child.protected and (child.path in removed or (marked and child.role == 0)) or tag in RAW:
+            if not child.protected and (child.path in removed or (child.role == 0 and (marked or tag in ALWAYS))) or tag in RAW:
                 if tag in BLOCK:
                     stop()
                 continue
@@ -173,8 +196,7 @@ def low_branches(pages: DataFrame, threshold: float = THRESHOLD, least_pages: in
     The nodes of a host's pages are merged by path. A node's content importance is 1 less the mean of log(uses of its
     text) / log(pages that have the path): 1 if every page has its own text, 0 if all share one. Its presentation
     importance is the entropy of its child sequences over the same logarithm. Both are counted over all pages, summed per
-    task first. A path with fewer than ``least_pages`` pages has importance 1. A branch marked as no content weighs
-    ``MARKED``, below every threshold in use.
+    task first. A path with fewer than ``least_pages`` pages has importance 1. Marks do not count here.
     """
 
     def run(batches):
@@ -214,8 +236,7 @@ def low_branches(pages: DataFrame, threshold: float = THRESHOLD, least_pages: in
     own = F.greatest(F.lit(0.0), 1 - F.col("repeated") / F.col("n") / spread)
     look = F.least(F.lit(1.0), (F.log(F.col("shapes").cast("double")) - F.col("alike") / F.col("shapes")) / spread)
     importance = F.when(F.col("pages") < least_pages, 1.0).otherwise(GAMMA * own + (1 - GAMMA) * look)
-    weighed = importance * F.when(F.col("role") == 0, MARKED).otherwise(1.0)
-    low = content.join(shape, key).where(weighed < threshold)
+    low = content.join(shape, key).where(importance < threshold)
     return low.groupBy("host").agg(F.collect_set("path").alias("paths"))
 
 
@@ -223,8 +244,9 @@ def main_text(pages: DataFrame, threshold: float = THRESHOLD, least_pages: int =
     """``pages`` (page_id, url, html) as rows (page_id, url, text, n_chars).
 
     Blocks in page order joined by one line feed, white space inside a block as one space, references decoded. Null and
-    empty pages have an empty text; broken markup is read as far as it goes; a page whose every branch is repeated on its
-    host loses only what is marked as no content; repeated rows stay. Pages without a host are one site.
+    empty pages have an empty text; broken markup is read as far as it goes; where nothing else is left, what a form or a
+    class marks as no content stays by its importance; a page whose every branch is repeated on its host loses only what is
+    marked; repeated rows stay. Pages without a host are one site.
     """
     rows = pages.select("page_id", "url", "html", host_and_path(F.col("url"))[0].alias("host"))
     low = cut(low_branches(rows, threshold, least_pages))
@@ -234,7 +256,8 @@ def main_text(pages: DataFrame, threshold: float = THRESHOLD, least_pages: int =
             texts = []
             for page, paths in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
                 root = parse(page)
-                texts.append("\n".join(blocks(root, frozenset(paths or ()), False) or blocks(root, frozenset())))
+                low = frozenset(paths or ())
+                texts.append("\n".join(blocks(root, low) or blocks(root, low, False) or blocks(root, frozenset())))
             columns = [b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text", "n_chars"])
 

@@ -393,6 +393,21 @@ def test_main_text(spark):
     assert style_tree.main_text(frame.limit(0)).collect() == []
 
 
+def test_main_text_where_class_words_mislead(spark):
+    """Twelve pages of each kind: the article stays, whatever the names around it; the menu and the advert go."""
+    text, menu = "<h1>T {k}</h1><p class=lead>Same lead</p><p>Own {k}</p>", "<div class=main-menu>Home</div><div class=ad>Buy</div>"
+    kinds = [
+        "<article class='post comments-open'>%s</article>", "<div id='main' class='has-sidebar'>%s</div>", "<main class='site-main nav-fixed'>%s</main>",
+        "<form>Search<article>%s</article></form>", "<div class='layout-sidebar'><div class=site-header>S</div><article>%s</article></div>",
+        "<div class='share page'><p>T {k}</p><p>Same lead</p><p>Own {k}</p></div>",
+    ]
+    rows = [(100 * n + k, f"http://h{n}.com/{k}", page(menu + (kind % text if "%s" in kind else kind).replace("{k}", str(k)))) for n, kind in enumerate(kinds) for k in range(12)]
+    got = {r.page_id: r.text for r in style_tree.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for n in range(len(kinds)):
+        for k in range(12):
+            assert got[100 * n + k] == ("Search\n" if n == 3 else "") + f"T {k}\nSame lead\nOwn {k}", n
+
+
 def test_url_rules(spark):
     rows = [(1, "https://A.Example.COM/en/x?q#f"), (2, "http://www.example.com/en/"), (3, "x://b.NET/es/1"), (4, "http://com"), (5, None), (6, "no scheme"), (7, "s://é.net/FR/"), (7, "s://é.net/FR/"), (8, "http://notexample.com/en/")]
     pages = spark.createDataFrame([(*r, "t") for r in rows], "page_id long, url string, tokens string")
