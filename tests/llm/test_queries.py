@@ -63,6 +63,15 @@ def test_pipeline_stages(spark, tmp_path):
         before, docs = {i: t for i, t in before.items() if i in ids}, kept
 
 
+def test_near_duplicates_by_row(spark):
+    """Copies without an id, repeated rows and an id with two texts: one row of each group, no clean text lost."""
+    one, two, three = (" ".join(f"{c}{k}" for k in range(30)) for c in "abc")
+    rows = [(None, one, "x"), (None, one, "x"), (1, two, "y"), (1, two, "x"), (2, two, "x"), (2, three, "x"), (3, one, "x"), (4, " ", "x"), (4, " ", "x"), (None, None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted((tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()), key=repr)
+    assert got == sorted([(3, one, "x"), (1, two, "x"), (2, three, "x"), (4, " ", "x"), (4, " ", "x"), (None, None, "x")], key=repr)
+
+
 def test_pipeline_of_nothing(spark):
     empty = table(spark, SF, "documents").limit(0)
     for name, stage in corpus_pipeline.STAGES:
