@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +23,17 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def runs(batches: Iterable[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple[int, ...], pa.RecordBatch]]:
+    """Pieces of sorted batches in which the first ``keys`` (integer) columns are constant, with their values. A group that
+    spans batches comes as several pieces, one after the other."""
+    for b in batches:
+        if b.num_rows:
+            columns = [b.column(k).to_numpy(zero_copy_only=False) for k in range(keys)]
+            change = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in columns])) + 1
+            for lo, hi in zip([0, *change.tolist()], [*change.tolist(), b.num_rows]):
+                yield tuple(int(c[lo]) for c in columns), b.slice(lo, hi - lo)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of the undirected ``edges`` (a, b: long) as rows (node, root); root is the smallest node.
 

@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 from huntspark.llm.chat import perspectives
 from huntspark.llm.common import table
 from huntspark.llm.embeddings import near_vectors
+from huntspark.llm.hard_negatives import mine_negatives
 from huntspark.llm.leaks import find_leaks
+from huntspark.llm.line_dedup import deduplicated
+from huntspark.llm.manifest import manifest
 from huntspark.llm.mixing import taken_words
 from huntspark.llm.simhash import near_copies
 from huntspark.llm.style_tree import main_text
@@ -173,3 +176,114 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     mined = mine_block_rules(label_urls(pages, table(spark, sf_dir, "labels")))
     return filter_urls(pages, mined)
+
+
+@query(
+    """
+    with usable as (
+      select vec_id, case when vec_id % 7 = 0 then (cast(label as bigint) + 1) % 10 else label end as label,
+             list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as whole
+      from embeddings
+      where vec_id is not null and label is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    scored as (
+      select a.vec_id as anchor_id, r.vec_id, r.label = a.label as same,
+             cast(coalesce(list_sum(list_transform(list_zip(a.whole, r.whole), lambda z: z[1] * z[2])), 0) as bigint) as score
+      from usable a join usable r on a.vec_id % 100 = 0 and a.vec_id <> r.vec_id and len(a.whole) = len(r.whole)),
+    positive as (
+      select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+      qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5),
+    inside as (
+      select anchor_id, positive_id, vec_id as negative_id, positive_score, score as negative_score,
+             cast(row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) as integer) as rank
+      from positive join scored using (anchor_id)
+      where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score)
+    select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from inside where rank <= 10
+    """
+)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_negatives(table(spark, sf_dir, "embeddings"))
+
+
+@query(
+    r"""
+    with recursive
+    told as (
+      select doc_id, source, coalesce(strlen(cast(doc_id as varchar)) || ':' || doc_id, '-')
+               || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+               || coalesce(strlen(cast(n_chars as varchar)) || ':' || n_chars, '-') as head,
+             text, replace(text, chr(10), '') as flat,
+             list_reduce(
+               [cast(4294967295 as bigint)] || list_transform(string_split(cast(doc_id as varchar), ''), lambda c: cast(ascii(c) as bigint)),
+               lambda crc, byte: list_reduce([xor(crc, byte)] || range(8),
+                 lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))) as crc
+      from documents),
+    leaf as (
+      select doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) as leaf,
+             sha256(head || coalesce(strlen(flat) || ':' || flat, '-')) as altered, xor(crc, 4294967295) % 2 = 0 as touched
+      from told),
+    place as (
+      select *, dense_rank() over (order by source nulls first) - 1 as tree,
+             row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as spot
+      from leaf),
+    node(tree, level, spot, h, n) as (
+      select tree, 0, spot, leaf, count(*) over (partition by tree) from place
+      union all
+      select distinct tree, level + 1, spot // 3, sha256(string_agg(h, '' order by spot) over (partition by tree, spot // 3)), (n + 2) // 3
+      from node where n > 1),
+    top as (select tree as spot, h from node where n = 1),
+    upper(level, spot, h, n) as (
+      select 0, spot, h, count(*) over () from top
+      union all
+      select distinct level + 1, spot // 3, sha256(string_agg(h, '' order by spot) over (partition by spot // 3)), (n + 2) // 3
+      from upper where n > 1),
+    step as (
+      select tree, level, spot, h, n from node
+      union all select -1, level, spot, h, n from upper),
+    run as (
+      select tree, level, spot // 3 as above, list({'spot': spot, 'h': h} order by spot) as members from step where n > 1 group by all),
+    path(tree, spot, home, level, pos, within, proof, folded) as (
+      select tree, spot, tree, 0, spot, tree, '', case when touched then altered else leaf end from place
+      union all
+      select p.tree, p.spot, p.home, case when r.tree is null then 0 else p.level + 1 end,
+             case when r.tree is null then p.home else p.pos // 3 end,
+             case when r.tree is null then -1 else p.within end,
+             p.proof || coalesce(list_aggregate(list_transform(list_filter(r.members, lambda m: m.spot <> p.pos), lambda m: m.h), 'string_agg', ''), ''),
+             case when r.tree is null then p.folded
+                  else sha256(list_aggregate(list_transform(r.members, lambda m: case when m.spot = p.pos then p.folded else m.h end), 'string_agg', '')) end
+      from path p left join run r on r.tree = p.within and r.level = p.level and r.above = p.pos // 3
+      where r.tree is not null or p.within <> -1),
+    proof as (
+      select tree, spot, proof, folded from path
+      where within = -1 and not exists (select 1 from run r where r.tree = -1 and r.level = path.level and r.above = path.pos // 3))
+    select p.doc_id, p.leaf, t.h as subroot, u.h as root, sha256(f.proof) as proof_sha256, f.folded as folded_root, f.folded = u.h as verified
+    from place p join proof f using (tree, spot) join top t on t.spot = p.tree join (select h from upper where n = 1) u on true
+    """
+)
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(table(spark, sf_dir, "documents"))
+
+
+@query(
+    """
+    with line as (
+      select row_number() over () as row, doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+    flat as (
+      select row, doc_id, unnest(lines) as line, generate_subscripts(lines, 1) as place from line),
+    keyed as (
+      select *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+      from flat),
+    shared as (
+      select key, min(doc_id) as least from keyed where length(key) >= 10 group by key
+      having count(distinct doc_id) + max(case when doc_id is null then 1 else 0 end) >= 2),
+    judged as (
+      select k.*, s.key is not null and k.doc_id is distinct from s.least as dropped from keyed k left join shared s using (key))
+    select any_value(doc_id) as doc_id, count(*) as n_lines, cast(count(*) filter (where dropped) as bigint) as n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) order by place) filter (where not dropped), '')) as kept_sha256
+    from judged group by row
+    """
+)
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return deduplicated(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
