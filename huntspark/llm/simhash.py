@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -266,334 +265,3 @@ def near_copies(docs: DataFrame, width: int = 3, group: int = GROUP) -> DataFram
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = cut(rooted.join(least, "root").select("fp", "component_id"))
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
-
-
-# --- texts by the similarity of their shingle sets --------------------------------------------------------------------
-
-SIMILARITY = 0.8  # shared shingles of a pair among all of theirs
-LANES = 4  # 64-bit words of a wide fingerprint
-WIDE_BUDGET = 58  # of its 256 bits: long texts of similarity 0.8 differ in 39, short ones in more; only for likely pairs
-BANDS, ROWS = 20, 5  # a pair of similarity 0.8 misses all bands three times in 10,000
-PART = 2048  # rows of a band that are compared in one task
-ALL_PAIRS = 8  # up to here every pair of a group is a candidate
-HUBS = 2  # rows next to the middle of a group; every other row is held against them
-WIDE_CHUNK = 1 << 10  # shingles counted at once
-SLICE = 128  # texts whose hashes a worker holds
-NEAREST = 4  # of the hubs of a band in several parts
-SAMPLE = 10_000  # texts, about, whose shingles are counted to put frequent ones last
-FREQUENT = 1 << 18  # shingles of them whose counts are kept
-CHUNK_ROWS = 1000  # texts with one rare shingle that a task compares with as many others
-SMALL = 24  # groups up to this size are compared shift by shift, all at once
-BLOCK = 256  # texts of a larger group that are compared at once
-GATHER = 20_000  # rows a task gathers before it compares them
-_ODD = np.random.default_rng(42).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ x >> np.uint64(31)) * np.uint64(0x9E3779B97F4A7C15)
-    return x ^ x >> np.uint64(29)
-
-
-def shingles(text: str | None, width: int) -> np.ndarray:
-    """Sorted distinct uint64 hashes of the ``width``-word shingles; none for a text without words."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    n = max(1, len(words) - width + 1) if words else 0
-    pieces = (b" ".join(words[k : k + width]) for k in range(n))
-    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, pieces, repeat(42)), np.uint64, n))
-
-
-def wide_fingerprint(hashes: np.ndarray) -> tuple[bytes, np.ndarray]:
-    """A SimHash of 64 ``LANES`` bits, and a key for each band of ``ROWS`` least hashes."""
-    ones = np.zeros(64 * LANES, np.int64)
-    least = np.full(BANDS * ROWS, ~np.uint64(0))
-    for k in range(0, len(hashes), WIDE_CHUNK):
-        part = hashes[k : k + WIDE_CHUNK]
-        lanes = np.stack([_mixed(part + np.uint64(lane)) for lane in range(LANES)], axis=1)
-        ones += np.unpackbits(lanes.astype("<u8").view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        np.minimum(least, _mixed(part[:, None] * _ODD[None, :]).min(axis=0), out=least)
-    keys = np.arange(BANDS, dtype=np.uint64)
-    for row in least.reshape(BANDS, ROWS).T:
-        keys = _mixed(keys ^ row) * np.uint64(3)
-    return np.packbits(ones * 2 > len(hashes), bitorder="little").tobytes(), keys
-
-
-def signatures(docs: DataFrame, width: int) -> DataFrame:
-    """(id, node, fp, bands) of the texts of ``docs`` (id, text) that have a word; node is a hash of the set of shingles."""
-
-    def of(batches):
-        for ids, texts in _slices(batches):
-            sets = [(i, shingles(t.as_py(), width)) for i, t in zip(ids, texts)]
-            found = [(i, xxhash.xxh64_intdigest(h.tobytes()), *wide_fingerprint(h)) for i, h in sets if len(h)]
-            if found:
-                names = pa.array(np.array([n for _, n, _, _ in found], np.uint64).view(np.int64))
-                bands = pa.array([keys.view(np.int64) for _, _, _, keys in found], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([i for i, _, _, _ in found], pa.int64()), names, pa.array([f for _, _, f, _ in found], pa.binary()), bands], names=["id", "node", "fp", "bands"]
-                )
-
-    return docs.select("id", "text").mapInArrow(of, "id long, node long, fp binary, bands array<long>")
-
-
-def _slices(batches) -> Iterator[tuple[list[int], pa.Array]]:
-    """Ids and texts (first and second column) of a few rows at a time; texts become Python values one by one."""
-    for batch in batches:
-        for k in range(0, batch.num_rows, SLICE):
-            rows = batch.slice(k, SLICE)
-            yield rows.column(0).to_pylist(), rows.column(1)
-
-
-def _apart(fps: np.ndarray, one: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(fps ^ one).sum(axis=1, dtype=np.int64)
-
-
-def hubs_of(fps: np.ndarray) -> np.ndarray:
-    """Positions of the ``HUBS`` fingerprints nearest to the bits that most of ``fps`` have."""
-    bits = np.unpackbits(fps.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    middle = np.packbits(bits * 2 > len(fps), bitorder="little").view(np.uint64)
-    return np.argsort(_apart(fps, middle), kind="stable")[:HUBS]
-
-
-def group_links(fps: np.ndarray, hubs: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Candidate pairs of positions that connect a group: all of a small one; else each fingerprint with the nearest hubs
-    (a text that many were made of lies in their middle) and the edges of a minimum spanning tree, which finds the
-    families beside it."""
-    n = len(fps)
-    if n <= ALL_PAIRS:
-        for k in range(n - 1):
-            for j in np.flatnonzero(_apart(fps[k + 1 :], fps[k]) <= WIDE_BUDGET):
-                yield k, k + 1 + int(j)
-        return
-    far = np.stack([_apart(fps, fps[h]) for h in hubs])
-    for h in np.argsort(far, axis=0, kind="stable")[:NEAREST]:
-        near = (far[h, np.arange(n)] <= WIDE_BUDGET) & (hubs[h] != np.arange(n))
-        yield from ((int(hubs[h[j]]), int(j)) for j in np.flatnonzero(near))
-    best, by, out = np.full(n, 1 << 30), np.zeros(n, np.int64), np.ones(n, bool)
-    k = 0
-    for _ in range(n - 1):
-        out[k], best[k] = False, 1 << 30
-        d = _apart(fps, fps[k])
-        closer = (d < best) & out
-        best[closer], by[closer] = d[closer], k
-        k = int(np.argmin(best))
-        if best[k] <= WIDE_BUDGET:
-            yield int(by[k]), k
-
-
-def _by_group(batches, of) -> Iterator[pa.RecordBatch]:
-    """``of(key, ids, fps, hub)`` for each group of rows (key, part, hub, id, fp) that come sorted by key and part."""
-    held: list[pa.RecordBatch] = []
-
-    def groups(rows: pa.Table):
-        key, part, hub, ids = (rows.column(k).to_numpy() for k in range(4))
-        fps = np.frombuffer(b"".join(rows.column(4).to_pylist()), np.uint64).reshape(-1, LANES)
-        ends = np.flatnonzero((key[1:] != key[:-1]) | (part[1:] != part[:-1])) + 1
-        for a, z in zip([0, *ends], [*ends, len(key)]):
-            yield int(a), lambda a=a, z=z: of(int(key[a]), ids[a:z], fps[a:z], hub[a:z])
-
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        rows = pa.Table.from_batches([*held, batch])
-        found = list(groups(rows))
-        for _, run in found[:-1]:
-            yield from run()
-        held = rows.slice(found[-1][0]).combine_chunks().to_batches()
-    if held:
-        for _, run in groups(pa.Table.from_batches(held)):
-            yield from run()
-
-
-def candidate_links(nodes: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of ``nodes`` (id, fp, bands) that share a band and differ in at most ``WIDE_BUDGET`` bits, as
-    ``group_links`` chooses them.
-
-    A band of many rows is dealt over parts by the hash of their ids; the hubs of all parts are then shown to each part.
-    """
-
-    def find_hubs(batches):
-        def of(key, ids, fps, hub):
-            at = hubs_of(fps)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(at), key)), pa.array(ids[at]), pa.array([f.tobytes() for f in fps[at]], pa.binary())], names=["key", "id", "fp"]
-            )
-
-        yield from _by_group(batches, of)
-
-    def link(batches):
-        def of(key, ids, fps, hub):
-            if len(ids) > 1:
-                pairs = list(group_links(fps, np.flatnonzero(hub) if hub.any() else hubs_of(fps)))
-                a, b = ids[[p[0] for p in pairs]], ids[[p[1] for p in pairs]]
-                if len(pairs):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
-
-        yield from _by_group(batches, of)
-
-    def dealt(rows):
-        columns = ["key", "part", "hub", "id", "fp"]
-        return rows.repartition("key", "part").sortWithinPartitions("key", "part", "id").select(columns)
-
-    counts = nodes.select(F.explode("bands").alias("key")).groupBy("key").count().where("count > 1")
-    parts = cut(counts.select("key", F.ceil(F.col("count") / PART).cast("int").alias("parts")))
-    rows = nodes.select(F.explode("bands").alias("key"), "id", "fp").join(parts, "key")
-    rows = cut(rows.withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int")).withColumn("hub", F.lit(0)))
-    hubs = dealt(rows.where("parts > 1")).mapInArrow(find_hubs, "key long, id long, fp binary").withColumn("hub", F.lit(1))
-    shown = hubs.join(parts, "key").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    columns = ["key", "part", "id", "fp"]
-    all_rows = rows.select(*columns, "hub").unionByName(shown.select(*columns, "hub"))
-    return dealt(all_rows).mapInArrow(link, "a long, b long").where("a != b").distinct()
-
-
-# --- exact candidates ---------------------------------------------------------------------------------------------------
-
-
-def frequent_shingles(docs: DataFrame, width: int, texts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes (sorted) and counts of the ``FREQUENT`` most frequent shingles in a sample of ``SAMPLE`` of the ``texts`` distinct
-    texts. They only order the shingles: a shingle that is missed here costs time, never a pair."""
-
-    def of(batches):
-        for _, found in _slices(batches):
-            sets = [shingles(t.as_py(), width).view(np.int64) for t in found]
-            yield pa.RecordBatch.from_arrays([pa.array(sets, pa.list_(pa.int64()))], names=["s"])
-
-    some = docs.select("id", "text").where(F.pmod("id", F.lit(max(1, texts // SAMPLE))) == 0).dropDuplicates(["id"])
-    counts = some.mapInArrow(of, "s array<long>").select(F.explode("s").alias("h")).groupBy("h").count().where("count > 1")
-    rows = counts.orderBy(F.desc("count")).limit(FREQUENT).toPandas()
-    hashes, order = np.unique(rows["h"].to_numpy(np.int64).view(np.uint64), return_index=True)
-    return hashes, rows["count"].to_numpy(np.int64)[order]
-
-
-def prefix(hashes: np.ndarray, similarity: float, known: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The rarest of the sorted ``hashes``, as many as two sets of that similarity must share one of. Every set has the
-    same order: by count, unknown ones first, then by hash."""
-    size = len(hashes) - math.ceil(similarity * len(hashes) - 1e-9) + 1 if len(hashes) else 0
-    if not len(known):
-        return hashes[:size]
-    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-    return hashes[np.argsort(np.where(known[at] == hashes, counts[at], 0), kind="stable")[:size]]
-
-
-def _pairs_of_groups(similarity: float, key, lo, hi, side, node, root, left, size) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of nodes of one (key, lo, hi) with different roots that can still have the similarity: they share at most what is
-    left of each from this key on. Rows come sorted by group; side 1 is compared with side 2, side 0 with itself."""
-
-    def fits(i, j):
-        most = np.minimum(left[i], left[j])
-        return (root[i] != root[j]) & (most >= similarity * (size[i] + size[j] - most) - 1e-9)
-
-    change = (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
-    starts = np.concatenate(([0], np.flatnonzero(change) + 1))
-    ends = np.append(starts[1:], len(key))
-    group, small = np.repeat(np.arange(len(starts)), ends - starts), np.repeat(ends - starts <= SMALL, ends - starts)
-    for shift in range(1, SMALL):
-        i = np.flatnonzero((group[:-shift] == group[shift:]) & small[:-shift])
-        if not len(i):
-            break
-        i = i[((side[i] == 0) | (side[i] != side[i + shift])) & fits(i, i + shift)]
-        yield node[i], node[i + shift]
-    for a, z in zip(starts, ends):
-        if z - a <= SMALL:
-            continue
-        one = two = np.arange(a, z)
-        if side[a]:
-            one, two = one[side[a:z] == 1], two[side[a:z] == 2]
-        for k in range(0, len(one), BLOCK):
-            i, j = one[k : k + BLOCK, None], two[None, :]
-            x, y = np.nonzero(fits(i, j) & ((i < j) | bool(side[a])))
-            yield node[one[k + x]], node[two[y]]
-
-
-def exact_links(docs: DataFrame, roots: DataFrame, width: int, similarity: float) -> DataFrame:
-    """Distinct pairs (a, b) among which are all pairs of the nodes ``roots`` (id, root) that have the similarity and
-    different roots; ``docs`` (id, text) has a text for every id.
-
-    Two such sets share one of their rarest shingles (``prefix``). Nodes are grouped by these; a group within one root is
-    left out, one of more than ``CHUNK_ROWS`` nodes is dealt out as pairs of chunks, every pair is looked at.
-    """
-    known, counts = frequent_shingles(docs, width, roots.count())
-
-    def keys_of(batches):
-        for ids, texts in _slices(batches):
-            sets = [shingles(t.as_py(), width) for t in texts]
-            keys = pa.array([prefix(s, similarity, known, counts).view(np.int64) for s in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int32()), keys], names=["id", "size", "keys"])
-
-    def link(batches):
-        held, n = [], 0
-
-        def pairs(rows):
-            for a, b in _pairs_of_groups(similarity, *rows):
-                if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
-
-        for batch in batches:
-            held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
-            n += batch.num_rows
-            if n < GATHER:
-                continue
-            rows = [np.concatenate(x) for x in zip(*held)]
-            change = np.flatnonzero((rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1]) | (rows[2][1:] != rows[2][:-1])) + 1
-            last = int(change[-1]) if len(change) else 0
-            if last:
-                yield from pairs([x[:last] for x in rows])
-            held, n = [[x[last:] for x in rows]], len(rows[0]) - last
-        if n:
-            yield from pairs([np.concatenate(x) for x in zip(*held)])
-
-    keyed = docs.select("id", "text").mapInArrow(keys_of, "id long, size int, keys array<long>").dropDuplicates(["id"])
-    keyed = cut(keyed.join(roots, "id").select(F.col("id").alias("node"), "root", "size", "keys"))
-    rows = keyed.select("node", "root", "size", F.posexplode("keys").alias("at", "key")).withColumn("left", F.col("size") - F.col("at"))
-    met = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most")).where("least < most")
-    met = cut(met.select("key", F.ceil(F.col("n") / CHUNK_ROWS).cast("int").alias("chunks")))
-    chunk = F.pmod(F.xxhash64("node", "key"), "chunks").cast("int")
-    dealt = rows.join(met, "key").withColumn("chunk", chunk).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    dealt = dealt.withColumns({"lo": F.least("chunk", "other"), "hi": F.greatest("chunk", "other")})
-    side = F.when(F.col("lo") == F.col("hi"), 0).when(F.col("chunk") == F.col("lo"), 1).otherwise(2)
-    dealt = dealt.withColumn("side", side).repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "side", "node")
-    return dealt.select("key", "lo", "hi", "side", "node", "root", "left", "size").mapInArrow(link, "a long, b long").distinct()
-
-
-def similar_texts(docs: DataFrame, width: int = 5, similarity: float = SIMILARITY) -> DataFrame:
-    """``docs`` (id, text), an id being the hash of its text, as distinct rows (id, root): one root for the texts that are
-    linked over pairs which share at least ``similarity`` of their distinct ``width``-word shingles. A text without a word
-    has no row.
-
-    Only the count of shared shingles links two texts. Wide SimHash fingerprints first choose the likely pairs, which joins
-    large families by few comparisons; then every pair of the families so far whose rarest shingles meet is counted, however
-    far apart the fingerprints are. Texts with one set of shingles are one node, so copies are never expanded into pairs.
-    """
-
-    def hashed(batches):
-        for ids, texts in _slices(batches):
-            sets = [shingles(t.as_py(), width).view(np.int64) for t in texts]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["id", "s"])
-
-    def close(links):
-        ends = links.select(F.col("a").alias("id")).union(links.select("b")).distinct()
-        sets = docs.select("id", "text").join(ends, "id", "left_semi").dropDuplicates(["id"])
-        sets = cut(sets.mapInArrow(hashed, "id long, s array<long>"))
-        pairs = links.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
-        shared = F.size(F.array_intersect("sa", "sb"))
-        return pairs.where(shared >= similarity * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
-
-    def rooted(edges):
-        found = components(edges).withColumnRenamed("node", "end")
-        return nodes.join(found, F.col("id") == F.col("end"), "left").select("node", "id", F.coalesce("root", "id").alias("root"))
-
-    signed = cut(signatures(docs, width))
-    nodes = cut(signed.groupBy("node").agg(F.min(F.struct("id", "fp", "bands")).alias("n")).select("node", "n.id", "n.fp", "n.bands"))
-    roots = cut(rooted(close(cut(candidate_links(nodes)))))
-    more = cut(exact_links(docs, roots.select("id", "root"), width, similarity))
-    if not more.isEmpty():
-        edges = close(more).unionByName(roots.where("id != root").select(F.col("id").alias("a"), F.col("root").alias("b")))
-        roots = cut(rooted(edges))
-    return signed.select("id", "node").distinct().join(roots.select("node", "root"), "node").select("id", "root")
-
-
-def similar_copies(docs: DataFrame, width: int = 5, similarity: float = SIMILARITY) -> DataFrame:
-    """``docs`` (doc_id, text) as rows (doc_id, component_id): the smallest doc_id of the texts that ``similar_texts`` links.
-    Rows without an id or a word have no row."""
-    rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("id"), "text")
-    named = cut(rows.select("doc_id", "id").join(similar_texts(rows, width, similarity), "id"))
-    least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return named.join(least, "root").select("doc_id", "component_id")

@@ -85,7 +85,8 @@ class Counter:
 
 
 def token_counts(docs: DataFrame, scores: dict[str, float], nodes: int = NODES) -> DataFrame:
-    """``docs`` with n_words and n_tokens of the whole text; 0 for null, empty and blank texts.
+    """``docs`` with n_words and n_tokens of the whole text; 0 for null, empty and blank texts. Columns of these names give way;
+    repeated rows stay, and an empty table has no rows.
 
     Pre-tokens are the runs between white space. Nothing is shuffled: each task builds the trie of what it reads, and its
     size is bounded; ``scores`` is a fixed vocabulary. A text's words are held while it is counted.
@@ -101,4 +102,6 @@ def token_counts(docs: DataFrame, scores: dict[str, float], nodes: int = NODES)
             tokens = [n for k in range(0, len(held), PART) for n in counter.count(held[k : k + PART])]
             yield pd.DataFrame({"n_words": sizes, "n_tokens": tokens})
 
-    return docs.withColumn("__counts", count(F.col("text"))).select(*docs.columns, "__counts.n_words", "__counts.n_tokens")
+    return docs.withColumn("__counts", count(F.col("text"))).select(
+        *[F.col(f"`{c}`") for c in docs.columns if c not in ("n_words", "n_tokens")], "__counts.n_words", "__counts.n_tokens"
+    )

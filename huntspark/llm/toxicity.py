@@ -187,8 +187,9 @@ def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Model:
     return Model(voters, weights, float(bias), odds, relation)
 
 
-def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with score (0 to 1). Only the text is read, whole; null and empty texts get the score of a text without votes."""
+def scored(docs: DataFrame, model: Model, out: str = "score") -> DataFrame:
+    """``docs`` with a score (0 to 1) in column ``out``, which takes the place of one of that name. Only the text is read, whole; null and
+    empty texts get the score of a text without votes, repeated rows the same score. An empty table has no rows."""
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
@@ -202,7 +203,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
         ]
         return pd.Series(np.concatenate(parts) if parts else [], dtype="float64")
 
-    return docs.withColumn("score", score(F.col("text")))
+    return docs.withColumn(out, score(F.col("text")))
 
 
 def judged(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:

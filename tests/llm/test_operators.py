@@ -187,95 +187,6 @@ def test_near_copies_odd_cases(spark):
     assert simhash.near_copies(documents(spark, [])).collect() == []
 
 
-@pytest.mark.parametrize("part", [40, 2048])
-def test_similar_copies_are_those_of_all_pairs(spark, monkeypatch, part):
-    """A large family of one text, small families and texts alone, against the shared shingles of all pairs."""
-    monkeypatch.setattr(simhash, "PART", part)
-    random_ = random.Random(7)
-    vocabulary = [f"w{k}" for k in range(3000)]
-
-    def edited(words, edits):
-        words = list(words)
-        for _ in range(edits):
-            words[random_.randrange(len(words))] = random_.choice(vocabulary)
-        return words
-
-    texts = []
-    for family, length in [(200, 150), (12, 90), (3, 60), (2, 400)] + [(2, 80)] * 20 + [(1, 70)] * 30:
-        base = random_.choices(vocabulary, k=length)
-        texts += [base] + [edited(base, random_.randint(1, max(1, length // 45))) for _ in range(family - 1)]
-    random_.shuffle(texts)
-    rows = [(i, " ".join(t), "s") for i, t in enumerate(texts)] + [(900, " ".join(texts[3]).upper(), "s")]
-    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in ((i, t.lower().split()) for i, t, _ in rows)}
-    least = {i: i for i in sets}
-
-    def find(x):
-        while least[x] != x:
-            x = least[x]
-        return x
-
-    for a in sets:
-        for b in sets:
-            if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
-                x, y = find(a), find(b)
-                least[max(x, y)] = min(x, y)
-    got = {r.doc_id: r.component_id for r in simhash.similar_copies(documents(spark, rows)).collect()}
-    assert got == {i: find(i) for i in sets}
-
-
-def test_similar_copies_odd_cases(spark):
-    got = sorted((r.doc_id, r.component_id) for r in simhash.similar_copies(documents(spark, ODD)).collect())
-    assert got == [(i, i) for i in (2, 7, 8, 9)]
-    assert simhash.similar_copies(documents(spark, [])).collect() == []
-
-
-def all_pairs(rows):
-    """Of the rows (id, text, …) the smallest id linked over five-word shingles of similarity 0.8, by comparing all pairs."""
-    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, w in ((r[0], r[1].lower().split()) for r in rows)}
-    least = {i: i for i in sets}
-
-    def find(x):
-        while least[x] != x:
-            x = least[x]
-        return x
-
-    for a in sets:
-        for b in sets:
-            if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
-                x, y = find(a), find(b)
-                least[max(x, y)] = min(x, y)
-    return {i: find(i) for i in sets}
-
-
-@pytest.mark.parametrize("chunk", [1000, 40])
-def test_similar_copies_under_one_template(spark, monkeypatch, chunk):
-    """Texts that share most of their words with all others: the close partner is not the nearest fingerprint."""
-    monkeypatch.setattr(simhash, "CHUNK_ROWS", chunk)
-    random_ = random.Random(1)
-    template, texts = [f"t{k}" for k in range(200)], []
-    for k in range(150):
-        own = [f"{k}x{j}" for j in range(30)]
-        texts.append(template + own)
-        if k % 3 == 0:
-            texts.append(template + own[:8] + [f"{k}y{j}" for j in range(22)])
-    random_.shuffle(texts)
-    rows = [(i, " ".join(t), "s") for i, t in enumerate(texts)]
-    want = all_pairs(rows)
-    assert len(set(want.values())) == 150
-    assert {r.doc_id: r.component_id for r in simhash.similar_copies(documents(spark, rows)).collect()} == want
-
-
-def test_similar_copies_of_short_texts(spark):
-    """Eight words and the same with one more: similarity 0.8 exactly, but fingerprints that are often far apart."""
-    random_ = random.Random(5)
-    texts = []
-    for k in range(400):
-        words = [f"{k}v{random_.randrange(10**6)}" for _ in range(8)]
-        texts += [" ".join(words), " ".join([*words, f"z{k}"])]
-    got = {r.doc_id: r.component_id for r in simhash.similar_copies(documents(spark, [(i, t, "s") for i, t in enumerate(texts)])).collect()}
-    assert got == {i: i - i % 2 for i in range(800)}
-
-
 def test_perspectives(spark):
     rows = [(1, 0, "system", "s"), (1, 1, "ann", "hi"), (1, 2, "bob", None), (1, 2, "bob", None), (1, 300, None, "?"), (None, None, "ann", "x"), (2, 0, "system", "only")]
     turns = spark.createDataFrame([(*r, "clash") for r in rows], "conv_id long, turn long, role string, text string, speaker string")

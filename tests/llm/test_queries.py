@@ -7,9 +7,11 @@ import re
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from check import normal
+from huntspark.llm import simhash
 from huntspark.llm.common import table
 from huntspark.llm.queries import ORACLES, QUERIES
 
@@ -19,7 +21,7 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_agrees_with_sql(spark, name):
     duck = duckdb.connect()
-    for t in ("documents", "pages", "labels", "conversations"):
+    for t in ("documents", "pages", "labels", "conversations", "embeddings"):
         duck.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     df = QUERIES[name](spark, SF)
     cursor = duck.execute(ORACLES[name])
@@ -28,7 +30,7 @@ def test_query_agrees_with_sql(spark, name):
     assert normal(df.collect(), df.columns) == normal(cursor.fetchall(), columns)
 
 
-@pytest.mark.parametrize("name", ["op1_token_shards", "op2_mix", "op3_token_counts", "op4_simhash", "op6_toxicity"])
+@pytest.mark.parametrize("name", ["op1_token_shards", "op2_mix", "op3_token_counts", "op4_simhash", "op6_toxicity", "op12_manifest", "op13_line_dedup"])
 def test_one_row_per_document(spark, name):
     ids = sorted(r.doc_id for r in table(spark, SF, "documents").select("doc_id").collect())
     assert sorted(r.doc_id for r in QUERIES[name](spark, SF).collect()) == ids
@@ -57,8 +59,7 @@ def test_pipeline_stages(spark, tmp_path):
         if name != "token_output":
             assert kept.columns == columns
         if name == "near_duplicates":
-            words = {i: tuple(re.findall(r"[^\x20\x09-\x0D]+", t.lower())) for i, t in before.items() if i in ids and t}
-            texts = [w for w in words.values() if w]
+            texts = [tuple(re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower())) for i, t in before.items() if i in ids]
             assert len(texts) == len(set(texts))
         before, docs = {i: t for i, t in before.items() if i in ids}, kept
 
@@ -66,10 +67,37 @@ def test_pipeline_stages(spark, tmp_path):
 def test_near_duplicates_by_row(spark):
     """Copies without an id, repeated rows and an id with two texts: one row of each group, no clean text lost."""
     one, two, three = (" ".join(f"{c}{k}" for k in range(30)) for c in "abc")
-    rows = [(None, one, "x"), (None, one, "x"), (1, two, "y"), (1, two, "x"), (2, two, "x"), (2, three, "x"), (3, one, "x"), (4, " ", "x"), (4, " ", "x"), (None, None, "x")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    got = sorted((tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()), key=repr)
-    assert got == sorted([(3, one, "x"), (1, two, "x"), (2, three, "x"), (4, " ", "x"), (4, " ", "x"), (None, None, "x")], key=repr)
+    rows = [(None, one, "x"), (None, one, "x"), (1, two, "x"), (1, two, "x"), (2, two, "x"), (2, three, "x"), (3, one, "x"), (4, " ", "x"), (4, " ", "x"), (None, None, "x")]
+    docs = spark.createDataFrame([(*r, {"a": 1}, 5) for r in rows], "doc_id long, text string, source string, more map<string,int>, fp int")
+    kept = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert kept.columns == docs.columns
+    assert sorted((tuple(r)[:3] for r in kept.collect()), key=repr) == sorted([(3, one, "x"), (1, two, "x"), (2, three, "x"), (4, " ", "x")], key=repr)
+
+
+def test_near_duplicates_against_all_pairs(spark):
+    """The stage keeps the smallest doc_id of each component of fingerprints that differ in at most three bits."""
+    docs = table(spark, SF, "documents")
+    prints = {r.doc_id: simhash.fingerprint(r.text, 3) for r in docs.collect()}
+    root = {i: i for i in prints}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(prints)
+    for k, i in enumerate(ids):
+        for j in ids[:k]:
+            if ((prints[i] ^ prints[j]) & (1 << 64) - 1).bit_count() <= 3:
+                a, b = sorted((top(i), top(j)))
+                root[b] = a
+    assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()} == {top(i) for i in ids}
+
+
+def test_toxicity_stage_keeps_a_column_named_score(spark):
+    docs = table(spark, SF, "documents").withColumn("score", F.lit(42))
+    out = corpus_pipeline.toxicity(spark, docs, SF)
+    assert out.columns == docs.columns and out.where("score <> 42").count() == 0 and out.count() > 0
 
 
 def test_pipeline_of_nothing(spark):
