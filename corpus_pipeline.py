@@ -7,39 +7,36 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from huntspark.llm.common import table
 from huntspark.llm.leaks import without_leaks
 from huntspark.llm.mixing import mixed
 from huntspark.llm.queries import written_documents
-from huntspark.llm.simhash import similar_texts
+from huntspark.llm.simhash import near_copies
 from huntspark.llm.toxicity import THRESHOLD, fit, scored
 from huntspark.plans.lineage_cut import cut, shared_folder
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose score is below the threshold; the model learns from the labelled rows of the training fold."""
+    """Documents whose score is below the threshold; the model learns from the labelled rows of the training fold. All columns
+    stay as they are, one named ``score`` too."""
     model = fit(docs, table(spark, sf_dir, "labels"))
-    return scored(docs, model).where(F.col("score") < THRESHOLD).select(*docs.columns)
+    return scored(docs, model, "__score").where(F.col("__score") < THRESHOLD).drop("__score")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of texts that are linked by a similarity of 0.8 (shared five-word shingles) one row: that with the smallest
-    doc_id (null last) and text hash; of rows that are equal in both the least. Texts without a word stay."""
-    rows = docs.withColumn("__id", F.xxhash64("text"))
-    keys = rows.select("__id", "doc_id").groupBy("__id", "doc_id").agg(F.count("*").alias("__n"))
-    named = cut(keys.join(similar_texts(rows.select(F.col("__id").alias("id"), "text")), F.col("__id") == F.col("id")))
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__id")
-    first = named.groupBy("root").agg(F.min(place).alias("first"))
-    judged = cut(named.join(first, "root").select("__id", "doc_id", "__n", (place == F.col("first")).alias("__kept")))
-    same = ["__id", F.col("doc_id").isNull().alias("__none"), F.coalesce("doc_id", F.lit(0)).alias("__doc")]
-    numbered = rows.select("*", *same[1:])
-    on = ["__id", "__none", "__doc"]
-    away = judged.where(~F.col("__kept") | (F.col("__n") > 1)).select(*same)
-    again = judged.where(F.col("__kept") & (F.col("__n") > 1)).select(*same)
-    whole = numbered.join(away, on, "left_anti").select(*docs.columns)
-    one = numbered.join(again, on, "left_semi").groupBy(*on).agg(F.min(F.struct(*docs.columns)).alias("__row"))
-    return whole.unionByName(one.select("__row.*"))
+    """One row of each group of texts whose fingerprints are linked, by the shingle length and the bits of ``near_copies``: that
+    with the smallest doc_id (null last), then by the hash of its columns. Rows are told apart by a number that is written
+    before it is used, so repeated rows, rows without an id and several texts of one id are rows like any other. Null and empty
+    texts have one fingerprint and are one group."""
+    usable = [F.col(f"`{f.name}`") for f in docs.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    rows = cut(docs.withColumn("__row", F.monotonically_increasing_id()))
+    found = near_copies(rows.select(F.col("__row").alias("doc_id"), "text"))
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64(*usable), "__row")
+    grouped = rows.select("__row", place.alias("place")).join(found.select(F.col("doc_id").alias("__row"), "component_id"), "__row")
+    kept = grouped.groupBy("component_id").agg(F.min("place").alias("place")).select(F.col("place.__row").alias("__row"))
+    return rows.join(kept, "__row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
