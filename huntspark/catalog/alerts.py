@@ -354,6 +354,24 @@ def apply_suppression(i: Inputs) -> DataFrame:
     return suppress(alerts, rules, title="title", detector="creator", entities="entities").select("id")
 
 
+@query(
+    "f_alerts f_rules",
+    """select id from f_alerts a where (contains(title, 'i') or contains(creator, 'd1')) and (contains(title, 'r') or contains(creator, 'd2'))
+      and not exists (select 1 from f_rules r where a.creator = 'app:d'||(r.rule_id % 7) and starts_with(a.entity3, 'fileName:f'||(r.rule_id % 5)))""",
+)
+def apply_suppression_by_detector(i: Inputs) -> DataFrame:
+    """Rules that name detectors, and rules all of whose filters are inverted."""
+    rules = i("f_rules").selectExpr(
+        """explode(array(
+             array(struct('alert_title' as key, if(rule_id % 2 = 0, '[i]', 'r[^z]?') as pattern, true as inverted),
+               struct('detector' as key, if(rule_id % 2 = 0, 'd1', 'd2') as pattern, true as inverted)),
+             array(struct('detector' as key, '^app:d'||(rule_id % 7)||'$' as pattern, false as inverted),
+               struct('entity' as key, '^fileName:f'||(rule_id % 5) as pattern, false as inverted)))) as filters"""
+    )
+    alerts = i("f_alerts").selectExpr("id", "title", "creator", "array(entity1, entity2, entity3) as entities")
+    return suppress(alerts, rules, title="title", detector="creator", entities="entities").select("id")
+
+
 @query(
     "f_alerts",
     """select id, epoch_us(d)//1000000 as first_second, epoch_us(d)//1000000 + 86399 as last_second

@@ -232,11 +232,34 @@ def process_lineage(i: Inputs) -> DataFrame:
     found = lineage.lookup_lineage(rows, rows)
     return found.select(
         "event_id",
-        F.coalesce(q(lineage.LINEAGE), F.lit("")).alias("step"),
+        F.coalesce(q(lineage.LINEAGE)["process_correlation_id"], F.lit("")).alias("step"),
         F.coalesce(q(lineage.LINEAGE + ".index"), F.lit(-1)).alias("lineage_index"),
     )
 
 
+@query(
+    "f_processes",
+    """with p as (select host_id as h, process_correlation_id as k, min(parent_correlation_id) as par, min(image_path) as image,
+        min(username) as username from f_processes where process_correlation_id is not null group by all),
+      asked as (select distinct h, k, image from p where ends_with(username, '7')),
+      walk as (select h, k, 0 as steps, k as anc from asked union all
+        select w.h, w.k, steps + 1, b.k from walk w join p a on a.h = w.h and a.k = w.anc join p b on b.h = a.h and b.k = a.par),
+      deep as (select h, k, max(steps) as depth from walk group by all)
+    select w.h as host_id, w.k as process_correlation_id, p.image as image_path, p.username, cast(depth - steps as bigint) as lineage_index
+    from walk w join deep d on d.h = w.h and d.k = w.k join p on p.h = w.h and p.k = w.anc""",
+    recursive=True,
+)
+def process_lineage_records(i: Inputs) -> DataFrame:
+    """Steps with the attributes of their processes, asked by the resource of each record."""
+    table = i("f_processes").selectExpr("host_id", "process_correlation_id", "parent_correlation_id", "image_path", "username", "'r'||username as resource_id")
+    asked = table.where("endswith(username, '7')").select("host_id", "process_correlation_id", "resource_id")
+    found = lineage.lookup_lineage(asked.dropna(), table)
+    step = q(lineage.LINEAGE)
+    return found.select(
+        "host_id", "process_correlation_id", step["image_path"].alias("image_path"), step["username"].alias("username"), q(lineage.LINEAGE + ".index").alias("lineage_index")
+    )
+
+
 @query(
     "f_processes",
     """select p.event_id, coalesce(c.k, '') as child from f_processes p left join
@@ -246,7 +269,7 @@ def process_lineage(i: Inputs) -> DataFrame:
 def process_children(i: Inputs) -> DataFrame:
     rows = i("f_processes").select("event_id", "host_id", "process_correlation_id", "parent_correlation_id")
     listed = rows.withColumn("process_correlation_id", F.coalesce("process_correlation_id", F.lit("?")))
-    return lineage.lookup_children(rows, listed).select("event_id", F.coalesce(q(lineage.CHILDREN), F.lit("")).alias("child"))
+    return lineage.lookup_children(rows, listed).select("event_id", F.coalesce(q(lineage.CHILDREN)["process_correlation_id"], F.lit("")).alias("child"))
 
 
 @query(
@@ -256,7 +279,7 @@ def process_children(i: Inputs) -> DataFrame:
 )
 def process_parent(i: Inputs) -> DataFrame:
     rows = i("f_processes").select("event_id", "host_id", "process_correlation_id", "parent_correlation_id")
-    return lineage.lookup_parent(rows, rows).select("event_id", F.coalesce(q(lineage.PARENT_INFO), F.lit("")).alias("parent"))
+    return lineage.lookup_parent(rows, rows).select("event_id", F.coalesce(q(lineage.PARENT_INFO)["process_correlation_id"], F.lit("")).alias("parent"))
 
 
 @query(

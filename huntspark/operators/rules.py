@@ -18,6 +18,8 @@ from huntspark.plans.lineage_cut import cut
 KEYS = ("alert_title", "detector", "entity")
 _LITERAL = r"^\^[A-Za-z0-9 _:@/,;=%&-]*\$$"
 _ALTERNATIVES = r"^\^\([A-Za-z0-9 _:@/,;=%&-]+(\|[A-Za-z0-9 _:@/,;=%&-]+)*\)\$$"
+GRAM = 3  # characters of the text pieces that values are looked up by
+_BREAK, _DOT = "\u0001", "\u0002"  # where a pattern stops to be plain text; a dot that stands for itself
 
 
 def _values(alerts: DataFrame, title: str, detector: str, entities: str) -> Column:
@@ -29,12 +31,43 @@ def _values(alerts: DataFrame, title: str, detector: str, entities: str) -> Colu
     return F.array_distinct(F.filter(F.concat(single, listed), lambda v: v["value"].isNotNull()))
 
 
+def required_text(pattern: Column) -> Column:
+    """The longest text of at least ``GRAM`` characters that every value matching ``pattern`` contains, else null.
+
+    Careful, not complete: only text outside groups and classes counts, nothing that a quantifier makes optional, and a pattern with
+    an alternative outside groups, a flag, a look-around, a quotation or a character number has none.
+    """
+    def cut_out(text: Column, what: str, by: str = _BREAK) -> Column:
+        return F.regexp_replace(text, what, by)
+
+    opaque = pattern.rlike(r"\(\?|\\\\|\\[xu0cpPQENkG1-9]|\[\^?\]|\[[^\]]*[\[&]|[" + _BREAK + _DOT + "]")
+    text = cut_out(cut_out(pattern, r"\\\.|\[\.\]", _DOT), r"\\.")
+    text = cut_out(text, r"\[[^\]]*\]")
+    for _ in range(4):  # groups within groups
+        text = cut_out(text, r"\([^()]*\)")
+    text = cut_out(text, r"(?s).(\?|\*|\{[^}]*\})[?+]?")
+    opaque = opaque | text.rlike(r"[()\[\]|\\?*{}]")
+    text = cut_out(text, r"[+.^$]")
+    pieces = F.transform(F.split(text, _BREAK), lambda t: F.replace(t, F.lit(_DOT), F.lit(".")))
+    longest = F.array_max(F.transform(pieces, lambda t: F.struct(F.length(t).alias("n"), t.alias("text"))))
+    return F.when(~opaque & (longest["n"] >= GRAM), longest["text"])
+
+
+def grams(text: Column) -> Column:
+    """The different pieces of ``GRAM`` characters of ``text``."""
+    last = F.length(text) - (GRAM - 1)
+    places = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(places, lambda k: F.substr(text, k, F.lit(GRAM))))
+
+
 def pattern_matches(values: DataFrame, patterns: DataFrame, chunk: int = 512, salts: int = 64) -> DataFrame:
     """(key, value, pattern) for every value in which a pattern of its key is found.
 
-    Patterns that spell out whole values (``^text$``, ``^(a|b)$``) are joined by equality. The others have to be tried:
-    they are dealt into chunks of about ``chunk`` patterns, every distinct value visits every chunk, and the visits are
-    spread over ``salts`` tasks per chunk. Distinct values and distinct patterns only, and none is left out.
+    Patterns that spell out whole values (``^text$``, ``^(a|b)$``) are joined by equality. Of the others most require some text: an
+    index leads from one piece of that text (the one that the fewest values have) to the pattern, so a value is only tried
+    against patterns one of whose pieces it has. What is left requires no text and has to be tried on every value of its key; such
+    patterns stand in lists of about ``chunk``, spread over ``salts`` tasks a list, and a row is a value and a list, never a value and
+    a pattern. Distinct values and distinct patterns only, and none is left out.
     """
     values = values.select("key", "value").distinct()
     patterns = patterns.select("key", "pattern").distinct()
@@ -48,28 +81,35 @@ def pattern_matches(values: DataFrame, patterns: DataFrame, chunk: int = 512, sa
         spelled, (F.col("key") == F.col("__key")) & (F.col("value") == F.col("__text"))
     ).select("key", "value", "pattern")
 
-    tried = patterns.where(~exact)
-    n_chunks = -(-tried.count() // chunk)
-    if n_chunks == 0:
-        return by_equality.distinct()
-    dealt = (
-        tried.withColumn("__chunk", F.pmod(F.xxhash64("key", "pattern"), F.lit(n_chunks)))
-        .groupBy("__chunk")
-        .agg(F.collect_list(F.struct("key", "pattern")).alias("__patterns"))
-        .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    )
-    visits = values.select(
-        F.col("key"),
-        F.col("value"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_chunks - 1).cast("bigint"))).alias("__at"),
-        F.pmod(F.xxhash64("key", "value"), F.lit(salts)).cast("int").alias("__part"),
+    tried = cut(patterns.where(~exact).withColumn("text", required_text(F.col("pattern"))))
+    indexed = tried.where("text is not null")
+    wanted = indexed.select("key", "pattern", "text", F.explode(grams(F.col("text"))).alias("gram"))
+    pieces = values.select("key", "value", F.explode(grams(F.col("value"))).alias("gram"))
+    pieces = pieces.join(wanted.select("key", "gram").distinct(), ["key", "gram"], "left_semi")
+    counted = pieces.groupBy("key", "gram").agg(F.count("*").alias("n"))
+    rarest = (
+        wanted.join(counted, ["key", "gram"], "left")
+        .groupBy("key", "pattern", "text")
+        .agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), "gram")).alias("gram"))
     )
-    joined = visits.join(dealt, (F.col("__at") == F.col("__chunk")) & (F.col("__part") == F.col("__salt")))
     # expr: the pattern of rlike may be a column there
-    found = joined.select("key", "value", F.explode("__patterns").alias("__p")).where(
-        (F.col("__p.key") == F.col("key")) & F.expr("value rlike __p.pattern")
+    by_text = pieces.join(rarest, ["key", "gram"]).where(F.contains("value", "text") & F.expr("value rlike pattern"))
+    found = by_equality.unionByName(by_text.select("key", "value", "pattern"))
+
+    rest = tried.where("text is null").select("key", "pattern")
+    most = rest.groupBy("key").count().agg(F.max("count")).first()[0] or 0
+    if not most:
+        return found.distinct()
+    n_lists = -(-most // chunk)
+    lists = (
+        rest.groupBy("key", F.pmod(F.xxhash64("pattern"), F.lit(n_lists)).alias("list"))
+        .agg(F.collect_list("pattern").alias("patterns"))
+        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     )
-    return by_equality.unionByName(found.select("key", "value", F.col("__p.pattern").alias("pattern"))).distinct()
+    salted = values.withColumn("salt", F.pmod(F.xxhash64("key", "value"), F.lit(salts)).cast("int"))
+    held = salted.join(lists, ["key", "salt"]).withColumn("patterns", F.expr("filter(patterns, p -> value rlike p)"))
+    by_trying = held.select("key", "value", F.explode("patterns").alias("pattern"))
+    return found.unionByName(by_trying).distinct()
 
 
 def matching_alerts(

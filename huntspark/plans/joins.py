@@ -123,10 +123,10 @@ def expand_left_join(
 
 
 def lookup_join(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    """Left join of facts to a lookup table; rows without a key go past the join, so they do not all meet in one task.
+    """Left join of facts to a lookup table: one join, which reads the facts once.
 
-    Nothing but the keys is read for the join: columns that the caller does not use are pruned at the scan.
+    A small lookup table is broadcast. Otherwise rows without a key, or with a hot one, meet in one partition, which adaptive
+    execution splits: it may split the kept side of a left join. Nothing but the keys is read for the join; columns that the
+    caller does not use are pruned at the scan.
     """
-    whole = all_present([lk for lk, _ in pairs])
-    joined = left.where(whole).join(right, on_keys(left, right, pairs), "left")
-    return joined.unionByName(left.where(~whole), allowMissingColumns=True)
+    return left.join(right, on_keys(left, right, pairs), "left")

@@ -189,6 +189,29 @@ def test_suppression_against_brute_force(spark, flat):
         assert rows(left, "id") == want
 
 
+PATTERNS = [
+    "abc", "^abc", "a.cde", "abcd?ef", "ab+cde", "(abc)?def", "(abc|xyz)qrs", "abc|def", "[abc]def", "a[]]bcd", r"10\.0\.0\.1$", r"10[.]0[.]", r"\babc\b", r"abc\d+def",
+    r"a\\.bcd", "abc{2}def", "(?i)ABC", "abc*?def", "x(a(b)c)yz1", "x(a(b)?)*yz1", "..", "a", "", "abc$|^$", "[^a]bcd", "abcx*", r"\x41bcd", r"(ab)(cd)\1", "a.{0,2}bcd", "abc??def", "été.", "[a-c]{3}xyz",
+]
+
+
+def test_required_text_stands_in_every_match(spark):
+    import re
+
+    rng = __import__("random").Random(4)
+    words = ["abc", "def", "xyz", "qrs", "bcd", "10.0.0.1", "a", "b", "c", "1", "Abcd", "abab", "xabcyz1", "xyz1", "cde", "été", "ef", "\\", "]bcd", "2", "x", "ABC", "\n"]
+    values = ["".join(rng.choice(words) for _ in range(rng.randint(0, 5))) for _ in range(1500)]
+    texts = dict(spark.createDataFrame([(p,) for p in PATTERNS], "pattern string").select("pattern", rules.required_text(F.col("pattern"))).collect())
+    for pattern, text in texts.items():
+        if text is not None:
+            assert all(text in v for v in values if re.search(pattern, v)), pattern
+    assert texts[r"10\.0\.0\.1$"] == "10.0.0.1" and texts["abcd?ef"] == "abc" and texts["abc|def"] is None and texts["(abc)?def"] == "def"
+    got = rows(rules.pattern_matches(
+        spark.createDataFrame([("entity", v) for v in values], "key string, value string"),
+        spark.createDataFrame([("entity", p) for p in PATTERNS], "key string, pattern string"), chunk=4, salts=3))
+    assert got == sorted({("entity", v, p) for v in values for p in PATTERNS if re.search(p, v)}, key=repr)
+
+
 def test_pattern_matches_with_many_chunks(spark):
     import re
 

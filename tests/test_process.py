@@ -118,8 +118,28 @@ def test_lineage_against_brute_force(spark, forest, hot_rows, monkeypatch):
     for n, (h, k) in enumerate(asked):
         chain = chain_of(forest, h, k)
         want += [(n, step, i) for i, step in enumerate(chain)] or [(n, None, None)]
-    got = rows(lineage.lookup_lineage(df, table), "n", lineage.LINEAGE, lineage.LINEAGE + ".index")
+    found = lineage.lookup_lineage(df, table)
+    assert found.schema[lineage.LINEAGE].dataType.names == table.columns
+    step = found["`" + lineage.LINEAGE + "`"][lineage.KEY].alias("step")
+    assert rows(found.select("n", step, "`" + lineage.LINEAGE + ".index`")) == sorted(want, key=repr)
+
+
+def test_lineage_of_one_record_of_a_process(spark):
+    """A process that is listed with two resources and two parents: each resource has its own chain; without one the least parent counts."""
+    table = spark.createDataFrame(
+        [("h", "a", None, "r0", "init"), ("h", "b", "a", "r1", "sh"), ("h", "c", "b", "r2", "one"), ("h", "c", "a", "r3", "two"), ("h", "d", "c", "r4", "leaf"),
+         ("g", "a", None, "r0", "other")],
+        SCHEMA + ", resource_id string, image string",
+    )
+    asked = spark.createDataFrame([(0, "h", "c", "r2"), (1, "h", "c", "r3"), (2, "h", "c", None), (3, "h", "c", "r9"), (4, "h", "d", "r4"), (5, None, "c", "r2")],
+                                  "n int, host_id string, process_correlation_id string, resource_id string")
+    found = lineage.lookup_lineage(asked, table)
+    step = found["`" + lineage.LINEAGE + "`"]["image"].alias("image")
+    got = rows(found.select("n", "`" + lineage.LINEAGE + ".index`", step))
+    want = [(0, 0, "init"), (0, 1, "sh"), (0, 2, "one"), (1, 0, "init"), (1, 1, "two"), (2, 0, "init"), (2, 1, "two"), (3, None, None), (4, 0, "init"), (4, 1, "two"), (4, 2, "leaf"), (5, None, None)]
     assert got == sorted(want, key=repr)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
 
 
 def test_circles_end_chains_and_leave_others(spark):
@@ -127,7 +147,8 @@ def test_circles_end_chains_and_leave_others(spark):
     links = [("h", "a", "b"), ("h", "b", "a"), ("h", "t1", "t2"), ("h", "t2", "a"), ("h", "c1", "c2"), ("h", "c2", "c3"), ("h", "c3", None),
              ("h", "s", "s"), ("g", "x", "y"), ("g", "y", "z"), ("g", "z", "x"), ("k", "c1", "c2"), ("k", "c2", None), ("o", "s", "s")]
     table = spark.createDataFrame(links, SCHEMA)
-    got = rows(lineage.ancestors(table, table), "host_id", "process_correlation_id", "steps", "ancestor")
+    found = lineage.ancestors(table, table)
+    got = rows(found.select("host_id", "process_correlation_id", "steps", found["record"][lineage.KEY].alias("ancestor")))
     want = [(h, k, 0, k) for h, k, _ in links]
     want += [("h", "t1", 1, "t2"), ("h", "t1", 2, "a"), ("h", "t2", 1, "a"), ("h", "c1", 1, "c2"), ("h", "c1", 2, "c3"), ("h", "c2", 1, "c3"), ("k", "c1", 1, "c2")]
     assert got == sorted(want, key=repr)
@@ -147,10 +168,12 @@ def test_lineage_guards(spark):
 def test_children_and_parent(spark, forest):
     table = spark.createDataFrame([(h, k, p) for (h, k), p in forest.items()], SCHEMA)
     asked = spark.createDataFrame([("h2", "root"), ("h2", "s1"), ("h1", "c3"), (None, "x")], "host_id string, process_correlation_id string")
-    got = rows(lineage.lookup_children(asked, table), "host_id", "process_correlation_id", lineage.CHILDREN)
+    found = lineage.lookup_children(asked, table)
+    got = rows(found.select("host_id", "process_correlation_id", found["`" + lineage.CHILDREN + "`"][lineage.KEY].alias("child")))
     want = [("h2", "root", f"s{n}") for n in range(1, 60)] + [("h2", "s1", None), ("h1", "c3", "c4"), (None, "x", None)]
     assert got == sorted(want, key=repr)
-    parents = rows(lineage.lookup_parent(table, table), *SCHEMA.replace(" string", "").split(", "), lineage.PARENT_INFO)
+    found = lineage.lookup_parent(table, table)
+    parents = rows(found.select(*SCHEMA.replace(" string", "").split(", "), found["`" + lineage.PARENT_INFO + "`"][lineage.KEY].alias("parent")))
     want = [(h, k, p, p if (h, p) in forest else None) for (h, k), p in forest.items()]
     assert parents == sorted(want, key=repr)
 
