@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from huntspark.catalog.alerts import nested_alerts
 from huntspark.catalog.registry import Inputs, query
@@ -102,6 +103,98 @@ def context_events(i: Inputs) -> DataFrame:
     return context.context_events(i("f_processes"), context.own_terms(seeds(i)), columns, ["image_path"])
 
 
+# entities whose first alert is an error, each with everything that occurs beside it in an alert
+RELATED = """chosen as (select field, value from seed where title = 'error'),
+term as (select distinct s.field as entity_field, s.value as entity_value, b.field, b.value
+    from chosen s join entity a on a.value = s.value join entity b on a.id = b.id and a.value <> b.value
+  union select field, value, field, value from chosen)"""
+
+
+def chosen(i: Inputs) -> DataFrame:
+    return seeds(i).where("title = 'error'")
+
+
+def related(i: Inputs) -> DataFrame:
+    return context.related_terms(chosen(i), entities.relate_entities(flat(i)))
+
+
+@query(
+    "f_alerts",
+    f"""with {ENTITY.strip()}, {SEED}, {RELATED}
+    select entity_field, entity_value, entities, e.title, count(distinct id) as count
+    from term t join entity e on e.field = t.field and e.value = t.value join seed s on s.value = entity_value
+    where status = 'OPEN' and investigation_id is null and e.title <> s.title group by all""",
+)
+def context_open_alerts_related(i: Inputs) -> DataFrame:
+    return context.context_open_alerts(flat(i), chosen(i), related(i))
+
+
+@query(
+    "f_alerts",
+    f"""with {ENTITY.strip()}, {SEED}, {RELATED}
+    select entity_field, entity_value, entities, e.title, status, resolution_reason, count(distinct id) as count
+    from term t join entity e on e.field = t.field and e.value = t.value where status <> 'OPEN' group by all""",
+)
+def context_resolved_related(i: Inputs) -> DataFrame:
+    return context.context_resolved(flat(i), related(i))
+
+
+@query(
+    "f_alerts",
+    f"""with {ENTITY.strip()}, {SEED}, {RELATED}
+    select entity_field, entity_value, entities, e.title, investigation_id, status, count(distinct id) as count
+    from term t join entity e on e.field = t.field and e.value = t.value where investigation_id is not null group by all""",
+)
+def context_investigations_related(i: Inputs) -> DataFrame:
+    return context.context_investigations(flat(i), related(i))
+
+
+@query(
+    "f_alerts f_processes",
+    f"""with {ENTITY.strip()}, {SEED}, {RELATED}
+    select entity_field, entity_value, image_path, count(distinct event_id) as count from term t join f_processes p
+      on (t.field = '@user' and t.value = p.username) or (t.field = '@ip' and t.value = p.source_address) group by all""",
+)
+def context_events_related(i: Inputs) -> DataFrame:
+    columns = {"@user": ["username"], "@ip": ["source_address"]}
+    return context.context_related_events(i("f_processes"), related(i), columns, ["image_path"])
+
+
+@query(
+    "f_alerts",
+    f"""with {ENTITY.strip()}, other as (
+      select a.id, a.field, a.value, a.title, '('||a.field||' = '''||a.value||''' OR '||b.field||' = '''||b.value||''')' as terms
+      from entity a join entity b on a.id = b.id and a.field <> b.field)
+    select id, field, value,
+      'FROM alert WHERE '||terms||' AND metadata.title != '''||title||''' AND status = ''OPEN'' AND investigation_ids IS NULL EARLIEST=-1d' as open_alerts,
+      'FROM alert WHERE '||terms||' AND status != ''OPEN'' EARLIEST=-30d | aggregate count by metadata.title, entities, status, resolution_reason' as resolved,
+      'FROM alert WHERE '||terms||' AND investigation_ids IS NOT NULL EARLIEST=-7d | aggregate count by metadata.title, entities, investigation_ids, status'
+        as investigations,
+      'WHERE '||terms||' EARLIEST=-1d' as events from other""",
+)
+def context_query_texts(i: Inputs) -> DataFrame:
+    """All four texts, each widened by the other values of the alert."""
+    rows = entities.normalize_entities(flat(i))
+    held = q(entities.VALUE)
+    listed = {n: F.substring(F.element_at(q("entities.entities"), k), len(kind) + 2, 100) for n, k, kind in [("@user", 1, "userName"), ("@ip", 2, "sourceIpAddress")]}
+    wide = rows.withColumns({n: F.filter(F.array(v), lambda v: v != held) for n, v in listed.items()})
+    texts = {"open_alerts": "x_open_alerts_query", "resolved": "x_resolved_alerts_query", "investigations": "x_investigations_query", "events": "x_events_query"}
+    return context.generate_context_queries(wide, investigations="EARLIEST=-7d").select(
+        "id", q(entities.FIELD).alias("field"), held.alias("value"), *[q(c).alias(n) for n, c in texts.items()]
+    )
+
+
+@query("f_alerts", f"with {ENTITY.strip()} select distinct field, value, id from entity")
+def entity_alerts(i: Inputs) -> DataFrame:
+    return entities.entity_alerts(flat(i))
+
+
+@query("f_alerts", f"with {ENTITY.strip()} select id, value from entity where field = '@ip'")
+def keep_logical_type(i: Inputs) -> DataFrame:
+    kept = entities.keep_logical_type(entities.normalize_entities(flat(i)), "@ip")
+    return kept.select("id", q(entities.VALUE).alias("value"))
+
+
 @query(
     "f_alerts",
     f"""with {ENTITY.strip()}, {SEED}

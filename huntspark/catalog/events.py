@@ -76,6 +76,33 @@ def facets_by_schema(i: Inputs) -> DataFrame:
     return facets.facets_by_schema(events(i), q("schema"), ["process", "netflow", "http", "auth"])
 
 
+@query(
+    "f_events",
+    f"""with {FACET.strip().format(null='null')},
+    more as (select schema, facet from facet
+      union all select schema, 'schema='||schema||'|resource_id='||resource_id||'|event_time_usec='||event_time_usec||'|sensor_type='||sensor_type
+        ||'|image_path='||image_path from f_events where schema = 'detectionfinding'
+      union all select 'thirdpartyalert', 'source_address=10.0.3.'||(s_suppkey % 9)||'|user_principal_name='||s_nationkey||'@corp|title='||substr(s_name, 1, 8) from supplier)
+    select schema, facet, count(*) as count from more where facet is not null group by all""",
+)
+def facets_all_schemas(i: Inputs) -> DataFrame:
+    """Every schema that occurs: a listed one of another table, and one without columns of its own."""
+    third = i.table("supplier").selectExpr(
+        "'thirdpartyalert' as schema", "'10.0.3.'||(s_suppkey % 9) as source_address", "s_nationkey||'@corp' as user_principal_name", "substr(s_name, 1, 8) as title",
+        "cast(null as string) as ontology",
+    )
+    return facets.facets_by_schema(events(i).unionByName(third, allowMissingColumns=True), q("schema"))
+
+
+@query(
+    sql="""select 'decoded_block_text='||substr(text, 1, 200) as facet, count(*) as count from documents where text is not null group by text""",
+)
+def script_preview(i: Inputs) -> DataFrame:
+    """Whole texts are counted; only what is shown is shortened."""
+    scripts = i.table("documents").selectExpr("'scriptblock' as schema", "text as decoded_block_text")
+    return facets.facets_by_schema(scripts, q("schema"), ["scriptblock"]).select("facet", "count")
+
+
 @query(
     "f_events",
     f"""with {FACET.strip().format(null="'null'")} select schema, facet, count from (select schema, facet, count(*) as count from facet group by all)
@@ -165,10 +192,8 @@ def correlation_parts(i: Inputs) -> DataFrame:
       and n.event_ts >= timestamp '1996-01-01 00:00:00'""",
 )
 def correlate_netflow(i: Inputs) -> DataFrame:
-    flows = i("f_netflow").where("event_ts >= timestamp_ntz '1996-01-01 00:00:00'").withColumnsRenamed(
-        {"pid": "processcorrelationid.pid", "timewindow": "processcorrelationid.timewindow"}
-    )
-    joined = process.process_correlate_netflow(i("f_processes"), flows)
+    flows = i("f_netflow").withColumnsRenamed({"pid": "processcorrelationid.pid", "timewindow": "processcorrelationid.timewindow"})
+    joined = process.process_correlate_netflow(i("f_processes"), flows, earliest="1996-01-01T00:00:00Z", time_column="event_ts")
     return joined.select("event_id", F.coalesce(q("netflow.event_id"), F.lit("")).alias("flow"))
 
 

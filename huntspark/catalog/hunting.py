@@ -30,12 +30,18 @@ IP_SQL = f"""(regexp_full_match(value, '{OCTET}([.]{OCTET}){{3}}')
   or (regexp_full_match(value, '({HEX}(:{HEX})*)?::({HEX}(:{HEX})*)?')
       and len(list_filter(string_split(value, ':'), lambda g: g <> '')) <= 7))"""
 
+HOST_SQL = """(regexp_full_match(value, '([A-Za-z0-9-]{1,63}[.])+[A-Za-z]{2,}') and not starts_with(value, '-') and not contains(value, '-.')
+  and not contains(value, '.-') and regexp_matches(value, '[.]([a-z]+|[A-Z]+)$') and length(value) <= 253)"""
 FOUND = f"""
-raw as (select doc_id, 'ip' as kind, unnest(list_distinct(regexp_extract_all(text, '[0-9]+(?:[.][0-9]+)+'))) as value from documents
-  union all select doc_id, 'domain', unnest(list_distinct(regexp_extract_all(text, '[A-Za-z0-9-]+[.][A-Za-z]{{2,}}'))) from documents
-  union all select doc_id, 'hash', unnest(list_distinct(regexp_extract_all(text, '[A-Fa-f0-9]{{32,}}'))) from documents),
-found as (select doc_id, kind, value from raw where case kind when 'ip' then regexp_full_match(value, '{OCTET}([.]{OCTET}){{3}}')
-  when 'domain' then {DOMAIN_SQL} else {HASH_SQL} end)"""
+word as (select distinct doc_id, unnest(string_split_regex(text, '[^\\p{{L}}\\p{{N}}.:_%-]+')) as word from documents),
+piece as (
+  select doc_id, 'domain' as kind, trim(unnest(string_split(word, ':')), '.-') as value from word
+  union select doc_id, 'hash', unnest(string_split_regex(word, '[.:_%-]+')) from word
+  union select doc_id, 'ip', rtrim(word, '.') from word
+  union select doc_id, 'ip', trim(word, '.:-') from word
+  union select doc_id, 'ip', regexp_extract(trim(word, '.:-'), '^([^:]+):[0-9]+$', 1) from word),
+found as (select doc_id, kind, value from piece where case kind when 'ip' then {IP_SQL} and regexp_matches(value, '[0-9A-Fa-f]')
+  when 'domain' then {HOST_SQL} else {HASH_SQL} end)"""
 SWEEP = f"""{FOUND.strip()},
 wanted as (select distinct kind, value from found join documents using (doc_id) where lang = 'en'),
 hits as (select f.source as event_type, date '2024-02-10' - cast(doc_id % 40 as int) as date, value as matching_value,
@@ -66,13 +72,13 @@ def raw_events(i: Inputs) -> DataFrame:
         "tenant_id",
         "lang",
         F.date_sub(F.lit(AS_OF), F.col("day_offset")).alias("date"),
-        *[ind.extract_indicators(F.col("text"), k).alias(f"logicals.{k}") for k in ind.TEXT_PATTERNS],
+        *[ind.extract_indicators(F.col("text"), k).alias(f"logicals.{k}") for k in ind.KINDS],
     )
 
 
 def wanted(i: Inputs, rows: DataFrame) -> DataFrame:
     listed = ioc.indicator_set(rows.where("lang = 'en'")).withColumnRenamed("indicator", "value")
-    return ioc.indicator_table(listed)
+    return ioc.indicator_table(listed, fqdn=True)
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -125,7 +131,7 @@ def extract_indicators(i: Inputs) -> DataFrame:
         F.array(
             *[
                 F.transform(ind.extract_indicators(F.col("text"), k), tag(k))
-                for k in ind.TEXT_PATTERNS
+                for k in ind.KINDS
             ]
         )
     )
@@ -182,7 +188,7 @@ def with_findings(i: Inputs) -> DataFrame:
 )
 def ti_pubs(i: Inputs) -> DataFrame:
     rows = raw_events(i)
-    arrays = F.flatten(F.array(*[q(f"logicals.{k}") for k in ind.TEXT_PATTERNS]))
+    arrays = F.flatten(F.array(*[q(f"logicals.{k}") for k in ind.KINDS]))
     pubs = rows.where("lang = 'en'").select(F.explode(arrays).alias("indicator"), q("doc_id").alias("publication_id"))
     return ioc.get_ti_pubs(rows, pubs, "doc_id").select(
         "doc_id",
@@ -198,11 +204,54 @@ def ti_pubs(i: Inputs) -> DataFrame:
 )
 def ti_matches(i: Inputs) -> DataFrame:
     rows = raw_events(i)
-    arrays = F.flatten(F.array(*[q(f"logicals.{k}") for k in ind.TEXT_PATTERNS]))
+    arrays = F.flatten(F.array(*[q(f"logicals.{k}") for k in ind.KINDS]))
     pubs = rows.where("lang = 'en'").select(F.explode(arrays).alias("indicator"), q("doc_id").alias("publication_id"))
     return ioc.publication_matches(rows, pubs, "doc_id")
 
 
+@query(
+    sql=f"""with {FOUND.strip()}, pub as (select distinct value, doc_id as publication_id from found join documents using (doc_id) where lang = 'en')
+    select f.doc_id, p.publication_id, count(distinct f.value) as indicators from found f join pub p using (value) group by all""",
+)
+def ti_publications(i: Inputs) -> DataFrame:
+    rows = raw_events(i)
+    arrays = F.flatten(F.array(*[q(f"logicals.{k}") for k in ind.KINDS]))
+    pubs = rows.where("lang = 'en'").select(F.explode(arrays).alias("indicator"), q("doc_id").alias("publication_id"))
+    return ioc.row_publications(rows, pubs, "doc_id")
+
+
+@query(
+    sql=f"""with {FOUND.strip()} select distinct l.doc_id, l.kind, l.value from found l where exists (
+      select 1 from found r join documents d using (doc_id) where r.value = l.value and d.lang = 'en')""",
+)
+def add_threat_intel(i: Inputs) -> DataFrame:
+    """Indicators found in texts, kept where a correlation knows them."""
+    rows = i.table("documents").select("doc_id", *[ind.extract_indicators(F.col("text"), k).alias(f"logicals.{k}") for k in ind.KINDS])
+    listed = raw_events(i).where("lang = 'en'")
+
+    def known(df: DataFrame, indicators: DataFrame) -> DataFrame:
+        named = indicators.join(ioc.indicator_set(listed), "indicator")
+        held = F.flatten(F.array(*[F.transform(q(f"logicals.{k}"), tag(k)) for k in ind.KINDS]))
+        each = df.select("doc_id", F.explode(held).alias("h")).select("doc_id", "h.kind", "h.value")
+        return each.join(named, each["value"] == named["indicator"], "left_semi")
+
+    return ioc.add_threat_intel(rows, [known])
+
+
+@query(
+    "f_events",
+    """select resource_id, 'address' as search from f_events where source_address = '10.0.0.5'
+    union all select resource_id, 'url' from f_events where uri_path = '1-URGENT'
+    union all select resource_id, 'action' from f_events where action = 'F'""",
+)
+def multi_search(i: Inputs) -> DataFrame:
+    def search(name, column, value):
+        return lambda df: df.where(q(column) == value).select("resource_id", F.lit(name).alias("search"), q(column))
+
+    found = ioc.multi_search(i("f_events"), [search("address", "source_address", "10.0.0.5"), search("url", "uri_path", "1-URGENT"), search("action", "action", "F")])
+    return found.select("resource_id", "search")
+
+
 @query(
     sql="""select p_partkey, p_brand as matching_value, 't'||(p_partkey % 20) as tenant_id, cast(p_size as bigint) as count from part
     union all select p_partkey, p_brand, 'x', cast(1 as bigint) from part where p_size % 2 = 0""",

@@ -87,7 +87,7 @@ from {customer} join {nation} on c_nationkey = n_nationkey join {region} on n_re
     "f_assets": """
 select 'h'||cast(c_custkey as string) as host_id, cast(c_custkey % 20 as string) as tenant_id, c_name as hostname,
   c_mktsegment as os
-from {customer} where c_acctbal > 0""",
+from {customer}""",
     "f_users": """
 select cast(s_suppkey as string) as id, 'idp'||cast(s_suppkey as string) as idp_user_id,
   'usr'||cast(s_suppkey as string) as user_id, s_name as email from {supplier}""",

@@ -22,12 +22,8 @@ IPV4 = rf"^{_OCTET}(\.{_OCTET}){{3}}$"
 _HEXTET = "[0-9A-Fa-f]{1,4}"
 _HEXTETS = f"{_HEXTET}(:{_HEXTET})*"
 
-# How indicators are found in free text, before they are checked.
-TEXT_PATTERNS: dict[str, str] = {
-    "ip": r"[0-9]+(?:\.[0-9]+)+",
-    "domain": r"[A-Za-z0-9-]+\.[A-Za-z]{2,}",
-    "hash": r"[A-Fa-f0-9]{32,}",
-}
+KINDS = ["ip", "domain", "hash"]
+_BETWEEN = r"[^\p{L}\p{N}.:_%-]+"  # what stands between the words of a text
 
 
 def is_domain(value: Column, fqdn: bool = False) -> Column:
@@ -68,14 +64,44 @@ def classify_indicator(value: Column, fqdn: bool = False) -> Column:
     )
 
 
+def _words(text: Column) -> Column:
+    """The words of a text that may hold an indicator: with a dot or colon inside, or as long as a hash. A word keeps all letters and
+    digits, dots, colons, hyphens and underscores, so no part of a longer name is taken for a name."""
+    words = F.array_distinct(F.split(text, _BETWEEN))
+    return F.filter(words, lambda w: F.contains(w, F.lit(".")) | F.contains(w, F.lit(":")) | (F.length(w) >= 32))
+
+
+def _addresses(word: Column) -> Column:
+    """Readings of a word as an address: without a full stop, without any punctuation at its ends, without a port."""
+    bare = F.btrim(word, F.lit(".:-"))
+    port = bare.rlike(r"^[^:]+:[0-9]+$")
+    return F.array(F.rtrim(word, F.lit(".")), bare, F.when(port, F.substring_index(bare, ":", 1)))
+
+
+def _is_address(value: Column) -> Column:
+    return value.rlike(IPV4) | (F.contains(value, F.lit("::")) | value.rlike("^([^:]*:){7}")) & value.rlike("[0-9A-Fa-f]") & is_ipv6(value)
+
+
+def _is_host_name(value: Column) -> Column:
+    """A host name of any number of labels. The last one is written in one case: in ``end.The`` a sentence ends."""
+    return value.rlike(FQDN) & value.rlike(r"\.([a-z]+|[A-Z]+)$") & (F.length(value) <= 253)
+
+
 def extract_indicators(text: Column, kind: str) -> Column:
-    """Distinct indicators of one kind in a whole text, as an array."""
-    check = {"ip": lambda v: v.rlike(IPV4), "domain": lambda v: is_domain(v), "hash": is_hash}[kind]
-    found = F.array_distinct(F.filter(F.regexp_extract_all(text, F.lit(TEXT_PATTERNS[kind]), F.lit(0)), check))
-    if kind != "domain":
-        return found
-    # a word pattern is slow to fail on plain prose; no domain stands without a dot and two letters behind it
-    return F.when(text.rlike(r"\.[A-Za-z]{2}"), found).otherwise(F.when(text.isNotNull(), F.array().cast("array<string>")))
+    """Distinct indicators of one kind (``ip``, ``domain``, ``hash``) in a whole text, as an array; null for a null text.
+
+    The text is cut into whole words first and these are tested, so ``a.b.evil.com`` is one host name, a full stop ends no
+    name, and IPv6 addresses are found like others. Ports are left out.
+    """
+    words = _words(text)
+    if kind == "ip":
+        read = F.transform(words, lambda w: F.get(F.filter(_addresses(w), _is_address), F.lit(0)))
+        return F.array_distinct(F.array_compact(read))
+    if kind == "domain":
+        parts = F.flatten(F.transform(words, lambda w: F.split(w, ":")))
+        return F.array_distinct(F.filter(F.transform(parts, lambda p: F.btrim(p, F.lit(".-"))), _is_host_name))
+    parts = F.flatten(F.transform(F.filter(words, lambda w: F.length(w) >= 32), lambda w: F.split(w, "[.:_%-]+")))
+    return F.array_distinct(F.filter(parts, is_hash))
 
 
 # List predicates -------------------------------------------------------------------------------------------------

@@ -47,16 +47,24 @@ def keep_logical_type(df: DataFrame, field: str) -> DataFrame:
     return df.where(q(FIELD) == field)
 
 
-def relate_entities(df: DataFrame, column: str = "entities.entities") -> DataFrame:
+BLOCK = 256  # entities of an alert that are paired in its own row
+
+
+def relate_entities(df: DataFrame, column: str = "entities.entities", block: int = BLOCK) -> DataFrame:
     """Which values appear together in an alert: (value, related_field, related_value), each once.
 
-    A value is the same entity whichever fields it appears in. Long form on purpose: a value that is everywhere is
-    related to most others, and such a list does not fit a row.
-    The entities of an alert stand in its row, so no join is needed; alerts with the same entities are merged first
-    and only distinct relations reach the last shuffle.
+    A value is the same entity whichever fields it appears in. Long form on purpose: a value that is everywhere is related to most
+    others, and such a list does not fit a row. The entities of an alert stand in its row, so no join is needed; alerts with
+    the same entities are merged first and only distinct relations reach the last shuffle. An alert of more than ``block``
+    entities is dealt out as pairs of blocks, so its pairs come from many tasks.
     """
     sets = df.select(entity_set(q(column)).alias("s")).where(F.size("s") > 1).distinct()
-    pairs = sets.select("s", F.explode("s").alias("e")).select("e", F.explode("s").alias("o"))
+    whole = sets.where(F.size("s") <= block).select(F.col("s").alias("one"), F.col("s").alias("two"))
+    starts = F.sequence(F.lit(1), F.size("s"), F.lit(block))
+    cuts = sets.where(F.size("s") > block).withColumn("blocks", F.transform(starts, lambda k: F.slice("s", k, block)))
+    rows = cuts.select(F.xxhash64("s").alias("id"), "blocks", F.posexplode("blocks").alias("i", "one"))
+    dealt = rows.select("id", "i", "one", F.posexplode("blocks").alias("j", "two")).repartition("id", "i", "j")
+    pairs = whole.unionByName(dealt.select("one", "two")).select(F.explode("one").alias("e"), "two").select("e", F.explode("two").alias("o"))
     return (
         pairs.where(F.col("o.value") != F.col("e.value"))
         .select(

@@ -14,8 +14,13 @@ from huntspark.functions.names import q
 PREVIEW = 200
 
 
+# Schemas whose facets have columns of their own; of any other schema all columns count.
+FACET_SCHEMAS = ["auth", "thirdpartyalert", "dnsquery", "cloudaudit", "http", "netflow", "nids", "process", "scriptblock"]
+_SAME_COLUMNS = {"thirdpartyalert": "thirdparty"}
+
+
 def _names(df: DataFrame, schema: str, extra: list[str]) -> list[str]:
-    return [c for c in [*DEFAULT_COLUMNS.get(schema, []), *extra] if c in df.columns]
+    return [c for c in [*DEFAULT_COLUMNS.get(_SAME_COLUMNS.get(schema, schema), []), *extra] if c in df.columns]
 
 
 def _facet(names: list[str], missing: str | None) -> Column:
@@ -49,9 +54,33 @@ def _counts(df: DataFrame, schema: Column, schemas: list[str], extra: list[str],
     return counted.select("schema", facet.alias("facet"), "count")
 
 
-def facets_by_schema(df: DataFrame, schema: Column, schemas: list[str], extra: list[str] | None = None) -> DataFrame:
-    """(schema, facet, count) over each schema's columns; rows that miss one of them do not count."""
-    return _counts(df, schema, schemas, extra or [], None)
+def facets_by_schema(df: DataFrame, schema: Column, schemas: list[str] | None = None, extra: list[str] | None = None) -> DataFrame:
+    """(schema, facet, count) over each schema's columns, of all schemas or the given ones.
+
+    A schema without columns of its own is counted by all columns of ``df``. Columns that a schema never fills are left out of
+    its facets; rows that miss one of the others do not count. One aggregation counts whole values for all schemas, another
+    finds the filled columns: a row for each schema.
+    """
+    rows = df.withColumn("__schema", schema)
+    rows = rows.where(F.col("__schema").isin(schemas) if schemas is not None else F.col("__schema").isNotNull())
+    listed = {s: _names(df, s, extra or []) for s in FACET_SCHEMAS}
+
+    def pairs(names: list[str]) -> Column:
+        if not names:
+            return F.array().cast("array<struct<name string, value string>>")
+        return F.array(*[F.struct(F.lit(c).alias("name"), q(c).cast("string").alias("value")) for c in names])
+
+    chosen = reduce(lambda chain, s: chain.when(F.col("__schema") == s, pairs(listed[s])), FACET_SCHEMAS, F.when(F.lit(False), pairs([])))
+    counted = rows.select("__schema", chosen.otherwise(pairs(df.columns)).alias("held")).groupBy("__schema", "held").agg(F.count("*").alias("count"))
+    filled = [F.when(F.count(q(c)) > 0, F.lit(c)) for c in df.columns]
+    present = rows.groupBy(F.col("__schema").alias("schema")).agg(F.array_compact(F.array(*filled)).alias("present"))
+    joined = counted.join(present, F.col("__schema") == F.col("schema"))
+    kept = joined.withColumn("held", F.expr("filter(held, p -> array_contains(present, p.name))")).where(~F.exists("held", lambda p: p["value"].isNull()))
+    shown = F.transform(
+        "held",
+        lambda p: F.concat(p["name"], F.lit("="), F.when(p["name"] == "decoded_block_text", F.substring(p["value"], 1, PREVIEW)).otherwise(p["value"])),
+    )
+    return kept.select("schema", F.array_join(shown, "|").alias("facet"), "count")
 
 
 def top_by_schema(df: DataFrame, schema: Column, schemas: list[str], n: int = 20) -> DataFrame:

@@ -19,11 +19,13 @@ LOGICALS = {"ip": IP_COLUMNS, "domain": DOMAIN_COLUMNS, "hash": HASH_COLUMNS}
 SEARCHES: dict[str, Callable[[Column], Column]] = {"domain": is_domain, "hash": is_hash, "ip": is_ip_address}
 
 
-def indicator_table(values: DataFrame, column: str = "value") -> DataFrame:
-    """(value, logical_type) of the valid indicators of a list, each once; anything else is left out."""
+def indicator_table(values: DataFrame, column: str = "value", fqdn: bool = False) -> DataFrame:
+    """(value, logical_type) of the valid indicators of a list, each once; anything else is left out. ``fqdn`` takes host names of
+    more than two labels."""
+    checks = SEARCHES | ({"domain": lambda v: is_domain(v, fqdn=True)} if fqdn else {})
     typed = [
         values.where(check(q(column))).select(q(column).alias("value"), F.lit(kind).alias("logical_type"))
-        for kind, check in SEARCHES.items()
+        for kind, check in checks.items()
     ]
     return reduce(DataFrame.unionByName, typed).distinct()
 
@@ -196,3 +198,17 @@ def get_ti_pubs(df: DataFrame, publications: DataFrame, id_column: str) -> DataF
             "tips.publications": F.coalesce("__publications", F.lit(0)),
         }
     ).drop("__row", "__indicators", "__publications")
+
+
+def row_publications(df: DataFrame, publications: DataFrame, id_column: str) -> DataFrame:
+    """(row id, publication_id, indicators) for every publication that names an indicator of a row, and how many of them.
+
+    One row per pair, never a list: a popular indicator may have any number of publications and rows. The join is by
+    indicator, which adaptive execution splits on either side.
+    """
+    arrays = [q(c) for c in df.columns if c.startswith("logicals.")]
+    require(df, id_column)
+    held = df.select(q(id_column), F.explode(F.array_distinct(F.flatten(F.array(*arrays)))).alias("__held"))
+    named = publications.select("indicator", "publication_id").distinct()
+    pairs = held.join(named, F.col("__held") == F.col("indicator"))
+    return pairs.groupBy(q(id_column), "publication_id").agg(F.count_distinct("indicator").alias("indicators"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from huntspark.functions.fixed import PIVOT_COLUMNS
 from huntspark.functions.names import prefix_columns, q
 from huntspark.functions.times import time_range
-from huntspark.plans.joins import BROADCAST_BYTES, expand_left_join
+from huntspark.plans.joins import broadcast_if_small, expand_left_join
 from huntspark.plans.lineage_cut import cut
 
 NETFLOW = "netflow."
@@ -60,36 +60,36 @@ def process_correlate_netflow(
 def pivot(df: DataFrame, events: DataFrame, columns: dict[str, str]) -> DataFrame:
     """The events that match any row of ``df`` on all columns this row has a value for.
 
-    ``columns`` maps columns of ``df`` to columns of ``events``. A null is a wildcard, which as one join condition
-    would need a nested loop. Instead the distinct rows are told apart by which columns they have; each kind is a plain
-    equi join that sets a flag, and an event stays if any flag is set. There are at most 2**n - 1 kinds; one small job
-    finds those that occur and their sizes, and kinds that are small enough together are broadcast.
+    ``columns`` maps columns of ``df`` to columns of ``events``. A null is a wildcard, which as one join condition would need a
+    nested loop, and as one join for each kind of null up to 2**n - 1 joins. Instead the rows become one index of (which
+    columns they have, their values). Of the events only the distinct values of these columns look into it, once for
+    each kind of null that occurs (a small job finds these), in one join; a second one keeps the events with values that
+    matched. Both are equi joins, so neither nulls nor hot values meet in a loop.
     """
     sources = list(columns)
     keys = df.select(*[q(c).cast("string").alias(f"k{i}") for i, c in enumerate(sources)])
     mask = reduce(
         lambda a, b: a + b, [F.when(F.col(f"k{i}").isNotNull(), 1 << i).otherwise(0) for i in range(len(sources))]
     )
-    keys = cut(keys.withColumn("mask", mask).where("mask > 0").distinct())
-    size = F.sum(F.octet_length(F.concat_ws("", *[f"k{i}" for i in range(len(sources))])) + 16 * len(sources))
-    masks = {r["mask"]: r["size"] for r in keys.groupBy("mask").agg(size.alias("size")).collect()}  # at most 2**n - 1
+    index = cut(keys.withColumn("mask", mask).where("mask > 0").select("mask", F.array(*keys.columns).alias("key")).distinct())
+    masks = sorted(r["mask"] for r in index.select("mask").distinct().collect())  # at most 2**n - 1
     if not masks:
         return events.where(F.lit(False))
-    out = events
-    for m in sorted(masks):
+    values = [q(columns[c]).cast("string").alias(f"__e{i}") for i, c in enumerate(sources)]
+    met = events.select(*values).distinct()
+    nothing = F.lit(None).cast("string")
+
+    def probe(m: int) -> Column:
         used = [i for i in range(len(sources)) if m & (1 << i)]
-        kind = keys.where(F.col("mask") == m).select(
-            *[F.col(f"k{i}").alias(f"__{m}_{i}") for i in used], F.lit(True).alias(f"__hit{m}")
-        )
-        if masks[m] <= BROADCAST_BYTES // len(masks):
-            kind = F.broadcast(kind)
-        condition = reduce(
-            lambda a, b: a & b,
-            [out["`" + columns[sources[i]] + "`"].cast("string") == kind[f"__{m}_{i}"] for i in used],
-        )
-        out = out.join(kind, condition, "left")
-    any_hit = reduce(lambda a, b: a | b, [F.coalesce(F.col(f"__hit{m}"), F.lit(False)) for m in masks])
-    return out.where(any_hit).select(*[q(c) for c in events.columns])
+        whole = reduce(lambda a, b: a & b, [F.col(f"__e{i}").isNotNull() for i in used])
+        key = F.array(*[F.col(f"__e{i}") if i in used else nothing for i in range(len(sources))])
+        return F.when(whole, F.struct(F.lit(m).alias("mask"), key.alias("key")))
+
+    probes = met.withColumn("__p", F.explode(F.array_compact(F.array(*[probe(m) for m in masks]))))
+    hit = probes.select(*met.columns, "__p.mask", "__p.key").join(index, ["mask", "key"], "left_semi")
+    hit = broadcast_if_small(hit.select(*met.columns).distinct())
+    same = [q(columns[c]).cast("string").eqNullSafe(F.col(f"__e{i}")) for i, c in enumerate(sources)]
+    return events.join(hit, reduce(lambda a, b: a & b, same), "left_semi")
 
 
 def _pivot_to(

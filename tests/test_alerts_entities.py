@@ -57,6 +57,16 @@ def test_relate_entities_against_brute_force(flat):
     assert counts["u1"]["related_ip"] == 1 and counts["u1"]["related_host"] == 1 and counts["u1"]["related_user"] == 0
 
 
+def test_relations_of_a_hub_alert_come_in_blocks(spark):
+    """An alert with many entities: the relations are the same, and its pairs come from several tasks."""
+    listed = [f"userName:u{k}" for k in range(130)] + [f"sourceIpAddress:10.0.0.{k}" for k in range(120)] + ["hostName:u7"]
+    df = spark.createDataFrame([("a", listed), ("b", ["userName:u1", "md5:x"]), ("c", listed), ("d", None)], "id string, `entities.entities` array<string>")
+    whole = rows(entities.relate_entities(df, block=1000))
+    assert rows(entities.relate_entities(df, block=16)) == whole and len(whole) > 250 * 248
+    dealt = entities.relate_entities(df.where("id = 'a'"), block=16)
+    assert "REPARTITION" in dealt._jdf.queryExecution().executedPlan().toString()
+
+
 def test_entity_alert_counts(flat):
     assert ("@user", "u1", 3) in rows(entities.entity_alert_counts(flat))
 

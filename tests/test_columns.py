@@ -176,10 +176,28 @@ def test_domains_and_hashes(spark):
 def test_extract_from_the_end_of_a_long_text(spark):
     text = "word " * 50_000 + "10.1.2.3 and mail5.example and " + "ab" * 20 + " 999.1.1.1"
     df = spark.createDataFrame([(text,)], "t string")
-    found = df.select(*[ind.extract_indicators(F.col("t"), k).alias(k) for k in ind.TEXT_PATTERNS]).first()
+    found = df.select(*[ind.extract_indicators(F.col("t"), k).alias(k) for k in ind.KINDS]).first()
     assert found.ip == ["10.1.2.3"] and found.domain == ["mail5.example"] and found.hash == ["ab" * 20]
 
 
+def test_extract_whole_words(spark):
+    """Host names keep their labels, sentences end, addresses are found in both forms, parts of other words are not."""
+    md5 = "d41d8cd98f00b204e9800998ecf8427e"
+    text = (
+        "See www.example.com at the end.The a.b.evil.com, http://mail.host.org:8080/x.y?z=1 or me@corp.example. Émile.com foo_bar.com -x.com y-.com a..b.com 1.2 v1.2.3 "
+        f"10.0.0.1. 10.0.0.2:443 (10.0.0.3) 10.0.0.256 1.10.0.0.4 2001:db8::1 2001:db8::2: ::1. fe80:0:0:0:0:0:0:1 12:30:45 10:20 a::b::c 1:2:3:4:5:6:7:8:9 "
+        f"md5:{md5} {md5}0 x{md5} {md5.upper()}, abc::def"
+    )
+    df = spark.createDataFrame([(text,), ("",), (None,), ("no such thing at all",)], "t string")
+    found = df.select(*[ind.extract_indicators(F.col("t"), k).alias(k) for k in ind.KINDS]).collect()
+    assert sorted(found[0].domain) == ["a.b.evil.com", "corp.example", "mail.host.org", "www.example.com", "x.com"]
+    assert sorted(found[0].ip) == sorted(["10.0.0.1", "10.0.0.2", "10.0.0.3", "2001:db8::1", "2001:db8::2", "::1", "fe80:0:0:0:0:0:0:1", "abc::def"])
+    assert found[0].hash == [md5, md5.upper()]
+    for value in found[0].ip:
+        ipaddress.ip_address(value)
+    assert tuple(found[1]) == ([], [], []) == tuple(found[3]) and tuple(found[2]) == (None, None, None)
+
+
 def test_list_predicates(spark):
     df = spark.createDataFrame([("secureXcom", 1), ("secure.com", 2), (None, 3)], "v string, n int")
     assert rows(df.where(ind.matches_regex(F.col("v"), ["secure.com", "a|b"])), "n") == [(2,)]
