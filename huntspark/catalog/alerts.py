@@ -20,7 +20,7 @@ from huntspark.functions.names import (
 from huntspark.functions.severity import severity_rounded_and_category
 from huntspark.functions.times import convert_alert_timestamps, day_bounds, time_range
 from huntspark.operators import alerts as op
-from huntspark.operators.inflate import inflate_raw_events, inflate_third_party_details, publication_reference
+from huntspark.operators.inflate import inflate_raw_events, inflate_third_party_details, publication_reference, third_party_keys as count_keys
 from huntspark.operators.rules import apply_suppression as suppress
 from huntspark.operators.tenants import merge_tenants as merge_tenant_rows
 from huntspark.plans.numbering import first_per_key as first_rows
@@ -315,9 +315,22 @@ def third_party_details(i: Inputs) -> DataFrame:
     df = i("f_alerts").selectExpr(
         "id", f"if(event_id % 2 = 0, array(struct({some}), struct({more})), array(struct({some}))) as third_party_details"
     )
-    return inflate_third_party_details(df).select(
-        "id", *[q(f"third_party_details.{k}").alias(k) for k in ("kind", "owner", "state")]
-    )
+    held = q("third_party_details.map")
+    return inflate_third_party_details(df).select("id", *[held[k].alias(k) for k in ("kind", "owner", "state")])
+
+
+@query(
+    "f_alerts",
+    """select 'kind' as key, count(*) as rows from f_alerts union all select 'owner', count(*) from f_alerts
+    union all select 'state', count(*) from f_alerts where event_id % 2 = 0 union all select 'u'||user_id, count(*) from f_alerts group by user_id""",
+)
+def third_party_keys(i: Inputs) -> DataFrame:
+    """As many keys as there are users, and some that all or half of the alerts have."""
+    record = "struct(struct(array({}) as record) as generic) as generic".format
+    pair = "struct({} as key, title as value)".format
+    some, more = record(", ".join(map(pair, ["'kind'", "'owner'", "'u'||user_id"]))), record(", ".join(map(pair, ["'owner'", "'state'"])))
+    df = i("f_alerts").selectExpr(f"if(event_id % 2 = 0, array(struct({some}), struct({more})), array(struct({some}))) as third_party_details")
+    return count_keys(df)
 
 
 @query("f_alerts", "select id, title, severity, creator as detector_id from f_alerts")

@@ -161,7 +161,23 @@ def schema_keys(i: Inputs) -> DataFrame:
 )
 def inflate_original_data(i: Inputs) -> DataFrame:
     df = i.table("events").selectExpr("event_id", "if(event_id % 10 = 0, substr(props, 1, 4), props) as original_data")
-    return inflate.inflate_original_data(df).select("event_id", F.coalesce(q("original_data.k"), F.lit(-1)).alias("k"))
+    named = inflate.inflate_original_data(df, paths={"k": "bigint"})
+    return named.select("event_id", F.coalesce(q("original_data.k"), F.lit(-1)).alias("k"))
+
+
+@query(
+    "f_alerts",
+    """select path, type, count(*) as rows from (
+      select unnest(['title', 'at.seconds', 'at.note', 'tags', 'odd']) as path,
+        unnest(['STRING', 'BIGINT', case when event_id % 3 = 0 then 'STRING' end, 'ARRAY<STRING>', case when event_id % 2 = 0 then 'BIGINT' else 'BOOLEAN' end]) as type
+      from f_alerts) where type is not null group by all""",
+)
+def json_inventory(i: Inputs) -> DataFrame:
+    """Paths and types of JSON texts: nested ones, some that few texts have, one of two types."""
+    texts = i("f_alerts").selectExpr(
+        """to_json(struct(title, struct(created_at_seconds as seconds, if(event_id % 3 = 0, status, null) as note) as at, array(entity1, entity2) as tags)) as text""", "event_id"
+    ).selectExpr("""concat(left(text, length(text) - 1), ',"odd":', if(event_id % 2 = 0, '7', 'true'), '}') as original_data""")
+    return inflate.json_inventory(texts)
 
 
 @query(

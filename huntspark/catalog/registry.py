@@ -27,9 +27,10 @@ class Inputs:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def __call__(self, view: str) -> DataFrame:
+    def __call__(self, view: str, **given: DataFrame) -> DataFrame:
+        """A view over the tables, or over the frames given in their place, such as streams."""
         text = VIEWS[view].replace("{usec}", "unix_micros(cast(ts as timestamp))")
-        used = {t: self.table(t) for t in TABLES if "{" + t + "}" in text}
+        used = {t: given.get(t) or self.table(t) for t in TABLES if "{" + t + "}" in text}
         return self.spark.sql(text, **used)
 
 

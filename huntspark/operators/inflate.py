@@ -1,4 +1,4 @@
-"""Nested records to rows and columns. All but ``map_keys_of`` are plain projections and explodes."""
+"""Nested records to rows and columns. All but ``json_inventory`` are plain projections and explodes."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from huntspark.functions.fixed import ALERTS, EVENTS, SEARCH_QUERIES
 from huntspark.functions.names import DERIVED, coalesce_columns, first_present, flatten_struct, q, require
+from huntspark.plans.lineage_cut import cut
 
 
 def inflate(df: DataFrame, column: str, prefix: str, max_level: int | None = None, explode: bool = True) -> DataFrame:
@@ -50,56 +51,86 @@ def inflate_filters(df: DataFrame) -> DataFrame:
 
 
 def third_party_map(column: Column) -> Column:
-    """``[{generic: {generic: {record: [{key, value}]}}}]`` as one map; of equal keys the last one stands."""
+    """``[{generic: {generic: {record: [{key, value}]}}}]`` as one map; of equal keys the last one stands.
+
+    The pairs are sorted by key and place, and each is kept whose neighbour has another key."""
     pairs = F.flatten(F.transform(F.coalesce(column, F.array()), lambda d: d["generic"]["generic"]["record"]))
-    last = F.filter(
-        pairs,
-        lambda p, i: ~F.exists(
-            F.slice(pairs, i + 2, F.size(pairs)),
-            lambda later: later["key"] == p["key"],
-        ),
-    )
-    return F.map_from_entries(F.transform(last, lambda p: F.struct(p["key"], p["value"])))
+    placed = F.filter(F.transform(pairs, lambda p, i: F.struct(p["key"].alias("key"), i.alias("place"), p["value"].alias("value"))), lambda p: p["key"].isNotNull())
+    ordered = F.array_sort(placed)
+    beside = F.arrays_zip(ordered.alias("own"), F.slice(ordered, 2, F.greatest(F.size(ordered), F.lit(1))).alias("next"))
+    last = F.filter(beside, lambda z: z["next"].isNull() | (z["next"]["key"] != z["own"]["key"]))
+    return F.map_from_entries(F.transform(last, lambda z: F.struct(z["own"]["key"], z["own"]["value"])))
 
 
-def map_keys_of(df: DataFrame, column: str, most: int = 5000) -> list[str]:
-    """Distinct keys of a map column, one job. They become column names; more than ``most`` are refused, not cut."""
-    keys = df.select(F.explode(F.map_keys(q(column))).alias("k")).distinct()
-    names = [r.k for r in keys.limit(most + 1).collect()]
-    if len(names) > most:
-        raise ValueError(f"more than {most} keys; keep the map or name the keys you need")
-    return sorted(names)
+def third_party_keys(df: DataFrame) -> DataFrame:
+    """(key, rows): every key of ``third_party_details`` and the rows that have it."""
+    keys = df.select(F.explode(F.map_keys(third_party_map(q("third_party_details")))).alias("key"))
+    return keys.groupBy("key").agg(F.count("*").alias("rows"))
 
 
 def inflate_third_party_details(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """``third_party_details`` as columns ``third_party_details.<key>``.
-
-    With ``keys`` no job runs; without, the keys are looked up first. Frames without the column come back unchanged.
+    """``third_party_details`` as columns ``third_party_details.<key>`` for the named keys; without names as one map column
+    ``third_party_details.map``, however many keys there are. No job runs; ``third_party_keys`` counts the keys. Frames without the
+    column come back unchanged.
     """
     if "third_party_details" not in df.columns:
         return df
+    if keys is None:
+        return df.withColumn("third_party_details.map", third_party_map(q("third_party_details")))
     mapped = df.withColumn("__map", third_party_map(q("third_party_details")))
-    names = keys if keys is not None else map_keys_of(mapped, "__map")
-    new = [F.element_at("__map", F.lit(k)).alias(f"third_party_details.{k}") for k in names]
+    new = [F.element_at("__map", F.lit(k)).alias(f"third_party_details.{k}") for k in keys]
     return mapped.select(*[q(c) for c in df.columns], *new)
 
 
-def inflate_original_data(df: DataFrame, schema: T.StructType | str | None = None, columns: list[str] | None = None) -> DataFrame:
-    """JSON text of ``original_data`` as columns ``original_data.*``, all levels; unreadable text counts as empty.
+def _parsed(df: DataFrame, columns: list[str] | None) -> Column:
+    return F.try_parse_json(coalesce_columns(df, columns or ["original_data", "event_data.original_data"]))
+
+
+def json_inventory(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """(path, type, rows): the paths of the JSON texts of a frame that lead to something else than an object, dotted, their types, and the
+    texts that have them. Texts are parsed once; every level of nesting is one more explode, and the paths are counted where
+    they are, so no schema of all texts is ever built. Paths under a null or an empty object are not listed."""
+    level = cut(df.select(_parsed(df, columns).alias("v")).where("v is not null")).select(F.lit("").alias("path"), "v")
+    spark, found = df.sparkSession, None
+    while True:
+        parts = spark.sql("select if(path = '', key, path || '.' || key) as path, value as v, schema_of_variant(value) as type from {level}, lateral variant_explode(v)", level=level)
+        # an array is a value: what it holds has no path of its own
+        parts = cut(parts.where("path is not null"))
+        leaves = parts.where("type not like 'OBJECT<%'").groupBy("path", "type").agg(F.count("*").alias("rows"))
+        found = leaves if found is None else found.unionByName(leaves)
+        level = parts.where("type like 'OBJECT<%'").select("path", "v")
+        if level.isEmpty():
+            return found.where("type <> 'VOID'").groupBy("path", "type").agg(F.sum("rows").alias("rows"))
 
-    With ``schema`` this is a projection. Without, one aggregation job finds the schema of all texts.
+
+def inflate_original_data(
+    df: DataFrame, schema: T.StructType | str | None = None, columns: list[str] | None = None, paths: dict[str, str] | None = None
+) -> DataFrame:
+    """JSON text of ``original_data`` as columns ``original_data.*``; unreadable text counts as empty.
+
+    With ``paths`` (dotted path: type) or ``schema`` this is a projection of the named values out of texts that are parsed once.
+    Without either, the paths are looked up first (``json_inventory``) and each becomes a column, a path with several types as
+    text: name the paths where texts may have any number of them.
     """
     if any(c.startswith("original_data.") for c in df.columns):
         return df
-    text = coalesce_columns(df, columns or ["original_data", "event_data.original_data"])
-    readable = F.when(F.try_parse_json(text).isNotNull(), text)
-    if schema is None:
-        found = df.agg(F.schema_of_variant_agg(F.try_parse_json(text)).alias("s")).first().s
-        schema = found.replace("OBJECT<", "STRUCT<") if found and found.startswith("OBJECT<") else None
-        if schema is None:
+    parsed = _parsed(df, columns)
+    if paths is None and schema is None:
+        types = json_inventory(df, columns).groupBy("path").agg(F.min("type").alias("type"), F.count("*").alias("n")).collect()
+        paths = {r.path: r.type if r.n == 1 and not r.type.startswith("ARRAY<OBJECT") else "STRING" for r in sorted(types)}
+        if not paths:
             return df
-    parsed = df.withColumn("__json", F.from_json(readable, schema))
-    return inflate(parsed, "__json", "original_data.", explode=False).drop("__json")
+    if paths is None:
+        named = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        flat = flatten_struct(df.sparkSession.createDataFrame([], named), None)
+        paths = {f.name: f.dataType.simpleString() for f in flat.schema.fields}
+    root = df.withColumn("__json", parsed)
+
+    def value(path: str, kind: str) -> Column:
+        steps = "".join("['" + part.replace("\\", "\\\\").replace("'", "\\'") + "']" for part in path.split("."))
+        return F.try_variant_get("__json", "$" + steps, kind).alias("original_data." + path)
+
+    return root.select(*[q(c) for c in df.columns], *[value(p, k) for p, k in paths.items()])
 
 
 def inflate_schema_keys(df: DataFrame) -> DataFrame:

@@ -6,8 +6,12 @@ the stream side take a streaming frame as it is. What needs state is here.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from huntspark.functions.names import q
 from huntspark.operators.evidence import COLUMNS, KEY
@@ -31,11 +35,49 @@ def daily_ioc_counts(events: DataFrame, iocs: DataFrame, time_column: str = "ts"
     ).agg(F.count("*").alias("count"))
 
 
+def open_daily_counts(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The days of ``daily_ioc_counts`` that a stopped run has not given out yet, as they stand in its state: the closing pass of a
+    stream that ended. Nothing of the source is read again."""
+    state = spark.read.format("statestore").load(checkpoint)
+    return state.select(F.col("key.window").alias("day"), "key.event_type", "key.matching_value", "key.tenant_id", "value.count")
+
+
 def staged_once(rows: DataFrame, time_column: str, delay: str = "1 day") -> DataFrame:
     """Evidence rows of a stream, each (id, investigation) once within the watermark."""
     return rows.withWatermark(time_column, delay).dropDuplicatesWithinWatermark(KEY)
 
 
+def staged_first(rows: DataFrame) -> DataFrame:
+    """Evidence rows of a stream, each (id, investigation) once, ever: the smallest (type, tenant) of the micro-batch that brings it.
+
+    The keys met so far are the operator's state, dealt over tasks by key and kept between batches, so a batch reads only the keys
+    it holds, however many batches there were; the table that is written is never read. Equal rows of an Arrow batch are one
+    row before they are shuffled. Nulls sort last.
+    """
+
+    def different(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield frame.drop_duplicates()
+
+    def first(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        best = None
+        for frame in frames:
+            for kind, tenant in zip(frame["evidence_type"], frame["tenant_id"]):
+                row = (kind is None, kind or "", tenant is None, tenant or "")
+                best = row if best is None else min(best, row)
+        if state.exists or best is None:
+            return
+        state.update((True,))
+        kind, tenant = None if best[0] else best[1], None if best[2] else best[3]
+        yield pd.DataFrame({"evidence_type": [kind], "id": [key[0]], "tenant_id": [tenant], "investigation_id": [key[1]]}, dtype=object)
+
+    texts = rows.select(*[q(c).cast("string").alias(c) for c in COLUMNS])
+    schema = ", ".join(f"{c} string" for c in ["evidence_type", "id", "tenant_id", "investigation_id"])
+    return texts.mapInPandas(different, texts.schema).groupBy("id", "investigation_id").applyInPandasWithState(
+        first, schema, "seen boolean", "append", GroupStateTimeout.NoTimeout
+    ).select(*COLUMNS)
+
+
 def append_evidence(path: str):
     """``foreachBatch`` function: adds to the parquet table at ``path`` the keys it does not hold yet.
 
@@ -82,3 +124,35 @@ def correlate_netflow_stream(
         & (F.col("netflow_ts") <= F.col("ts") + F.expr(f"interval {within}")),
         "leftOuter",
     )
+
+
+def correlate_matches(processes: DataFrame, netflow: DataFrame, within: str = "1 day", delay: str = "1 hour", salts: int = 8) -> DataFrame:
+    """The matched rows of ``correlate_netflow_stream``, with every process spread over ``salts`` tasks.
+
+    Both sides keep state, and a process with a third of all flows would keep its state in one task. Here a flow gets a salt from
+    its content and a process event, of which there are few, stands once for each salt, so every pair still meets once.
+    Processes without a flow are for the closing pass, ``with_unmatched``.
+    """
+    left = processes.withWatermark("ts", delay).withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    key = correlation_key(q("host_id"), q("pid"), q("timewindow"))
+    right = netflow.select(
+        key.alias("netflow_process_correlation_id"),
+        F.col("ts").alias("netflow_ts"),
+        *[q(c).alias("netflow_" + c) for c in netflow.columns if c != "ts"],
+        F.pmod(F.xxhash64(*[q(c) for c in netflow.columns]), F.lit(salts)).cast("int").alias("__part"),
+    ).withWatermark("netflow_ts", delay)
+    joined = left.join(
+        right,
+        (F.col("process_correlation_id") == F.col("netflow_process_correlation_id"))
+        & (F.col("__salt") == F.col("__part"))
+        & (F.col("netflow_ts") >= F.col("ts"))
+        & (F.col("netflow_ts") <= F.col("ts") + F.expr(f"interval {within}")),
+    )
+    return joined.drop("__salt", "__part")
+
+
+def with_unmatched(matches: DataFrame, processes: DataFrame, id_column: str) -> DataFrame:
+    """The closing pass of a stream that ended: ``matches`` and the processes (a batch table) that no flow matched."""
+    met = matches.select(q(id_column).alias("__met")).distinct()
+    alone = processes.join(met, processes["`" + id_column + "`"] == met["__met"], "left_anti")
+    return matches.unionByName(alone, allowMissingColumns=True)

@@ -35,11 +35,27 @@ def test_third_party_details_last_duplicate_wins(spark):
         f"""select 1 as id, array({record(pair('a', '1') + ',' + pair('b', '2'))}, {record(pair('a', '3'))}) as third_party_details
         union all select 2, array({record(pair('c', '4'))}) union all select 3, null"""
     )
-    out = op.inflate_third_party_details(df)
+    out = op.inflate_third_party_details(df, ["a", "b", "c"])
     assert rows(out, "id", *[f"third_party_details.{k}" for k in "abc"]) == sorted(
         [(1, "3", "2", None), (2, None, None, "4"), (3, None, None, None)], key=repr
     )
     assert op.inflate_third_party_details(df, ["b"]).columns[-1] == "third_party_details.b"
+    mapped = {r.id: r["third_party_details.map"] for r in op.inflate_third_party_details(df).collect()}
+    assert mapped == {1: {"a": "3", "b": "2"}, 2: {"c": "4"}, 3: {}}
+    assert rows(op.third_party_keys(df)) == [("a", 1), ("b", 1), ("c", 1)]
+
+
+def test_third_party_details_of_any_number_of_keys(spark):
+    df = spark.sql(
+        """select array(named_struct('generic', named_struct('generic', named_struct('record',
+          transform(sequence(1, 12000), k -> named_struct('key', 'k'||(k % 6000), 'value', k||'')))))) as third_party_details"""
+    )
+    found = op.inflate_third_party_details(df).first()["third_party_details.map"]
+    assert len(found) == 6000 and found["k7"] == "6007" and found["k0"] == "12000"
+
+
+def test_third_party_missing(spark):
+    df = spark.range(1)
     assert op.inflate_third_party_details(df.select("id")).columns == ["id"]
 
 
@@ -53,6 +69,15 @@ def test_original_data(spark):
     assert op.inflate_original_data(out).columns == out.columns
     given = op.inflate_original_data(df, "c string")
     assert rows(given, "id", "original_data.c") == [(1, "x"), (2, None), (3, "y")]
+    named = op.inflate_original_data(df, paths={"a.b": "bigint", "c": "string", "no.such": "int"})
+    assert rows(named, "id", "original_data.a.b", "original_data.no.such") == [(1, 1, None), (2, None, None), (3, None, None)]
+    assert named._jdf.queryExecution().optimizedPlan().toString().count("AS __json#") == 1  # texts are parsed once
+    assert rows(op.json_inventory(df)) == [("a.b", "BIGINT", 1), ("c", "STRING", 2)]
+    mixed = spark.createDataFrame([('{"k": 1, "it\'s": [1, 2], "e": {}}',), ('{"k": "x", "n": null}',), ("[1]",), ("7",), (None,)], "original_data string")
+    assert rows(op.json_inventory(mixed)) == [("it's", "ARRAY<BIGINT>", 1), ("k", "BIGINT", 1), ("k", "STRING", 1)]
+    out = op.inflate_original_data(mixed)
+    assert rows(out, "original_data.it's", "original_data.k") == sorted([([1, 2], "1"), (None, "x")] + 3 * [(None, None)], key=repr)
+    assert op.inflate_original_data(mixed.where("false")).columns == mixed.columns
     with pytest.raises(ValueError):
         op.inflate_original_data(df.select("id"))
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from datetime import timedelta
+
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -62,3 +64,49 @@ def test_correlate_stream(spark, tmp_path):
     out = run(joined, tmp_path, "joined")
     got = rows(out.select("process_correlation_id", F.hour("netflow_ts").alias("h")))
     assert got == sorted([("h:1:2", 5), ("h:1:2", 6), ("h:9:9", None)], key=repr)
+
+
+def test_open_days_come_from_the_state(spark, tmp_path):
+    """Closed days and the closing pass together are the batch answer, and no day comes twice."""
+    day = "timestamp'2024-01-0{} 10:00:00' as ts, 'dns' as event_type, 't' as tenant_id, array('a', 'a', 'b') as values".format
+    frames = [spark.sql(f"select {day(n)} union all select {day(n)}") for n in (1, 2, 3)]
+    iocs = spark.createDataFrame([("a",), ("zz",)], "value string")
+    out = run(streams.daily_ioc_counts(stream(spark, tmp_path, frames), iocs), tmp_path, "days")
+    both = out.unionByName(streams.open_daily_counts(spark, f"{tmp_path}/days-state"))
+    got = rows(both.select(F.date_format("day.start", "yyyy-MM-dd"), "matching_value", "count"))
+    assert got == [(f"2024-01-0{n}", "a", 2) for n in (1, 2, 3)]
+
+
+def test_staged_first_over_many_batches(spark, tmp_path):
+    """Every key once, from the batch that brings it first; later batches read neither the table nor earlier batches."""
+    schema = "evidence_type string, id string, tenant_id string, investigation_id string"
+    batches = [
+        [("events", "x", "t", "i"), ("alerts", "x", "u", "i"), ("alerts", "x", "u", "i"), (None, "y", "t", None)],
+        [("alerts", "x", "a", "i"), ("events", "x", "t", "j"), ("events", "y", None, None)],
+        [("events", "z", None, "i"), ("events", "x", "t", "j")],
+        [("events", "x", "t", "i")],
+    ]
+    source = stream(spark, tmp_path, [spark.createDataFrame(b, schema) for b in batches])
+    out = streams.staged_first(source)
+    query = out.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/s").trigger(availableNow=True).start(f"{tmp_path}/rows")
+    query.awaitTermination()
+    assert [p["sources"][0]["numInputRows"] for p in query.recentProgress if p["sources"][0]["numInputRows"]] == [4, 3, 2, 1]
+    assert "Relation [" not in query.lastProgress["sources"][0]["description"]
+    got = rows(spark.read.schema(out.schema).parquet(f"{tmp_path}/rows").select("evidence_type", "id", "tenant_id", "investigation_id"))
+    assert got == sorted([("alerts", "x", "u", "i"), (None, "y", "t", None), ("events", "x", "t", "j"), ("events", "z", None, "i")], key=repr)
+
+
+def test_salted_matches_and_the_rest(spark, tmp_path):
+    """One process with most flows: the pairs of the batch join, each once, and the processes without a flow."""
+    processes = spark.range(6).selectExpr("id", "if(id < 4, 'h:1:2', 'h:9:'||id) as process_correlation_id", "timestamp'2024-01-01 00:00:00' + id * interval '1' hour as ts")
+    flows = spark.range(200).selectExpr("id", "'h' as host_id", "if(id % 9 = 8, '7:7', '1:2') as pid", "'' as timewindow", "timestamp'2024-01-01 00:00:00' + id * interval '20' minute as ts")
+    met = run(streams.correlate_matches(stream(spark, tmp_path / "p", [processes]), stream(spark, tmp_path / "f", [flows]), salts=5), tmp_path, "met")
+    whole = streams.with_unmatched(met, processes, "id")
+    want = [
+        (p.id, f.id)
+        for p in processes.collect()
+        for f in flows.collect()
+        if f"{f.host_id}:{f.pid}" == p.process_correlation_id and p.ts <= f.ts <= p.ts + timedelta(days=1)
+    ]
+    assert len(want) > 200
+    assert rows(whole, "id", "netflow_id") == sorted([*want, (4, None), (5, None)], key=repr)
