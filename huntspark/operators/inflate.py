@@ -110,7 +110,7 @@ def inflate_original_data(
 
     With ``paths`` (dotted path: type) or ``schema`` this is a projection of the named values out of texts that are parsed once.
     Without either, the paths are looked up first (``json_inventory``) and each becomes a column, a path with several types as
-    text: name the paths where texts may have any number of them.
+    text: name the paths where texts may have any number of them. A dot in a path always leads one level down.
     """
     if any(c.startswith("original_data.") for c in df.columns):
         return df
@@ -127,8 +127,14 @@ def inflate_original_data(
     root = df.withColumn("__json", parsed)
 
     def value(path: str, kind: str) -> Column:
-        steps = "".join("['" + part.replace("\\", "\\\\").replace("'", "\\'") + "']" for part in path.split("."))
-        return F.try_variant_get("__json", "$" + steps, kind).alias("original_data." + path)
+        held, steps = F.col("__json"), "$"
+        for part in path.split("."):
+            if "'" in part and '"' in part:  # no path can name it
+                inner = F.try_variant_get(held, steps, "map<string,variant>")
+                held, steps = F.element_at(inner, F.lit(part)), "$"
+            else:
+                steps += f'["{part}"]' if "'" in part else f"['{part}']"
+        return F.try_variant_get(held, steps, kind).alias("original_data." + path)
 
     return root.select(*[q(c) for c in df.columns], *[value(p, k) for p, k in paths.items()])
 

@@ -78,6 +78,8 @@ def test_original_data(spark):
     out = op.inflate_original_data(mixed)
     assert rows(out, "original_data.it's", "original_data.k") == sorted([([1, 2], "1"), (None, "x")] + 3 * [(None, None)], key=repr)
     assert op.inflate_original_data(mixed.where("false")).columns == mixed.columns
+    quotes = spark.createDataFrame([('{"a\'\\"b": {"c": 5}}',)], "original_data string")
+    assert op.inflate_original_data(quotes).first()[1] == 5
     with pytest.raises(ValueError):
         op.inflate_original_data(df.select("id"))
 
