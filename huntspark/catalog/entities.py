@@ -24,12 +24,12 @@ def flat(i: Inputs) -> DataFrame:
 
 
 def seeds(i: Inputs) -> DataFrame:
-    return context.seeds(entities.normalize_entities(flat(i)))
+    return context.seeds(entities.normalize_entities(flat(i), unique_ids=True))
 
 
 @query("f_alerts", f"with {ENTITY.strip()} select id, field, value from entity")
 def normalize_entities(i: Inputs) -> DataFrame:
-    return entities.normalize_entities(flat(i)).select(
+    return entities.normalize_entities(flat(i), unique_ids=True).select(
         "id", q(entities.FIELD).alias("field"), q(entities.VALUE).alias("value")
     )
 
@@ -186,7 +186,7 @@ def context_query_texts(i: Inputs) -> DataFrame:
 
 @query("f_alerts", f"with {ENTITY.strip()} select distinct field, value, id from entity")
 def entity_alerts(i: Inputs) -> DataFrame:
-    return entities.entity_alerts(flat(i))
+    return entities.entity_alerts(flat(i), unique_ids=True)
 
 
 @query("f_alerts", f"with {ENTITY.strip()} select id, value from entity where field = '@ip'")

@@ -126,6 +126,17 @@ def stage_queries(i: Inputs) -> DataFrame:
     return op.stage_queries(empty, i("f_search_log"))[0]
 
 
+@query(
+    "f_search_log",
+    """select id, query from f_search_log where query <> 'view' union all
+    select id, 'again' from f_search_log where query = 'view'""",
+)
+def track_queries(i: Inputs) -> DataFrame:
+    """New queries join the log; those it has already stay as they are."""
+    log = i("f_search_log")
+    return op.track_queries(log.where("query <> 'view'"), log.withColumn("query", F.lit("again"))).select("id", "query")
+
+
 @query("f_search_log", "select id from f_search_log where query <> 'view'")
 def untrack_queries(i: Inputs) -> DataFrame:
     log = i("f_search_log")

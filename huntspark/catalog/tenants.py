@@ -33,6 +33,46 @@ def tenant_search(i: Inputs) -> DataFrame:
     return found.select("id", "name")
 
 
+CLIENTS = """client as (select c_custkey as id, c_name as name, c_mktsegment as partner, 's'||(c_custkey % 7) as requested, 'h'||(c_nationkey % 5) as hierarchy,
+    c_custkey % 4 <> 0 as enabled, c_custkey % 300 as created_day, c_custkey % 90 as modified_day from customer)"""
+
+
+@query(
+    sql=f"""with {CLIENTS} select cast(id as string) as id from client where partner in ('BUILDING', 'MACHINERY') and requested in ('s1', 's2', 's3')
+      and hierarchy in ('h0', 'h4') and enabled and created_day between 20 and 200 and modified_day >= 10"""
+)
+def tenant_search_more(i: Inputs) -> DataFrame:
+    """The other conditions: partner, requested services, hierarchy, state, days of creation and change."""
+    held = i.table("customer").selectExpr(
+        "cast(c_custkey as string) as id", "c_name as name", "array(c_mktsegment) as partner_subscriptions", "array('s'||(c_custkey % 7)) as requested_services",
+        "array('root', 'h'||(c_nationkey % 5)) as hierarchies", "c_custkey % 4 <> 0 as enabled",
+        "timestamp_seconds(1704067200 + 86400 * (c_custkey % 300)) as created_at", "timestamp_seconds(1704067200 + 86400 * (c_custkey % 90)) as modified_at",
+    )
+    return op.tenant_search(
+        held, partner_subscriptions=["BUILDING", "MACHINERY"], requested_services=["s1", "s2", "s3"], hierarchies=["h0", "h4"], enabled=True,
+        created=("2024-01-21T00:00:00Z", "2024-07-19T00:00:00Z"), modified=("2024-01-11T00:00:00Z", None),
+    ).select("id")
+
+
+@query("f_alerts f_tenants", "select name, count(*) as alerts from f_alerts a join f_tenants t on t.id = a.tenant_id where t.id in ('1', '3', '7', '19') group by all")
+def tenant_search_ids(i: Inputs) -> DataFrame:
+    found = op.tenant_search(tenants(i), ids=["1", "3", "7", "19", "none"]).select(F.col("id").alias("t"), "name")
+    return i("f_alerts").join(found, F.col("tenant_id") == F.col("t")).groupBy("name").agg(F.count("*").alias("alerts"))
+
+
+@query(
+    "f_alerts",
+    """select tenant_id as _macro_tenant_id, status, count(*) as count, null as title from f_alerts where tenant_id in ('2', '5') group by all
+    union all select tenant_id, null, count(*), title from f_alerts where tenant_id = '9' group by all""",
+)
+def merge_results(i: Inputs) -> DataFrame:
+    """Results of several tenants, not all with the same columns."""
+    def of(tenant: str, column: str) -> DataFrame:
+        return i("f_alerts").where(F.col("tenant_id") == tenant).groupBy(column).agg(F.count("*").alias("count"))
+
+    return op.merge_results({"2": of("2", "status"), "5": of("5", "status"), "9": of("9", "title")})
+
+
 @query("f_tenants", "select id from f_tenants where service = 'MACHINERY'")
 def tenant_search_label(i: Inputs) -> DataFrame:
     return op.tenant_search(tenants(i), label_name="segment", label_value="MACHINERY", sort_by="name", ascending=False).select("id")

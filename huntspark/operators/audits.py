@@ -34,7 +34,8 @@ def _lines(df: DataFrame, name: str) -> Column:
 
 
 def _surplus(of: Column, other: Column, mark: str) -> Column:
-    """The items of ``of`` as often as it has them more than ``other``, in order of their first place, marked."""
+    """The items of ``of`` as often as it has them more than ``other``, in order of their first place, marked. Items that are all
+    different on both sides, as lines mostly are, need no counting."""
 
     def times(items: Column, s: Column) -> Column:
         return F.size(F.filter(items, lambda x: x.eqNullSafe(s)))
@@ -42,7 +43,9 @@ def _surplus(of: Column, other: Column, mark: str) -> Column:
     def more(s: Column) -> Column:
         return F.array_repeat(F.concat(F.lit(mark), s), F.greatest(times(of, s) - times(other, s), F.lit(0)))
 
-    return F.flatten(F.transform(F.array_distinct(of), more))
+    different = (F.size(F.array_distinct(of)) == F.size(of)) & (F.size(F.array_distinct(other)) == F.size(other))
+    marked = F.transform(F.array_except(of, other), lambda s: F.concat(F.lit(mark), s))
+    return F.when(different, marked).otherwise(F.flatten(F.transform(F.array_distinct(of), more)))
 
 
 def get_diffs(df: DataFrame) -> DataFrame:

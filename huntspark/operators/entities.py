@@ -38,9 +38,15 @@ def entity_rows(df: DataFrame, column: str = "entities.entities") -> DataFrame:
     return rows.dropna(subset=[FIELD, VALUE])
 
 
-def normalize_entities(df: DataFrame, column: str = "entities.entities") -> DataFrame:
-    """One row per distinct (alert id, field, value). Alerts without known entities contribute nothing."""
-    return entity_rows(df, column).dropDuplicates(["id", FIELD, VALUE])
+def normalize_entities(df: DataFrame, column: str = "entities.entities", unique_ids: bool = False) -> DataFrame:
+    """One row per distinct (alert id, field, value). Alerts without known entities contribute nothing.
+
+    ``unique_ids``: every alert is one row of ``df``, so its entities are made distinct in the row and nothing is shuffled.
+    """
+    if not unique_ids:
+        return entity_rows(df, column).dropDuplicates(["id", FIELD, VALUE])
+    rows = df.withColumn("__e", F.explode(entity_set(q(column))))
+    return rows.withColumns({FIELD: F.col("__e.field"), VALUE: F.col("__e.value")}).drop("__e")
 
 
 def keep_logical_type(df: DataFrame, field: str) -> DataFrame:
@@ -84,9 +90,9 @@ def relation_counts(relations: DataFrame) -> DataFrame:
     return relations.groupBy("value").agg(*per_type)
 
 
-def entity_alerts(df: DataFrame, column: str = "entities.entities") -> DataFrame:
+def entity_alerts(df: DataFrame, column: str = "entities.entities", unique_ids: bool = False) -> DataFrame:
     """Distinct (field, value, alert id)."""
-    return normalize_entities(df.select("id", q(column)), column).select(
+    return normalize_entities(df.select("id", q(column)), column, unique_ids).select(
         q(FIELD).alias("field"), q(VALUE).alias("value"), "id"
     )
 

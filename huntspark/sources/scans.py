@@ -24,6 +24,16 @@ def _equal(df: DataFrame, wanted: dict[str, object]) -> DataFrame:
     return _where(df, [q(k) == v for k, v in given.items()])
 
 
+# Columns that tell rows apart where a limit cuts among rows of one time.
+_IDS = ["id", "resource_id", "event_id", "audit_id", "alert_id"]
+
+
+def _first(df: DataFrame, limit: int, *order: Column) -> DataFrame:
+    """The first rows in this order, then by what ids there are, so that a search gives the same rows again."""
+    keys = [*order, *[q(c) for c in _IDS if c in df.columns]]
+    return (df.orderBy(*keys) if keys else df).limit(limit)
+
+
 def search_alerts(
     alerts: DataFrame,
     where: list[Column] | None = None,
@@ -48,7 +58,7 @@ def search_alerts(
         return aggregate_count(out, aggregate)
     if limit is None:
         return out
-    return (out.orderBy(q(time_column)) if time_column in out.columns else out).limit(limit)
+    return _first(out, limit, *[q(c) for c in [time_column] if c in out.columns])
 
 
 def search_events(
@@ -66,8 +76,7 @@ def search_events(
     out = _where(out, where or [])
     if earliest or latest:
         out = time_range(out, time_column, earliest, latest, now)
-    out = out.orderBy(q(time_column))
-    return out.limit(limit) if limit is not None else out
+    return out.orderBy(q(time_column)) if limit is None else _first(out, limit, q(time_column))
 
 
 def rows_by_id(df: DataFrame, ids: list[str] | DataFrame, column: str = "resource_id") -> DataFrame:
@@ -104,9 +113,10 @@ def search_audits(
         out = out.where(reduce(lambda a, b: a | b, [F.coalesce(F.contains(q(t), F.lit(search_by_all)), F.lit(False)) for t in texts]))
     if before or after:
         out = time_range(out, time_column, after, before)
-    if sort_by:
-        out = out.orderBy(q(sort_by).asc() if ascending else q(sort_by).desc())
-    return out.limit(limit) if limit is not None else out
+    order = [q(sort_by).asc() if ascending else q(sort_by).desc()] if sort_by else []
+    if limit is not None:
+        return _first(out, limit, *order)
+    return out.orderBy(*order) if order else out
 
 
 def audit_event_names(audits: DataFrame, application: str) -> DataFrame:
@@ -184,7 +194,7 @@ def search_investigations(
     investigations: DataFrame, where: list[Column] | None = None, limit: int | None = None
 ) -> DataFrame:
     out = _where(investigations, where or [])
-    return out.limit(limit) if limit is not None else out
+    return out if limit is None else _first(out, limit)
 
 
 def result_totals(df: DataFrame, by: list[str], total: str | None = None) -> DataFrame:
