@@ -66,13 +66,14 @@ def tokens(i: Inputs) -> DataFrame:
 
 def raw_events(i: Inputs) -> DataFrame:
     """Documents as events: type, tenant, day, and the indicators of the whole text per logical type."""
-    return i("f_raw_text").select(
+    rows = i("f_raw_text").withColumn("found", ind.extract_all_indicators(F.col("text")))
+    return rows.select(
         "doc_id",
         "event_type",
         "tenant_id",
         "lang",
         F.date_sub(F.lit(AS_OF), F.col("day_offset")).alias("date"),
-        *[ind.extract_indicators(F.col("text"), k).alias(f"logicals.{k}") for k in ind.KINDS],
+        *[F.col("found")[k].alias(f"logicals.{k}") for k in ind.KINDS],
     )
 
 
@@ -127,15 +128,9 @@ def tag(kind: str):
 
 @query(sql=f"with {FOUND.strip()} select doc_id, kind, value from found")
 def extract_indicators(i: Inputs) -> DataFrame:
-    held = F.flatten(
-        F.array(
-            *[
-                F.transform(ind.extract_indicators(F.col("text"), k), tag(k))
-                for k in ind.KINDS
-            ]
-        )
-    )
-    return i.table("documents").select("doc_id", F.explode(held).alias("h")).select("doc_id", "h.kind", "h.value")
+    found = i.table("documents").select("doc_id", ind.extract_all_indicators(F.col("text")).alias("found"))
+    held = F.flatten(F.array(*[F.transform(F.col("found")[k], tag(k)) for k in ind.KINDS]))
+    return found.select("doc_id", F.explode(held).alias("h")).select("doc_id", "h.kind", "h.value")
 
 
 @query(sql=f"with {SWEEP} {COUNTED} group by all")
@@ -226,7 +221,8 @@ def ti_publications(i: Inputs) -> DataFrame:
 )
 def add_threat_intel(i: Inputs) -> DataFrame:
     """Indicators found in texts, kept where a correlation knows them."""
-    rows = i.table("documents").select("doc_id", *[ind.extract_indicators(F.col("text"), k).alias(f"logicals.{k}") for k in ind.KINDS])
+    found = i.table("documents").select("doc_id", ind.extract_all_indicators(F.col("text")).alias("found"))
+    rows = found.select("doc_id", *[F.col("found")[k].alias(f"logicals.{k}") for k in ind.KINDS])
     listed = raw_events(i).where("lang = 'en'")
 
     def known(df: DataFrame, indicators: DataFrame) -> DataFrame:
