@@ -147,16 +147,15 @@ def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
       select row_number() over () as n, t.tokens, coalesce(l.quality = 0, false) or coalesce(l.toxic = 1, false) as blocked
       from told t join labels l on l.doc_id = try_cast(nullif(regexp_extract(t.url, '/([0-9]+)', 1), '') as bigint)
       where l.quality is not null or l.toxic is not null),
-    item as (select n, blocked, unnest(tokens) as token from labelled),
+    mask as (select tokens, unnest(range(1, cast(pow(2, len(tokens)) as bigint))) as m from labelled where blocked),
     subset as (
-      select n, blocked, [token] as a from item
-      union all select x.n, x.blocked, [x.token, y.token] from item x join item y on x.n = y.n and x.token < y.token
-      union all select x.n, x.blocked, [x.token, y.token, z.token] from item x join item y on x.n = y.n and x.token < y.token
-                join item z on x.n = z.n and y.token < z.token),
+      select list_sort([t for t, k in tokens if (m >> (k - 1)) & 1 = 1]) as a from mask),
+    often as (select a, count(*) as hits from subset group by a having count(*) >= 5),
+    rated as (
+      select a, hits, count(*) as n, hits / count(*) as p from often join labelled on list_has_all(tokens, a) group by a, hits),
     rule as (
-      select a from subset group by a
-      having count(*) filter (where blocked) >= greatest(ceil(0.01 * (select count(*) from labelled)), 5)
-         and count(*) filter (where blocked) >= 0.5 * count(*)),
+      select a from (select a, (p + 6.635776 / (2 * n) - 2.576 * sqrt(p * (1 - p) / n + 6.635776 / (4 * n * n))) / (1 + 6.635776 / n) as low from rated)
+      where low >= 0.5 and low > (select avg(cast(blocked as integer)) from labelled)),
     blocked as (select distinct t.page_id, t.url from told t join rule r on list_has_all(t.tokens, r.a)),
     explicit(verdict, h, p) as (
       values ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'),

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +17,9 @@ RULES = [
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 ]
-BLOCK = "y:block"
+MIN_COUNT = 5  # blocked URLs a rule rests on, whatever the table
+MIN_CONFIDENCE = 0.5  # of the lower bound of a rule's rate of blocked URLs
+Z = 2.576  # the bound holds for 99 of 100 such rates
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -59,49 +59,61 @@ def explicit_rule(host: Column, path: Column, rules=RULES) -> Column:
     return F.coalesce(*fits)
 
 
-def mine_block_rules(
-    labelled: DataFrame, min_support: float = 0.01, min_count: int = 5, min_confidence: float = 0.5, max_tokens: int = 3
-) -> DataFrame:
+def wilson(hits: Column, of: Column, z: float) -> Column:
+    """Lower bound of a rate seen ``hits`` times of ``of``."""
+    rate, odd = hits / of, F.lit(z * z)
+    spread = F.lit(z) * F.sqrt(rate * (1 - rate) / of + odd / (4 * of * of))
+    return (rate + odd / (2 * of) - spread) / (1 + odd / of)
+
+
+def contained(sets: DataFrame, parts: DataFrame) -> DataFrame:
+    """(*sets*, antecedent) for every row of ``sets`` (tokens array) that holds all of a ``parts`` row (antecedent array).
+
+    An inverted index: a part stands under its rarest token only (of the tokens of ``sets``), a set looks up its tokens, and
+    what it finds is checked whole. Both sides distinct; a frequent token has few parts, for most have a rarer one."""
+    uses = sets.select(F.explode("tokens").alias("token")).groupBy("token").count()
+    rarest = (
+        parts.select("antecedent", F.explode("antecedent").alias("token"))
+        .join(uses, "token")
+        .groupBy("antecedent")
+        .agg(F.count("*").alias("known"), F.min(F.struct("count", "token")).alias("least"))
+        .where(F.col("known") == F.size("antecedent"))
+        .select("antecedent", F.col("least.token").alias("token"))
+    )
+    found = sets.withColumn("token", F.explode("tokens")).join(rarest, "token").drop("token")
+    return found.where(F.forall("antecedent", lambda t: F.array_contains("tokens", t)))
+
+
+def mine_block_rules(labelled: DataFrame, min_count: int = MIN_COUNT, min_confidence: float = MIN_CONFIDENCE, z: float = Z) -> DataFrame:
     """Rules (antecedent array) that lead to a blocked label, mined from ``labelled`` (tokens array, blocked boolean).
 
-    FP-growth finds the token sets; a rule needs ``min_support`` of the labelled URLs (and ``min_count`` of them) with
-    its tokens and the label, ``min_confidence`` of those with its tokens, and at most ``max_tokens`` tokens. A rule is
-    pruned if a part of its tokens is a rule already: it would match nothing new. Without labels there are no rules.
+    FP-growth finds the token sets, of any length, that at least ``min_count`` blocked URLs have: a number that does not grow with
+    the table, so a host with few URLs can be a rule at any size. Their URLs are counted over all labels, and a set is a rule if
+    the lower bound (Wilson, ``z``) of its rate of blocked ones is at least ``min_confidence`` and above the rate of all labels.
+    A rule that holds a smaller rule is pruned: it would match nothing new. Without enough blocked labels there are no rules.
     """
-    items = F.when(F.col("blocked"), F.array_append("tokens", F.lit(BLOCK))).otherwise(F.col("tokens"))
-    sets = cut(labelled.where(F.col("blocked").isNotNull()).select(items.alias("items")).where(F.size("items") > 0))
-    total = sets.count()
-    if total == 0:
-        return sets.select(F.col("items").alias("antecedent")).limit(0)
-    least = max(math.ceil(min_support * total), min_count)
-    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / total, minConfidence=0.0).fit(sets)
-    found = cut(model.freqItemsets.where(F.size("items") <= max_tokens + 1))
-    plain = found.where(~F.array_contains("items", BLOCK)).select(
-        F.array_sort("items").alias("antecedent"), F.col("freq").alias("n")
-    )
-    led = found.where(F.array_contains("items", BLOCK) & (F.size("items") > 1)).select(
-        F.array_sort(F.array_remove("items", BLOCK)).alias("antecedent"), F.col("freq").alias("n_block")
-    )
-    rules = cut(plain.join(led, "antecedent").where(F.col("n_block") >= min_confidence * F.col("n")).select("antecedent"))
-    # a proper part of a set of at most three tokens has one or two of them
-    bits = F.expr("sequence(1, shiftleft(1, size(antecedent)) - 2)")
-    part = F.expr("filter(antecedent, (t, i) -> shiftright(mask, i) % 2 = 1)")
-    parts = (
-        rules.where(F.size("antecedent") > 1)
-        .select("antecedent", F.explode(bits).alias("mask"))
-        .select(F.col("antecedent").alias("whole"), part.alias("antecedent"))
-    )
-    covered = parts.join(rules, "antecedent", "left_semi").select(F.col("whole").alias("antecedent"))
-    return rules.join(covered, "antecedent", "left_anti")
+    known = labelled.where(F.col("blocked").isNotNull() & F.col("tokens").isNotNull())
+    sets = cut(known.groupBy("tokens").agg(F.count("*").alias("n"), F.count_if("blocked").alias("n_block")))
+    total, bad = sets.agg(F.sum("n"), F.sum("n_block")).first()
+    if (bad or 0) < min_count:
+        return sets.select(F.col("tokens").alias("antecedent")).limit(0)
+    blocked = cut(known.where("blocked").select("tokens"))
+    model = FPGrowth(itemsCol="tokens", minSupport=(min_count - 0.5) / bad, minConfidence=0.0).fit(blocked)
+    found = cut(model.freqItemsets.select(F.array_sort("items").alias("antecedent"), F.col("freq").alias("n_block")))
+    counted = contained(sets.select("tokens", "n"), found.select("antecedent")).groupBy("antecedent").agg(F.sum("n").alias("n"))
+    bound = wilson(F.col("n_block"), F.col("n"), z)
+    rules = counted.join(found, "antecedent").where((bound >= min_confidence) & (bound > bad / total))
+    rules = cut(rules.select("antecedent"))
+    larger = contained(rules.select(F.col("antecedent").alias("tokens")), rules).where(F.size("tokens") > F.size("antecedent"))
+    return rules.join(larger.select(F.col("tokens").alias("antecedent")).distinct(), "antecedent", "left_anti")
 
 
 def filter_urls(pages: DataFrame, block_rules: DataFrame, rules=RULES) -> DataFrame:
     """``pages`` (page_id, url) with host, path, rule and verdict.
 
-    The verdict is that of the longest explicit rule, else ``block`` if a mined rule fits, else ``allow``. Mined rules
-    are looked up by an inverted index: a rule stands under its rarest token only, distinct token sets look up their
-    tokens, and what they find is checked against the whole rule. URLs are reduced to distinct token sets first.
-    A null or broken url has an empty host and path and no tokens: ``allow``. Repeated rows stay.
+    The verdict is that of the longest explicit rule, else ``block`` if a mined rule fits, else ``allow``. URLs are reduced to
+    distinct token sets, which look up the mined rules by an inverted index (``contained``). A null or broken url has an empty
+    host and path and no tokens: ``allow``. Repeated rows stay, other columns are not read, an empty table has no rows.
     """
     host, path = host_and_path(F.col("url"))
     judged = pages.select("page_id", "url", host.alias("host"), path.alias("path")).select(
@@ -110,23 +122,7 @@ def filter_urls(pages: DataFrame, block_rules: DataFrame, rules=RULES) -> DataFr
     ruled = judged.where(F.col("own").isNotNull())
     open_ = judged.where(F.col("own").isNull()).withColumn("tokens", F.coalesce(url_tokens(F.col("url")), F.array()))
     sets = open_.select("tokens").distinct()
-    uses = sets.select(F.explode("tokens").alias("token")).groupBy("token").count()
-    rarest = (
-        block_rules.select("antecedent", F.explode("antecedent").alias("token"))
-        .join(uses, "token")
-        .groupBy("antecedent")
-        .agg(F.count("*").alias("known"), F.min(F.struct("count", "token")).alias("least"))
-        .where(F.col("known") == F.size("antecedent"))
-        .select("antecedent", F.col("least.token").alias("token"))
-    )
-    blocked = (
-        sets.select("tokens", F.explode("tokens").alias("token"))
-        .join(rarest, "token")
-        .where(F.forall("antecedent", lambda t: F.array_contains("tokens", t)))
-        .select("tokens")
-        .distinct()
-        .withColumn("mined", F.lit("block"))
-    )
+    blocked = contained(sets, block_rules.select("antecedent")).select("tokens").distinct().withColumn("mined", F.lit("block"))
     mined = open_.join(blocked, "tokens", "left").withColumn("verdict", F.coalesce("mined", F.lit("allow")))
     ruled = ruled.select("page_id", "host", "path", "own.rule", "own.verdict")
     return ruled.unionByName(mined.select("page_id", "host", "path", F.lit(None).cast("string").alias("rule"), "verdict"))

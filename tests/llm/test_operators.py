@@ -331,19 +331,43 @@ def test_url_rules(spark):
     ]
 
 
+def low(hits, n, z=2.576):
+    p = hits / n
+    return (p + z * z / (2 * n) - z * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+
+
 def test_mined_rules_against_counting(spark):
-    random_ = random.Random(6)
-    rows = [(sorted({random_.choice("abcde") for _ in range(3)}), random_.random() < 0.5) for _ in range(200)] + [([], True), (["a"], None)]
-    frame = spark.createDataFrame(rows, "tokens array<string>, blocked boolean")
     from itertools import combinations
 
-    total = sum(b is not None and bool(t or b) for t, b in rows)
+    random_ = random.Random(6)
+    rows = []
+    for _ in range(400):
+        tokens = sorted({random_.choice("abcdefg") for _ in range(5)})
+        rows.append((tokens, random_.random() < (0.95 if {"a", "b", "c"} <= set(tokens) or {"d", "g"} <= set(tokens) else 0.3)))
+    rows += [([], True), (["a"], None), (None, True), (["x", "y"], True)] + [(list("pqrst"), True)] * 7 + [(["p"], False)] * 30
+    frame = spark.createDataFrame(rows, "tokens array<string>, blocked boolean")
+    known = [(set(t), b) for t, b in rows if t is not None and b is not None]
+    base = sum(b for _, b in known) / len(known)
     good = set()
-    for n in (1, 2, 3):
-        for a in combinations("abcde", n):
-            hit = [b for t, b in rows if b is not None and set(a) <= set(t)]
-            if sum(hit) >= max(5, math.ceil(0.01 * total)) and sum(hit) >= 0.5 * len(hit):
+    for n in range(1, 8):
+        for a in {x for t, b in known if b for x in combinations(sorted(t), n)}:
+            hit = [b for t, b in known if set(a) <= t]
+            if sum(hit) >= 5 and low(sum(hit), len(hit)) >= max(0.5, base):
                 good.add(a)
     want = {a for a in good if not any(set(b) < set(a) for b in good)}
-    assert {tuple(r.antecedent) for r in url_rules.mine_block_rules(frame).collect()} == want
+    got = {tuple(r.antecedent) for r in url_rules.mine_block_rules(frame).collect()}
+    assert got == want and ("q",) in got and any(len(a) > 1 for a in got)
     assert url_rules.mine_block_rules(frame.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("size", [1000, 60_000])
+def test_a_host_of_few_urls_is_a_rule_at_any_size(spark, size):
+    """Eight blocked URLs of one host among a thousand or many labels of other hosts, of which one in ten is blocked."""
+    urls = spark.range(size).selectExpr("id as page_id", "'http://www.site'||chr(97 + id % 17)||'.example.org/en/'||id as url", "id % 10 = 3 as blocked")
+    bad = spark.range(9).selectExpr("id + 10000000 as page_id", "'http://planted.example.org/en/'||id||'.html' as url", "id < 8 as blocked")
+    pages = urls.unionByName(bad)
+    labelled = pages.where("page_id <> 10000008").select(url_rules.url_tokens(pages["url"]).alias("tokens"), "blocked")
+    mined = url_rules.mine_block_rules(labelled)
+    assert sorted(tuple(r.antecedent) for r in mined.collect()) == [("d:planted.example.org",), ("h:planted",), ("p:html",)]
+    verdicts = url_rules.filter_urls(pages.select("page_id", "url"), mined).where("verdict = 'block'")
+    assert sorted(r.page_id for r in verdicts.collect()) == list(range(10000000, 10000009))
