@@ -65,11 +65,12 @@ def byte_alphabet() -> list[str]:
 
 
 class Encoder:
-    """Whole texts to ids with a byte-level tokenizer file of the tokenizers library.
+    """Whole texts to ids with a byte-level tokenizer file of the tokenizers library, as it encodes them by itself.
 
-    Its pattern starts a new pre-token at every single space, so a text with no two spaces in a row is the list of its
-    space-separated words, each encoded on its own (with its space). The ids of up to ``limit`` words are kept, others
-    are encoded again in each batch; other texts are encoded as they are. Ids are those of the whole text either way.
+    Its pattern starts a new pre-token at every single space and makes a single line end one of its own, so a text without two
+    white spaces in a row is the list of its words, each encoded on its own with the space or line end before it. Other texts
+    are cut at single spaces only, or not at all, and so are texts with a special token. The ids of up to ``limit`` words are
+    kept; beyond that the rarest give way. Ids are those of the whole text either way.
     """
 
     def __init__(self, path: str, limit: int = WORDS):
@@ -77,35 +78,36 @@ class Encoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.vocab = self.whole.get_vocab_size()
         # words of letters need no pattern: in the vocabulary's byte alphabet they are split at spaces only
         self.plain = Tokenizer.from_file(path)
-        self.plain.encode_special_tokens = True
         self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.sizes = np.array([len(t) for t, _ in sorted(self.whole.get_vocab().items(), key=lambda x: x[1])], np.int64)
         alphabet = byte_alphabet()
         self.table = {k: "".join(alphabet[b] for b in chr(k).encode()) for k in range(LETTERS_END)}
-        self.space = alphabet[32]
-        self.table |= {ord("\n"): f" {self.space}", ord("."): " .", ord(","): " ,"}
-        self.letters = re.compile(rf"[^\W\d_{chr(LETTERS_END)}-\U0010ffff]+[.,]?").fullmatch
+        self.space, self.line = alphabet[32], alphabet[10]
+        self.table |= {ord(" "): f" {self.space}", ord("\n"): f" {self.line} ", ord("."): " .", ord(","): " ,"}
+        self.letters = re.compile(rf"\n?[^\W\d_{chr(LETTERS_END)}-\U0010ffff]+[.,]?").fullmatch
         self.words, self.limit = Words(), limit
-        self.flat, self.start, self.size = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.flat, self.start, self.size, self.uses = np.empty(0, np.uint32), *(np.empty(0, np.int64) for _ in range(3))
 
     def _of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of ``words``, each with a space before it; where those of a word start, and how many they are."""
-        simple = np.fromiter((self.letters(w) is not None for w in words), bool, len(words))
+        """Ids of ``words``, each with a space before it unless it starts with a line end; where those of a word start, and how
+        many they are."""
+        words = [w if w[:1] == "\n" else " " + w for w in words]
+        simple = np.fromiter((self.letters(w[w[0] == " " :]) is not None for w in words), bool, len(words))
         plain = [words[k] for k in np.flatnonzero(simple)]
         counts, flats = np.zeros(len(words), np.int64), []
         if plain:
-            lots = [self.space + "\n".join(plain[k : k + LOT]).translate(self.table) for k in range(0, len(plain), LOT)]
+            lots = ["".join(plain[k : k + LOT]).translate(self.table) for k in range(0, len(plain), LOT)]
             flats.append(np.concatenate([np.array(e.ids, np.uint32) for e in self.plain.encode_batch_fast(lots, add_special_tokens=False)]))
-            ends = np.cumsum([1 + (len(w) if w.isascii() else len(w.encode())) for w in plain])
+            ends = np.cumsum([len(w) if w.isascii() else len(w.encode()) for w in plain])
             upto = np.searchsorted(np.cumsum(self.sizes[flats[0]]), ends) + 1
             counts[simple] = np.diff(upto, prepend=0)
         other = [k for k in np.flatnonzero(~simple)]
         if other:
-            ids = [e.ids for e in self.whole.encode_batch_fast([" " + words[k] for k in other], add_special_tokens=False)]
+            ids = [e.ids for e in self.whole.encode_batch_fast([words[k] for k in other], add_special_tokens=False)]
             counts[~simple] = [len(x) for x in ids]
             flats.append(np.fromiter(chain.from_iterable(ids), np.uint32))
         order = np.concatenate([np.flatnonzero(simple), np.flatnonzero(~simple)])  # whose ids stand where
@@ -114,25 +116,47 @@ class Encoder:
         start[order] = np.cumsum(size) - size
         return np.concatenate(flats), start, counts
 
+    def _make_room(self) -> None:
+        """Forget words that were met once, and beyond half the limit the rarest others; what stays counts as met once."""
+        often = np.flatnonzero(self.uses > 1)
+        if len(often) > self.limit // 2:
+            often = np.sort(often[np.argsort(-self.uses[often], kind="stable")[: self.limit // 2]])
+        names, sizes = list(self.words), self.size[often]
+        self.words = Words()
+        for k in often.tolist():
+            self.words[names[k]] = self.words.number
+            self.words.number += 1
+        start = np.cumsum(sizes) - sizes
+        self.flat = self.flat[np.repeat(self.start[often] - start, sizes) + np.arange(sizes.sum())]
+        self.start, self.size, self.uses = start, sizes, np.ones(len(often), np.int64)
+
+    def _split(self, text: str) -> list[str] | None:
+        """The words of a text that can be encoded one by one, the first of them as it stands; a word after a line end starts with it."""
+        if "  " in text or " \n" in text or any(s in text for s in self.special):
+            return None
+        if "\n" not in text or "\n\n" in text or "\n " in text or text[0] == "\n" or text[-1] == "\n":
+            return text.split(" ")
+        return text.replace("\n", " \n").split(" ")
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text; ``texts`` should be some megabytes together."""
-        split = [t.split(" ") if "  " not in t else None for t in texts]
+        split = [self._split(t) for t in texts]
         direct = [t if s is None else s[0] for t, s in zip(texts, split)]
         heads = [np.array(e.ids, np.uint32) for e in self.whole.encode_batch_fast(direct, add_special_tokens=False)]
+        if self.words.number > self.limit:
+            self._make_room()
         numbers = [np.fromiter(map(self.words.__getitem__, s[1:]), np.int64, len(s) - 1) if s and len(s) > 1 else None for s in split]
-        flat, start, size = self.flat, self.start, self.size
         fresh = self.words.fresh
         if fresh:
             more, at, sizes = self._of_words(fresh)
-            start = np.concatenate([start, len(flat) + at])
-            flat, size = np.concatenate([flat, more]), np.concatenate([size, sizes])
-            if self.words.number <= self.limit:
-                self.flat, self.start, self.size = flat, start, size
-            else:
-                for w in fresh:
-                    del self.words[w]
-                self.words.number -= len(fresh)
+            self.start = np.concatenate([self.start, len(self.flat) + at])
+            self.flat, self.size = np.concatenate([self.flat, more]), np.concatenate([self.size, sizes])
             self.words.fresh = []
+        flat, start, size = self.flat, self.start, self.size
+        used = [n for n in numbers if n is not None]
+        self.uses = np.concatenate([self.uses, np.zeros(len(size) - len(self.uses), np.int64)])
+        if used:
+            self.uses += np.bincount(np.concatenate(used), minlength=len(size))
         out = []
         for head, number in zip(heads, numbers):
             if number is None:
