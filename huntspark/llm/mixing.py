@@ -15,7 +15,8 @@ from huntspark.plans.lineage_cut import cut
 WEIGHTS = (5, 2, 1)
 EPOCHS = 3  # no document is taken more often
 SEED = 7
-BUDGET = 1 << 13  # words that the exact knapsack may fill
+BUDGET = 1 << 13  # words that are left to the exact knapsack, where documents are not longer
+TABLE = 1 << 26  # bytes of reachable sums that it remembers
 BIN_BITS = 12  # documents of one source and length are ranked within bins of their seeded number
 
 
@@ -58,48 +59,51 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, epochs:
     )
 
 
-def fill(counts: dict[int, int], budget: int, exact: int = BUDGET) -> dict[int, int]:
+def fill(counts: dict[int, int], budget: int, exact: int = BUDGET, seed: int = SEED) -> dict[int, int]:
     """How many documents of each length to take, at most ``counts``, so that their words come as near ``budget`` as found.
 
-    First the same share of every length, rounded down; then long ones first while more than ``exact`` words are open;
-    then the sum next to the rest from below by a bounded knapsack (reachable sums as bits of a number, copies of a length
-    in powers of two); a last document is added if that is nearer.
+    All but a rest of ``exact`` words (or three of the longest documents) is spread evenly: every length gives its share of
+    documents, fractions carried on from length to length, from a seeded start, which leaves an error of one document at most. The
+    rest is filled by a bounded knapsack over what is left of all lengths in a seeded order (reachable sums as bits of a
+    number, copies of a length in powers of two), up to the sum next to it on either side. A budget of at most ``exact`` words
+    is met as nearly as any choice can. The knapsack looks at no more lots than ``TABLE`` bytes of sums remember.
     """
     total = sum(n * k for n, k in counts.items())
     budget = max(0, min(budget, total))
-    take = {n: k * budget // total if total else 0 for n, k in counts.items()}
-    rest = budget - sum(n * k for n, k in take.items())
-    lengths = sorted((n for n in counts if n > 0), reverse=True)
+    take = dict.fromkeys(counts, 0)
+    lengths = sorted(n for n in counts if n > 0)
+    if not budget:
+        return take
+    if 0 in counts:
+        take[0] = counts[0] * budget // total
+    room = min(budget, max(exact, 3 * lengths[-1]))
+    carry = (seed * 0x9E3779B97F4A7C15 % (1 << 64)) / (1 << 64)
     for n in lengths:
-        if rest <= exact:
-            break
-        more = min(counts[n] - take[n], rest // n)
-        take[n] += more
-        rest -= more * n
-    window = (1 << (rest + 1)) - 1
+        share = counts[n] * (budget - room) / total + carry
+        take[n] = min(counts[n], int(share))
+        carry = share - take[n]
+    rest = max(0, budget - sum(n * take[n] for n in lengths))
+    window = (1 << (rest + lengths[-1] + 1)) - 1
     reach, steps = 1, []
-    for n in lengths if rest <= exact else []:
-        spare, lot = min(counts[n] - take[n], rest // n), 1
-        while spare > 0 and not reach >> rest & 1:
+    for n in sorted(lengths, key=lambda n: (n * 0x9E3779B1 + seed) % (1 << 32)):
+        spare, lot = min(counts[n] - take[n], rest // n + 1), 1
+        while spare > 0 and not reach >> rest & 1 and len(steps) * (rest + lengths[-1]) < 8 * TABLE:
             lot = min(lot, spare)
             steps.append((n, lot, reach))
             reach |= reach << (n * lot) & window
             spare, lot = spare - lot, lot * 2
-        if reach >> rest & 1:
-            break
-    at = reach.bit_length() - 1
-    gap = rest - at
+    below = (reach & (1 << (rest + 1)) - 1).bit_length() - 1
+    above = reach >> rest
+    above = rest + (above & -above).bit_length() - 1 if above else None
+    at = below if above is None or rest - below <= above - rest else above
     for n, lot, before in reversed(steps):
         if not before >> at & 1:
             take[n] += lot
             at -= n * lot
-    last = [n for n in lengths if take[n] < counts[n] and abs(n - gap) < gap]
-    if last:
-        take[min(last, key=lambda n: (abs(n - gap), n))] += 1
     return take
 
 
-def plan(sizes: DataFrame, targets: DataFrame, epochs: int = EPOCHS) -> DataFrame:
+def plan(sizes: DataFrame, targets: DataFrame, epochs: int = EPOCHS, seed: int = SEED) -> DataFrame:
     """Rows (source_no, size, rounds, extra): every document of that length is taken ``rounds`` times and ``extra`` of them
     once more. One task holds the length counts of one source, never its documents."""
 
@@ -108,7 +112,7 @@ def plan(sizes: DataFrame, targets: DataFrame, epochs: int = EPOCHS) -> DataFram
         rounds = min(epochs, int(target // total)) if total else 1
         budget = round(target) - rounds * total if rounds < epochs else 0
         counts = dict(zip(pdf["size"].tolist(), pdf["n"].tolist()))
-        take = fill(counts, budget) if total else dict.fromkeys(counts, 0)
+        take = fill(counts, budget, seed=seed) if total else dict.fromkeys(counts, 0)
         out = pd.DataFrame({"size": list(take), "extra": list(take.values())})
         return out.assign(source_no=pdf.source_no.iloc[0], rounds=rounds)[["source_no", "size", "rounds", "extra"]]
 
@@ -150,7 +154,7 @@ def decide(docs: DataFrame, weights: Sequence[float] = WEIGHTS, epochs: int = EP
     sizes = found.join(targets.select("source", "source_no"), found.source.eqNullSafe(targets.source)).select(
         "doc_id", "source_no", "size", "draw"
     )
-    planned = cut(plan(sizes, targets, epochs))
+    planned = cut(plan(sizes, targets, epochs, seed))
     return sizes, targets, cut(thresholds(sizes, planned))
 
 
@@ -158,7 +162,8 @@ def taken_words(docs: DataFrame, weights: Sequence[float] = WEIGHTS, epochs: int
     """Per document of ``docs``: doc_id, size, source_size, target (of its source) and taken, the words the mix takes.
 
     Null and empty texts have size 0 and take nothing; null is a source of its own; a source without words has target 0;
-    ties of length are broken by a seeded number, so reruns agree. Repeated rows are documents of their own.
+    ties of length are broken by a seeded number, so reruns agree. Repeated rows are documents of their own. Other columns are
+    not read; an empty table has no rows.
     """
     sizes, targets, rules = decide(docs, weights, epochs, seed)
     joined = sizes.join(rules, ["source_no", "size"]).join(targets.drop("source"), "source_no")

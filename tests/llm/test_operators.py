@@ -94,20 +94,36 @@ def test_repair_expands_to_its_input(n, kinds):
     assert all(pairs.count(p) < 2 * token_shards.LEAST for p in set(pairs) if 50 not in p)
 
 
-def test_fill_is_exact_where_sums_reach():
+def test_fill_is_as_near_as_any_choice():
     random_ = random.Random(5)
-    for _ in range(200):
-        counts = {random_.randint(0, 40): random_.randint(1, 6) for _ in range(6)}
+    cases = [{random_.randint(0, 40): random_.randint(1, 6) for _ in range(6)} for _ in range(200)]
+    cases += [{random_.randint(500, 3000): 1 for _ in range(7)} for _ in range(50)]
+    for n, counts in enumerate(cases):
         total = sum(n * k for n, k in counts.items())
-        budget = random_.randint(0, total)
-        take = mixing.fill(counts, budget)
+        budget = random_.randint(0, min(total, 8192))
+        take = mixing.fill(counts, budget, seed=n)
         assert all(0 <= take[n] <= counts[n] for n in counts)
         reach = {0}
         for n, k in counts.items():
             reach = {r + n * j for r in reach for j in range(k + 1)}
-        nearest = min(abs(r - budget) for r in reach)
-        assert abs(sum(n * k for n, k in take.items()) - budget) <= max(nearest, max(counts))
-    assert mixing.fill({3: 10**9, 7: 5}, 10**9 + 1)[3] > 0
+        assert abs(sum(n * k for n, k in take.items()) - budget) == min(abs(r - budget) for r in reach)
+    assert mixing.fill({6000: 1, 5001: 1, 4999: 1}, 10_000) == {6000: 0, 5001: 1, 4999: 1}
+    assert mixing.fill({3: 10**9, 7: 5}, 10**9 + 1)[3] > 0 and mixing.fill({}, 5) == {} and mixing.fill({0: 3}, 0) == {0: 0}
+
+
+def test_fill_spreads_over_all_lengths():
+    """Thousands of documents of different lengths: the target is met, long and short ones are taken alike, the seed decides which."""
+    random_ = random.Random(8)
+    counts = {n: 1 for n in random_.sample(range(50, 20_000), 2400)}
+    total = sum(counts)
+    budget = total // 3
+    one, two = (mixing.fill(counts, budget, seed=s) for s in (1, 2))
+    for take in (one, two):
+        assert abs(sum(n * k for n, k in take.items()) - budget) <= 1
+        for lo in range(0, 20_000, 4000):
+            part = [take[n] for n in counts if lo <= n < lo + 4000]
+            assert 0.25 < sum(part) / len(part) < 0.42
+    assert sum(one[n] != two[n] for n in counts) > 300
 
 
 def test_mix_odd_cases(spark):
