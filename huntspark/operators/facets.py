@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from huntspark.functions.fixed import DEFAULT_COLUMNS
 from huntspark.functions.names import q
+from huntspark.plans.lineage_cut import cut
 
 # Longest preview of a script text.
 PREVIEW = 200
@@ -74,7 +75,8 @@ def facets_by_schema(df: DataFrame, schema: Column, schemas: list[str] | None =
     counted = rows.select("__schema", chosen.otherwise(pairs(df.columns)).alias("held")).groupBy("__schema", "held").agg(F.count("*").alias("count"))
     filled = [F.when(F.count(q(c)) > 0, F.lit(c)) for c in df.columns]
     present = rows.groupBy(F.col("__schema").alias("schema")).agg(F.array_compact(F.array(*filled)).alias("present"))
-    joined = counted.join(present, F.col("__schema") == F.col("schema"))
+    # written, so that the join is by key even where all rows are of one literal schema
+    joined = cut(counted).join(cut(present), F.col("__schema") == F.col("schema"))
     kept = joined.withColumn("held", F.expr("filter(held, p -> array_contains(present, p.name))")).where(~F.exists("held", lambda p: p["value"].isNull()))
     shown = F.transform(
         "held",
