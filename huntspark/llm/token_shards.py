@@ -35,6 +35,8 @@ WORDS = 300_000  # distinct words whose ids a worker keeps
 TEXTS = 4 << 20  # characters encoded at once
 LOT = 500  # words that are encoded as one string
 LETTERS_END = 0x250  # letters beyond Latin go the longer way
+# fixed values: white space other than the space and the line end
+OTHER_SPACES = "\t\v\f\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 SHARD = "part int, seq int, n_tokens long, doc_ids array<{id}>, rules binary, lengths binary, symbols binary, offsets binary"
 
 
@@ -134,6 +136,8 @@ class Encoder:
         """The words of a text that can be encoded one by one, the first of them as it stands; a word after a line end starts with it."""
         if "  " in text or " \n" in text or any(s in text for s in self.special):
             return None
+        if any(c in text for c in OTHER_SPACES) and re.search(r"\s\s", text):
+            return None
         if "\n" not in text or "\n\n" in text or "\n " in text or text[0] == "\n" or text[-1] == "\n":
             return text.split(" ")
         return text.replace("\n", " \n").split(" ")

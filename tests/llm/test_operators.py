@@ -41,6 +41,7 @@ def test_words_give_the_ids_of_whole_texts():
     """Random texts of spaces, line ends, marks and special tokens, with a cache that turns over all the time."""
     rng, tool = random.Random(9), whole_tokenizer()
     parts = ["word", "Word.", "a,", "été", "ÀÉ", "12", "it's", "_x", "日本", "<|endoftext|>", "ĉ", "\t", " ", "  ", "\n", "\n\n", "\r\n", " \n", "\n ", "...", "x\u0301", "\u00a0", "Ġ", "Ċ", "ab" * 40]
+    parts += [" \u00a0 \u00a0", "\t \t", "\u3000 ", "²", "½", "a×b", "ɏɐ", "'", "'ll", "a1!b", "--|", "[x]", "`~_", "\x00", "\x7f"]
     texts = ["".join(rng.choice(parts) + rng.choice(["", " ", " ", "\n"]) for _ in range(rng.randint(0, 12))) for _ in range(3000)]
     texts += [" ".join(rng.choice(["lorem", "Ipsum,", "été.", "x"]) + rng.choice(["", "", "\nNew", ".\nLine"]) for _ in range(30)) for _ in range(200)]
     for limit in (0, 50, 1_000_000):
