@@ -18,10 +18,11 @@ import re
 import sys
 import types
 import zlib
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -33,8 +34,8 @@ LEAST = 8  # uses of a pair that make it a rule
 PER_ROUND = 4096  # pairs replaced at once
 WORDS = 300_000  # distinct words whose ids a worker keeps
 TEXTS = 4 << 20  # characters encoded at once
-LOT = 500  # words that are encoded as one string
-LETTERS_END = 0x250  # letters beyond Latin go the longer way
+LOT = 64  # words that are encoded as one string
+LETTERS, DIGITS, SIGNS = "A-Za-zÀ-ÖØ-öø-ɏ", "0-9", r"!-&(-/:-@\[-`{-~"  # words of these need no pattern; an apostrophe does
 # fixed values: white space other than the space and the line end
 OTHER_SPACES = "\t\v\f\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 SHARD = "part int, seq int, n_tokens long, doc_ids array<{id}>, rules binary, lengths binary, symbols binary, offsets binary"
@@ -43,21 +44,6 @@ SHARD = "part int, seq int, n_tokens long, doc_ids array<{id}>, rules binary, le
 # --- ids ---------------------------------------------------------------------------------------------------------------
 
 
-class Words(dict):
-    """Numbers words as they are met; ``fresh`` lists those that have no ids yet."""
-
-    def __init__(self):
-        super().__init__()
-        self.fresh: list[str] = []
-        self.number = 0
-
-    def __missing__(self, word):
-        n = self[word] = self.number
-        self.number += 1
-        self.fresh.append(word)
-        return n
-
-
 def byte_alphabet() -> list[str]:
     """The character that stands for each byte in a byte-level vocabulary: itself where it can be seen, else the next from
     256 on."""
@@ -71,45 +57,59 @@ class Encoder:
 
     Its pattern starts a new pre-token at every single space and makes a single line end one of its own, so a text without two
     white spaces in a row is the list of its words, each encoded on its own with the space or line end before it. Other texts
-    are cut at single spaces only, or not at all, and so are texts with a special token. The ids of up to ``limit`` words are
-    kept; beyond that the rarest give way. Ids are those of the whole text either way.
+    are not cut, and so are texts with a special token. Words are numbered a batch of texts at a time, by their distinct ones.
+    The ids of up to ``limit`` words are kept; beyond that the rarest give way. Ids are those of the whole text either way.
     """
 
     def __init__(self, path: str, limit: int = WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
         self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.vocab = self.whole.get_vocab_size()
-        # words of letters need no pattern: in the vocabulary's byte alphabet they are split at spaces only
+        # where no token stands across a place at which the pattern cuts, words are merged side by side
         self.plain = Tokenizer.from_file(path)
-        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-        self.sizes = np.array([len(t) for t, _ in sorted(self.whole.get_vocab().items(), key=lambda x: x[1])], np.int64)
+        self.plain.pre_tokenizer = None
         alphabet = byte_alphabet()
-        self.table = {k: "".join(alphabet[b] for b in chr(k).encode()) for k in range(LETTERS_END)}
-        self.space, self.line = alphabet[32], alphabet[10]
-        self.table |= {ord(" "): f" {self.space}", ord("\n"): f" {self.line} ", ord("."): " .", ord(","): " ,"}
-        self.letters = re.compile(rf"\n?[^\W\d_{chr(LETTERS_END)}-\U0010ffff]+[.,]?").fullmatch
-        self.words, self.limit = Words(), limit
+        self.points = np.array([ord(c) for c in alphabet], "<u4")
+        self.simple = None if self._crosses(alphabet) else rf"^[ \n][{LETTERS}{DIGITS}{SIGNS}]+$"
+        self.sizes = np.array([len(t) for t, _ in sorted(self.whole.get_vocab().items(), key=lambda x: x[1])], np.int64)
+        self.words, self.limit = pa.array([], pa.large_string()), limit
         self.flat, self.start, self.size, self.uses = np.empty(0, np.uint32), *(np.empty(0, np.int64) for _ in range(3))
 
-    def _of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _crosses(self, alphabet: list[str]) -> bool:
+        """Whether some token stands across two kinds of characters, or before a space or beside a line end. Halves of letters
+        count as letters."""
+        byte = {c: b for b, c in enumerate(alphabet)}
+        letters = LETTERS + "\udc80-\udcbf\udcc3-\udcc9"
+        own = re.compile(rf"[{letters}{DIGITS}{SIGNS} \n]+").fullmatch
+        cut = re.compile("|".join([rf"[{k}][^{k}]|[^ {k}][{k}]" for k in (letters, DIGITS, SIGNS)] + ["[^ ] ", r"\n[^\n]", r"[^\n]\n"])).search
+        tokens = self.whole.get_vocab().keys() - set(self.special)
+        texts = (bytes(byte[c] for c in t if c in byte).decode("utf-8", "surrogateescape") for t in tokens)
+        return any(own(t) and cut(t) for t in texts)
+
+    def _of_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of ``words``, each with a space before it unless it starts with a line end; where those of a word start, and how
         many they are."""
-        words = [w if w[:1] == "\n" else " " + w for w in words]
-        simple = np.fromiter((self.letters(w[w[0] == " " :]) is not None for w in words), bool, len(words))
-        plain = [words[k] for k in np.flatnonzero(simple)]
+        none, space = (pa.scalar(x, pa.large_string()) for x in ("", " "))
+        words = pc.if_else(pc.starts_with(words, "\n"), words, pc.binary_join_element_wise(none, words, space))
+        simple = np.zeros(len(words), bool)
+        if self.simple is not None:
+            simple = pc.match_substring_regex(words, self.simple).to_numpy(zero_copy_only=False)
         counts, flats = np.zeros(len(words), np.int64), []
-        if plain:
-            lots = ["".join(plain[k : k + LOT]).translate(self.table) for k in range(0, len(plain), LOT)]
+        if simple.any():
+            plain = words.filter(pa.array(simple))
+            ends = np.cumsum(pc.binary_length(plain).to_numpy())
+            one = np.frombuffer(pc.binary_join(pa.LargeListArray.from_arrays([0, len(plain)], plain), none)[0].as_buffer(), np.uint8)
+            signs = self.points[one].tobytes().decode("utf-32-le")  # one for each byte
+            places = [0, *ends[LOT - 1 : -1 : LOT].tolist(), len(one)]
+            lots = [signs[a:z] for a, z in zip(places, places[1:])]
             flats.append(np.concatenate([np.array(e.ids, np.uint32) for e in self.plain.encode_batch_fast(lots, add_special_tokens=False)]))
-            ends = np.cumsum([len(w) if w.isascii() else len(w.encode()) for w in plain])
-            upto = np.searchsorted(np.cumsum(self.sizes[flats[0]]), ends) + 1
-            counts[simple] = np.diff(upto, prepend=0)
-        other = [k for k in np.flatnonzero(~simple)]
-        if other:
-            ids = [e.ids for e in self.whole.encode_batch_fast([words[k] for k in other], add_special_tokens=False)]
+            counts[simple] = np.diff(np.searchsorted(np.cumsum(self.sizes[flats[0]]), ends) + 1, prepend=0)
+        if not simple.all():
+            other = words.filter(pa.array(~simple)).to_numpy(zero_copy_only=False).tolist()
+            ids = [e.ids for e in self.whole.encode_batch_fast(other, add_special_tokens=False)]
             counts[~simple] = [len(x) for x in ids]
             flats.append(np.fromiter(chain.from_iterable(ids), np.uint32))
         order = np.concatenate([np.flatnonzero(simple), np.flatnonzero(~simple)])  # whose ids stand where
@@ -123,52 +123,66 @@ class Encoder:
         often = np.flatnonzero(self.uses > 1)
         if len(often) > self.limit // 2:
             often = np.sort(often[np.argsort(-self.uses[often], kind="stable")[: self.limit // 2]])
-        names, sizes = list(self.words), self.size[often]
-        self.words = Words()
-        for k in often.tolist():
-            self.words[names[k]] = self.words.number
-            self.words.number += 1
+        sizes = self.size[often]
+        self.words = self.words.take(pa.array(often))
         start = np.cumsum(sizes) - sizes
         self.flat = self.flat[np.repeat(self.start[often] - start, sizes) + np.arange(sizes.sum())]
         self.start, self.size, self.uses = start, sizes, np.ones(len(often), np.int64)
 
-    def _split(self, text: str) -> list[str] | None:
-        """The words of a text that can be encoded one by one, the first of them as it stands; a word after a line end starts with it."""
+    def _cut(self, text: str) -> str | None:
+        """A text whose words between single spaces can be encoded one by one, the first of them as it stands; a word after a
+        line end starts with it."""
         if "  " in text or " \n" in text or any(s in text for s in self.special):
             return None
         if any(c in text for c in OTHER_SPACES) and re.search(r"\s\s", text):
             return None
         if "\n" not in text or "\n\n" in text or "\n " in text or text[0] == "\n" or text[-1] == "\n":
-            return text.split(" ")
-        return text.replace("\n", " \n").split(" ")
+            return text
+        return text.replace("\n", " \n")
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text; ``texts`` should be some megabytes together."""
-        split = [self._split(t) for t in texts]
-        direct = [t if s is None else s[0] for t, s in zip(texts, split)]
-        heads = [np.array(e.ids, np.uint32) for e in self.whole.encode_batch_fast(direct, add_special_tokens=False)]
-        if self.words.number > self.limit:
+    def _numbers(self, words: pa.Array) -> np.ndarray:
+        """The number of each word; words that are met for the first time are encoded."""
+        if len(self.words) > self.limit:
             self._make_room()
-        numbers = [np.fromiter(map(self.words.__getitem__, s[1:]), np.int64, len(s) - 1) if s and len(s) > 1 else None for s in split]
-        fresh = self.words.fresh
-        if fresh:
+        found = words.dictionary_encode()
+        known = pc.index_in(found.dictionary, value_set=self.words)
+        number = known.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        new = number < 0
+        if new.any():
+            fresh = found.dictionary.filter(pa.array(new))
+            number[new] = len(self.words) + np.arange(len(fresh))
             more, at, sizes = self._of_words(fresh)
+            self.words = pa.concat_arrays([self.words, fresh])
             self.start = np.concatenate([self.start, len(self.flat) + at])
             self.flat, self.size = np.concatenate([self.flat, more]), np.concatenate([self.size, sizes])
-            self.words.fresh = []
+            self.uses = np.concatenate([self.uses, np.zeros(len(sizes), np.int64)])
+        indices = found.indices.to_numpy()
+        self.uses[number] += np.bincount(indices, minlength=len(number))
+        return number[indices]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text; ``texts`` should be some megabytes together."""
+        ready = [self._cut(t) for t in texts]
+        lists = pc.split_pattern(pa.array([t for t in ready if t is not None], pa.large_string()), " ")
+        offsets, words = lists.offsets.to_numpy(), lists.values
+        first = np.zeros(len(words), bool)
+        first[offsets[:-1]] = True
+        direct, heads = [t for t, r in zip(texts, ready) if r is None], words.filter(pa.array(first)).to_numpy(zero_copy_only=False).tolist()
+        ids = iter([np.array(e.ids, np.uint32) for e in self.whole.encode_batch_fast(heads + direct, add_special_tokens=False)])
+        head = list(islice(ids, len(heads)))
+        numbers = self._numbers(words.filter(pa.array(~first)))
+        places = (offsets - np.arange(len(offsets))).tolist()
         flat, start, size = self.flat, self.start, self.size
-        used = [n for n in numbers if n is not None]
-        self.uses = np.concatenate([self.uses, np.zeros(len(size) - len(self.uses), np.int64)])
-        if used:
-            self.uses += np.bincount(np.concatenate(used), minlength=len(size))
-        out = []
-        for head, number in zip(heads, numbers):
-            if number is None:
-                out.append(head)
+        out, k = [], 0
+        for r in ready:
+            if r is None:
+                out.append(next(ids))
                 continue
+            number = numbers[places[k] : places[k + 1]]
             sizes = size[number]
             at = np.repeat(start[number] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-            out.append(np.concatenate([head, flat[at]]))
+            out.append(np.concatenate([head[k], flat[at]]))
+            k += 1
         return out
 
 
