@@ -213,12 +213,16 @@ def repair(symbols: np.ndarray, barrier: int, least: int = LEAST, per_round: int
     end = int(number[barrier]) if present[barrier] else -1
     symbols = number[symbols]
     rules = [np.empty((0, 2), np.uint32)]
-    while len(symbols) > 1:
+    # a pair never gains uses, so places of rare pairs are looked at again only when a neighbour was replaced
+    live = np.zeros(len(symbols), bool)
+    live[:-1] = (symbols[:-1] != end) & (symbols[1:] != end)
+    while live.any():
         kind, bits = (np.uint32, 16) if ids <= 1 << 16 else (np.uint64, 32)
-        left, right = symbols[:-1], symbols[1:]
+        places = np.flatnonzero(live)
+        left, right = symbols[places], symbols[places + 1]
         pairs = left.astype(kind) << kind(bits) | right.astype(kind)
-        keys = np.sort(pairs[(left != end) & (right != end)])
-        new = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.empty(0, np.int64)
+        keys = np.sort(pairs)
+        new = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
         count = np.diff(np.append(new, len(keys)))
         keys, count = keys[new[count >= least]], count[count >= least]
         lefts: set[int] = set()
@@ -237,15 +241,17 @@ def repair(symbols: np.ndarray, barrier: int, least: int = LEAST, per_round: int
             break
         chosen = np.sort(np.array(picked, kind))
         both = np.stack([chosen >> kind(bits), chosen & kind((1 << bits) - 1)], axis=1).astype(np.uint32)
-        is_left, is_right = np.zeros(ids, bool), np.zeros(ids, bool)
-        is_left[both[:, 0]] = True
-        is_right[both[:, 1]] = True
-        at = np.flatnonzero(is_left[left] & is_right[right])
-        rule = np.searchsorted(chosen, pairs[at])
+        as_left, as_right = np.zeros(ids, np.uint8), np.zeros(ids, np.uint8)  # 1: in a frequent pair, 3: in a chosen one
+        as_left[keys >> kind(bits)], as_right[keys & kind((1 << bits) - 1)] = 1, 1
+        as_left[both[:, 0]], as_right[both[:, 1]] = 3, 3
+        able = as_left[left] & as_right[right]
+        live[places[able == 0]] = False
+        able = np.flatnonzero(able == 3)
+        rule = np.searchsorted(chosen, pairs[able])
         rule[rule == len(chosen)] = 0
-        ok = chosen[rule] == pairs[at]
-        at, rule = at[ok], rule[ok]
-        double = left[at] == right[at]
+        ok = chosen[rule] == pairs[able]
+        at, rule = places[able[ok]], rule[ok]
+        double = both[rule, 0] == both[rule, 1]
         if double.any():  # every second place of a run, counted from its start
             run = np.concatenate(([True], (at[1:] != at[:-1] + 1) | ~(double[1:] & double[:-1])))
             origin = at[np.maximum.accumulate(np.where(run, np.arange(len(at)), 0))]
@@ -254,7 +260,11 @@ def repair(symbols: np.ndarray, barrier: int, least: int = LEAST, per_round: int
         symbols[at] = (ids + rule).astype(np.uint32)
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
-        symbols = symbols[keep]
+        symbols, live = symbols[keep], live[keep]
+        at -= np.arange(len(at))
+        for near in (at[at < len(symbols) - 1], at[at > 0] - 1):
+            live[near] = (symbols[near] != end) & (symbols[near + 1] != end)
+        live[-1] = False
         rules.append(both)
         ids += len(both)
     every = np.concatenate(rules)
