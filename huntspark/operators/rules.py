@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from huntspark.functions.names import q
-from huntspark.plans.joins import hot_of_counts, split_hot_join
+from huntspark.plans.joins import hot_of_counts, measured_join
 from huntspark.plans.lineage_cut import cut
 
 # Keys of a suppression filter.
@@ -170,9 +170,7 @@ def matching_alerts(
     holds = F.expr(
         "forall(filters, f -> exists(__values, v -> v.key = f.key and v.value rlike f.pattern) <> f.inverted)"
     )
-    by_plain = split_hot_join(
-        in_row.drop("__value"), candidates, [("__vk", "__k"), ("__vv", "__v")], hot=hot
-    ).where(holds)
+    by_plain = measured_join(in_row.drop("__value"), candidates, [("__vk", "__k"), ("__vv", "__v")], hot).where(holds)
 
     out = by_plain.select(F.col("__id").alias(id_column))
     total = inverted.count()
@@ -183,7 +181,7 @@ def matching_alerts(
             (F.col("__k") == F.col("__bk")) & (F.col("pattern") == F.col("__bp")),
         ).select("__k", "__v", "rule").distinct()
         free = (
-            split_hot_join(tagged, hit_values, [("key", "__k"), ("value", "__v")], hot=hot)
+            measured_join(tagged, hit_values, [("key", "__k"), ("value", "__v")], hot)
             .groupBy("__id")
             .agg(F.count_distinct("rule").alias("__blocked"))
             .where(F.col("__blocked") == total)

@@ -34,9 +34,14 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame
 
     Beyond that it is a plain side that Spark shuffles.
     """
+    kept, small = _measured(df, limit)
+    return F.broadcast(kept) if small else kept
+
+
+def _measured(df: DataFrame, limit: int) -> tuple[DataFrame, bool]:
     kept = cut(df)
     size = kept.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
-    return F.broadcast(kept) if size <= limit else kept
+    return kept, size <= limit
 
 
 def all_present(names: list[str]) -> Column:
@@ -105,6 +110,20 @@ def split_hot_join(
     return joined.drop("__many_part", "__few_part")
 
 
+def measured_join(many: DataFrame, few: DataFrame, pairs: list[tuple[str, str]], hot: list[int]) -> DataFrame:
+    """Inner join of exploded rows to a derived side that is computed, written and measured first.
+
+    Spark takes exploded lists to be as small as the files they come from, and would send all of them through the driver. Here
+    only ``few`` is ever broadcast, and only if it is small; else both sides are shuffled, with the hot keys of ``many`` split.
+    """
+    few = few.where(all_present([f for _, f in pairs]))
+    side, small = _measured(few, BROADCAST_BYTES)
+    if not small:
+        return split_hot_join(many, side.hint("merge"), pairs, hot=hot)
+    many = many.where(all_present([m for m, _ in pairs]))
+    return many.join(F.broadcast(side), on_keys(many, side, pairs))
+
+
 def expand_left_join(
     few: DataFrame, many: DataFrame, pairs: list[tuple[str, str]], hot_rows: int = HOT_ROWS, salts: int = SALTS
 ) -> DataFrame:
