@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from huntspark.operators import rules
+from huntspark.operators import context, entities, rules
 from huntspark.plans import joins
 
 from conftest import rows
@@ -34,3 +34,41 @@ def test_measured_join_broadcasts_a_small_side_only(spark, monkeypatch):
     monkeypatch.setattr(joins, "BROADCAST_BYTES", 1)
     large = joins.measured_join(many, few, [("k", "fk")], joins.hot_keys(many, ["k"], 10))
     assert rows(large) == want and "Broadcast" not in plan_of(large)
+
+
+def test_related_events_of_sets_of_three(spark):
+    """Events with up to three terms, entities with many terms of one field and few of others: each event once per entity."""
+    rng = __import__("random").Random(3)
+    some = lambda kind, n: rng.choice([None, *[f"{kind}{k}" for k in range(n)]])
+    seen = [(some("u", 9), some("i", 3), some("u", 9), rng.choice(["x", "y", None])) for _ in range(400)]
+    events = spark.createDataFrame(seen, "u string, ip string, other string, kind string")
+    wide = [("@ip", "i0", "@user", f"u{k}") for k in range(9)] + [("@ip", "i0", "@ip", "i0")]
+    more = [("@user", f"u{e}", "@user" if t[0] == "u" else "@ip", t) for e in range(6) for t in {f"u{e}", f"u{rng.randrange(9)}", f"i{rng.randrange(3)}"}]
+    terms = spark.createDataFrame(wide + more + wide[:2] + [("@user", "gone", "@user", "nobody"), ("@user", "u1", None, "i1")], "entity_field string, entity_value string, field string, value string")
+    want = {}
+    for entity in {t[:2] for t in wide + more}:
+        held = {t[2:] for t in wide + more if t[:2] == entity}
+        for u, ip, other, kind in seen:
+            if held & {("@user", u), ("@user", other), ("@ip", ip)}:
+                want[*entity, kind] = want.get((*entity, kind), 0) + 1
+    got = context.context_related_events(events, terms, {"@user": ["u", "other"], "@ip": ["ip"]}, ["kind"])
+    assert rows(got) == sorted(((*k, n) for k, n in want.items()), key=repr)
+
+
+def test_shared_pairs_come_from_the_side_with_fewer(spark):
+    """An address with 200 users: its pairs are those of the address, not the 50 of each of the users."""
+    pairs = spark.range(200 * 50).selectExpr("struct('@ip' as field, 'i'||(id % 50) as value) as one", "struct('@user' as field, 'u'||(id div 50) as value) as two")
+    users = spark.range(200).selectExpr("struct('@ip' as entity_field, 'i7' as entity_value) as entity", "struct('@user' as field, 'u'||id as value) as term")
+    own = spark.range(1).selectExpr("struct('@ip' as entity_field, 'i7' as entity_value) as entity", "struct('@ip' as field, 'i7' as value) as term")
+    assert context.shared_pairs(users.unionByName(own), pairs).count() == 200
+
+
+def test_contexts_give_rows_without_a_shuffle_of_them(spark):
+    alerts = spark.range(60).selectExpr(
+        "'a'||id as id", "'CLOSED' as status", "cast(null as string) as resolution_reason", "'t'||(id % 3) as `metadata.title`",
+        "array('userName:u'||(id % 5), 'sourceIpAddress:i'||(id % 4)) as `entities.entities`")
+    terms = context.related_terms(context.seeds(entities.normalize_entities(alerts)), entities.relate_entities(alerts))
+    found = context.context_resolved(alerts, terms)
+    top = plan_of(found).split("Join")[0]
+    assert "Exchange" not in top and "Aggregate" not in top
+    assert found.count() == found.distinct().count() > 0
