@@ -14,6 +14,7 @@ from huntspark.functions.indicators import event_schema, is_domain, is_hash, is_
 from huntspark.functions.names import q, require
 from huntspark.operators.inflate import inflate_raw_events, lookup_first_environment
 from huntspark.plans.joins import broadcast_if_small
+from huntspark.plans.lineage_cut import cut
 
 LOGICALS = {"ip": IP_COLUMNS, "domain": DOMAIN_COLUMNS, "hash": HASH_COLUMNS}
 SEARCHES: dict[str, Callable[[Column], Column]] = {"domain": is_domain, "hash": is_hash, "ip": is_ip_address}
@@ -203,12 +204,25 @@ def get_ti_pubs(df: DataFrame, publications: DataFrame, id_column: str) -> DataF
 def row_publications(df: DataFrame, publications: DataFrame, id_column: str) -> DataFrame:
     """(row id, publication_id, indicators) for every publication that names an indicator of a row, and how many of them.
 
-    One row per pair, never a list: a popular indicator may have any number of publications and rows. The join is by
-    indicator, which adaptive execution splits on either side.
+    One row per pair, never a list: a popular indicator may have any number of publications and rows. Rows with the same indicators,
+    and publications with the same ones, are compared once: only different sets are joined by indicator and counted. The pairs
+    themselves come out of the last join, which adaptive execution splits on either side, and are not aggregated.
     """
     arrays = [q(c) for c in df.columns if c.startswith("logicals.")]
     require(df, id_column)
-    held = df.select(q(id_column), F.explode(F.array_distinct(F.flatten(F.array(*arrays)))).alias("__held"))
+    held = df.select(q(id_column).alias("__id"), F.explode(F.array_distinct(F.flatten(F.array(*arrays)))).alias("indicator")).distinct()
     named = publications.select("indicator", "publication_id").distinct()
-    pairs = held.join(named, F.col("__held") == F.col("indicator"))
-    return pairs.groupBy(q(id_column), "publication_id").agg(F.count_distinct("indicator").alias("indicators"))
+    known = held.join(named.select("indicator").distinct(), "indicator", "left_semi")
+    rows, row_sets = _by_set(known, "__id", "__a")
+    texts, text_sets = _by_set(named, "publication_id", "__b")
+    met = row_sets.join(text_sets.hint("merge"), "indicator").groupBy("__a", "__b").agg(F.count("*").alias("indicators"))
+    pairs = rows.join(met.hint("merge"), "__a").join(texts.hint("merge"), "__b")
+    return pairs.select(F.col("__id").alias(id_column), "publication_id", "indicators")
+
+
+def _by_set(held: DataFrame, key: str, number: str) -> tuple[DataFrame, DataFrame]:
+    """Of distinct (key, indicator): each key with the number of its set of indicators, and the indicators of every numbered set."""
+    sets = cut(held.groupBy(key).agg(F.sort_array(F.collect_list("indicator")).alias("__set")).where(F.size("__set") > 0))
+    numbered = cut(sets.select("__set").distinct().withColumn(number, F.monotonically_increasing_id()))
+    keyed = sets.join(numbered.hint("merge"), "__set").select(key, number)
+    return keyed, numbered.select(number, F.explode("__set").alias("indicator"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from huntspark.operators import context, entities, rules
+from huntspark.operators import context, entities, facets, ioc, rules
 from huntspark.plans import joins
 
 from conftest import rows
@@ -72,3 +72,29 @@ def test_contexts_give_rows_without_a_shuffle_of_them(spark):
     top = plan_of(found).split("Join")[0]
     assert "Exchange" not in top and "Aggregate" not in top
     assert found.count() == found.distinct().count() > 0
+
+
+def test_row_publications_of_copies_are_not_aggregated(spark):
+    """Copies of few texts: each pair once, out of the last join; ids that repeat or are null are one row each."""
+    held = [(k % 90 if k else None, ["a", "b"] if k % 3 else ["b", "zz", None]) for k in range(100)]
+    named = [("a" if k % 2 else "b", k % 40 if k else None) for k in range(60)] + [("b", 1), (None, 2)]
+    df = spark.createDataFrame(held, "id int, `logicals.domain` array<string>")
+    pubs = spark.createDataFrame(named, "indicator string, publication_id int")
+    of_row, of_pub, want = {}, {}, []
+    for k, values in held:
+        of_row.setdefault(k, set()).update(v for v in values if v)
+    for v, p in named:
+        of_pub.setdefault(p, set()).update([v] if v else [])
+    want = [(k, p, len(a & b)) for k, a in of_row.items() for p, b in of_pub.items() if a & b]
+    got = ioc.row_publications(df, pubs, "id")
+    assert "Aggregate" not in plan_of(got).split("Join")[0]
+    assert rows(got) == sorted(want, key=repr)
+
+
+def test_facets_are_counted_by_values_without_names(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(facets, "cut", lambda df: written.append(df.schema) or df)
+    df = spark.createDataFrame([("zzz", "r1", None), ("zzz", "r2", None), ("http", "r3", "1.1.1.1"), ("zzz", "r1", None)], "schema string, resource_id string, source_address string")
+    got = facets.facets_by_schema(df, F.col("schema"))
+    assert rows(got) == [("http", "source_address=1.1.1.1", 1), ("zzz", "schema=zzz|resource_id=r1", 2), ("zzz", "schema=zzz|resource_id=r2", 1)]
+    assert written[0]["held"].dataType.simpleString() == "array<string>"
