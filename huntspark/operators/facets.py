@@ -59,25 +59,27 @@ def facets_by_schema(df: DataFrame, schema: Column, schemas: list[str] | None =
     """(schema, facet, count) over each schema's columns, of all schemas or the given ones.
 
     A schema without columns of its own is counted by all columns of ``df``. Columns that a schema never fills are left out of
-    its facets; rows that miss one of the others do not count. One aggregation counts whole values for all schemas, another
-    finds the filled columns: a row for each schema.
+    its facets; rows that miss one of the others do not count. One aggregation counts whole values for all schemas, without
+    their names, which the schema gives; another finds the filled columns: a row for each schema.
     """
     rows = df.withColumn("__schema", schema)
     rows = rows.where(F.col("__schema").isin(schemas) if schemas is not None else F.col("__schema").isNotNull())
     listed = {s: _names(df, s, extra or []) for s in FACET_SCHEMAS}
 
-    def pairs(names: list[str]) -> Column:
-        if not names:
-            return F.array().cast("array<struct<name string, value string>>")
-        return F.array(*[F.struct(F.lit(c).alias("name"), q(c).cast("string").alias("value")) for c in names])
+    def texts(of) -> Column:
+        """``of`` each column that counts for the row's schema."""
+        def each(names: list[str]) -> Column:
+            return F.array(*[of(c) for c in names]).cast("array<string>")
 
-    chosen = reduce(lambda chain, s: chain.when(F.col("__schema") == s, pairs(listed[s])), FACET_SCHEMAS, F.when(F.lit(False), pairs([])))
-    counted = rows.select("__schema", chosen.otherwise(pairs(df.columns)).alias("held")).groupBy("__schema", "held").agg(F.count("*").alias("count"))
+        return reduce(lambda chain, s: chain.when(F.col("__schema") == s, each(listed[s])), FACET_SCHEMAS, F.when(F.lit(False), each([]))).otherwise(each(df.columns))
+
+    counted = rows.select("__schema", texts(lambda c: q(c).cast("string")).alias("held")).groupBy("__schema", "held").agg(F.count("*").alias("count"))
     filled = [F.when(F.count(q(c)) > 0, F.lit(c)) for c in df.columns]
     present = rows.groupBy(F.col("__schema").alias("schema")).agg(F.array_compact(F.array(*filled)).alias("present"))
     # written, so that the join is by key even where all rows are of one literal schema
     joined = cut(counted).join(cut(present), F.col("__schema") == F.col("schema"))
-    kept = joined.withColumn("held", F.expr("filter(held, p -> array_contains(present, p.name))")).where(~F.exists("held", lambda p: p["value"].isNull()))
+    named = joined.withColumn("held", F.zip_with(texts(F.lit), "held", lambda n, v: F.struct(n.alias("name"), v.alias("value"))))
+    kept = named.withColumn("held", F.expr("filter(held, p -> array_contains(present, p.name))")).where(~F.exists("held", lambda p: p["value"].isNull()))
     shown = F.transform(
         "held",
         lambda p: F.concat(p["name"], F.lit("="), F.when(p["name"] == "decoded_block_text", F.substring(p["value"], 1, PREVIEW)).otherwise(p["value"])),
