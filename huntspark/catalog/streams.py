@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import nullcontext
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from huntspark.functions.times import convert_alert_timestamps, convert_event_ti
 from huntspark.operators.alerts import normalize_creator_name
 from huntspark.operators.entities import FIELD, VALUE, entity_rows
 from huntspark.operators.lookups import lookup_tenants
+from huntspark.plans.joins import hot_keys
 from huntspark.plans.lineage_cut import shared_folder
 from huntspark.streaming import streams as op
 
@@ -31,11 +33,12 @@ def fresh_folder(i: Inputs) -> str:
     return f"{shared_folder(i.spark)}/stream-{uuid.uuid4().hex}"
 
 
-def drain(df: DataFrame, i: Inputs, folder: str | None = None) -> DataFrame:
-    """All rows the stream gives, written as parquet to the shared folder."""
+def drain(df: DataFrame, i: Inputs, folder: str | None = None, on_disk: bool = False) -> DataFrame:
+    """All rows the stream gives, written as parquet to the shared folder; ``on_disk`` is for state that grows with the rows."""
     folder = folder or fresh_folder(i)
     writer = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{folder}/state")
-    run = writer.trigger(availableNow=True).start(f"{folder}/rows")
+    with op.state_on_disk(i.spark) if on_disk else nullcontext():
+        run = writer.trigger(availableNow=True).start(f"{folder}/rows")
     run.awaitTermination()
     return i.spark.read.schema(df.schema).parquet(f"{folder}/rows")
 
@@ -80,8 +83,9 @@ def stream_correlate(i: Inputs) -> DataFrame:
         "event_id", "host_id", "pid", "timewindow",
         "timestamp_micros(1704067200000000 + cast(split_part(event_id, '-', 1) as bigint) % 43200 * 60000000) as ts",
     )
-    met = drain(op.correlate_matches(processes, flows, "2 days"), i)
-    whole = op.with_unmatched(met, i("f_processes").selectExpr("event_id", "process_correlation_id", timed), "event_id")
+    hot = hot_keys(i("f_netflow").select(op.netflow_key().alias("key")), ["key"])
+    pairs = op.correlate_matches(processes, flows, "2 days", hot=hot).select("event_id", "netflow_event_id")
+    whole = op.with_unmatched(drain(pairs, i, on_disk=True), i("f_processes").select("event_id"), "event_id")
     return whole.select("event_id", F.coalesce("netflow_event_id", F.lit("")).alias("flow"))
 
 

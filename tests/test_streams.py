@@ -1,10 +1,13 @@
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from conftest import rows
 from pyspark.sql import functions as F
 
+from huntspark.catalog import QUERIES
+from huntspark.catalog import streams as catalog_streams
+from huntspark.plans import joins
 from huntspark.streaming import streams
 
 
@@ -110,3 +113,58 @@ def test_salted_matches_and_the_rest(spark, tmp_path):
     ]
     assert len(want) > 200
     assert rows(whole, "id", "netflow_id") == sorted([*want, (4, None), (5, None)], key=repr)
+
+
+def state_rows(spark, folder, side):
+    """The rows one side of a join has in the state of a stopped run."""
+    return spark.read.format("statestore").option("joinSide", side).load(str(folder))
+
+
+def test_only_hot_processes_are_copied(spark, tmp_path):
+    """Events of the hot process stand once for each salt in the state, all others once; the pairs are those without a list."""
+    processes = spark.range(6).selectExpr("id", "if(id = 5, null, if(id < 2, 'h:1:2', 'h:9:'||id)) as process_correlation_id", "timestamp'2024-01-01 00:00:00' as ts")
+    flows = spark.range(120).selectExpr("id", "'h' as host_id", "if(id % 4 = 0, '9', '1') as pid", "if(id % 4 = 0, '3', '2') as timewindow", "timestamp'2024-01-01 00:00:00' + id * interval '20' minute as ts")
+    hot = joins.hot_keys(flows.select(streams.netflow_key().alias("key")), ["key"], 50)
+    assert len(hot) == 1
+    got = {}
+    for name, known in (("hot", hot), ("none", []), ("all", None)):
+        frames = [stream(spark, tmp_path / name / side, [frame]) for side, frame in (("p", processes), ("f", flows))]
+        met = streams.correlate_matches(*frames, salts=5, hot=known).select("id", "netflow_id")
+        with streams.state_on_disk(spark):
+            got[name] = rows(run(met, tmp_path, name + "-out"))
+    assert got["hot"] == got["none"] == got["all"]
+    assert len(got["hot"]) == 2 * sum(1 for k in range(73) if k % 4) + sum(1 for k in range(73) if k % 4 == 0)
+    assert [state_rows(spark, tmp_path / f"{n}-out-state", "left").count() for n in ("hot", "none", "all")] == [2 * 5 + 3, 5, 5 * 5]
+    assert state_rows(spark, tmp_path / "hot-out-state", "right").count() == 120
+
+
+def test_stream_correlate_keeps_each_event_once_and_off_the_heap(spark, tmp_path, monkeypatch):
+    """The whole query on tables of its own: pairs and lonely events, each event once in a state that RocksDB holds."""
+    start = "timestamp'2024-01-01 00:00:00'"
+    events = spark.range(600).selectExpr("if(id = 597, 3, id) as event_id", f"{start} + (id % 9) * interval '5' hour as ts", "id % 7 as user_id", "'dns' as event_type", "1.0D as value", "'x1' as props")
+    flows = spark.range(900).selectExpr("id * 7 as l_orderkey", "id % 4 + 1 as l_partkey", "if(id % 10 = 0, id, id % 4 + 1) % 3 as l_suppkey", "cast(id % 4 + 1 as int) as l_linenumber", "1.0D as l_quantity", f"{start} as l_shipdate")
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    flows.write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(catalog_streams, "fresh_folder", lambda i: str(tmp_path / "run"))
+    settings = {k: spark.conf.get(k, None) for k in streams.STATE_ON_DISK}
+    got = rows(QUERIES["stream_correlate"](spark, str(tmp_path)))
+    assert {k: spark.conf.get(k, None) for k in streams.STATE_ON_DISK} == settings
+    named = {}
+    for f in flows.collect():
+        key = f"h{f.l_orderkey % 150}:{f.l_partkey % 60}:{f.l_suppkey % 3}"
+        name = "-".join(str(x) for x in (f.l_orderkey, f.l_linenumber, f.l_partkey, f.l_suppkey))
+        named.setdefault(key, []).append((name, datetime(2024, 1, 1) + timedelta(minutes=f.l_orderkey % 43200)))
+    want, met = [], set()
+    for e in events.collect():
+        pid = e.event_id // 150 + 1
+        for name, at in named.get(f"h{e.event_id % 150}:{pid}:{pid % 3}", []) if e.event_id % 101 != 100 else []:
+            if e.ts <= at <= e.ts + timedelta(days=2):
+                want.append((e.event_id, name))
+                met.add(e.event_id)
+    assert len(want) > 200
+    want += [(e.event_id, "") for e in events.collect() if e.event_id not in met]
+    assert got == sorted(want, key=repr)
+    keyed = events.where("event_id % 101 <> 100").count()
+    assert state_rows(spark, tmp_path / "run/state", "left").count() == keyed
+    assert state_rows(spark, tmp_path / "run/state", "right").count() == 900
+    assert "RocksDB" in (tmp_path / "run/state/offsets/0").read_text()
