@@ -28,12 +28,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from huntspark.llm.common import give_back
+
 END = 2
 SHARD_TOKENS = 1 << 20
 LEAST = 8  # uses of a pair that make it a rule
 PER_ROUND = 4096  # pairs replaced at once
 WORDS = 300_000  # distinct words whose ids a worker keeps
-TEXTS = 4 << 20  # characters encoded at once
+TEXTS = 2 << 20  # characters encoded at once
 LOT = 64  # words that are encoded as one string
 LETTERS, DIGITS, SIGNS = "A-Za-zÀ-ÖØ-öø-ɏ", "0-9", r"!-&(-/:-@\[-`{-~"  # words of these need no pattern; an apostrophe does
 # fixed values: white space other than the space and the line end
@@ -69,8 +71,7 @@ class Encoder:
         self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.vocab = self.whole.get_vocab_size()
         # where no token stands across a place at which the pattern cuts, words are merged side by side
-        self.plain = Tokenizer.from_file(path)
-        self.plain.pre_tokenizer = None
+        self.plain = Tokenizer(self.whole.model)  # without a pattern; the vocabulary stands in memory once
         alphabet = byte_alphabet()
         self.points = np.array([ord(c) for c in alphabet], "<u4")
         self.simple = None if self._crosses(alphabet) else rf"^[ \n][{LETTERS}{DIGITS}{SIGNS}]+$"
@@ -162,6 +163,11 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text; ``texts`` should be some megabytes together."""
+        found = self._ids(texts)
+        give_back()
+        return found
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
         ready = [self._cut(t) for t in texts]
         lists = pc.split_pattern(pa.array([t for t in ready if t is not None], pa.large_string()), " ")
         offsets, words = lists.offsets.to_numpy(), lists.values
@@ -324,7 +330,7 @@ def id_at(shard: dict, doc: int, position: int, barrier: int, end: int = END) ->
 def shards(docs: DataFrame, tokenizer: str, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """``docs`` (doc_id, text) as shard rows. Null texts are empty: only the end id. Documents come by ascending doc_id, null
     first, rows that repeat side by side; each is whole in one shard, however long it is. A task holds one shard and
-    a megabyte of text beyond its Arrow batch."""
+    two megabytes of text beyond its Arrow batch, and gives back what encoding and Re-Pair took."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     id_type = rows.schema["doc_id"].dataType
 
@@ -333,7 +339,11 @@ def shards(docs: DataFrame, tokenizer: str, shard_tokens: int = SHARD_TOKENS) ->
         part, seq, ids, held, size = TaskContext.get().partitionId(), 0, [], [], 0
 
         def shard():
-            rules, symbols = repair(np.concatenate(held), tool.vocab)
+            flat = np.concatenate(held)
+            held.clear()
+            rules, symbols = repair(flat, tool.vocab)
+            del flat
+            give_back()
             ends = np.flatnonzero(symbols == tool.vocab) + 1
             parts = (rules, expansion_lengths(rules, tool.vocab), symbols, np.concatenate(([0], ends)))
             blobs = [pa.array([x.astype("<u4").tobytes()], pa.binary()) for x in parts]
@@ -395,6 +405,8 @@ def read_documents(spark: SparkSession, path: str, vocab: int, end: int = END) -
                     pa.array([one["part"].as_py()] * n, pa.int32()), pa.array([one["seq"].as_py()] * n, pa.int32()), pa.array(np.arange(n), pa.int32()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "within", "n_tokens", "ids_crc32", "part", "seq", "place"])
+                del one, rules, symbols, offsets, lengths, size, ids
+                give_back()
 
     docs = files.select("part", "seq", "doc_ids", "rules", "lengths", "symbols", "offsets").mapInArrow(
         run, f"doc_id {id_type.simpleString()}, within long, n_tokens long, ids_crc32 long, part int, seq int, place int"
