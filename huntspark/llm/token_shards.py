@@ -15,10 +15,11 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import sys
 import types
 import zlib
-from itertools import chain, islice
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,9 @@ LEAST = 8  # uses of a pair that make it a rule
 PER_ROUND = 4096  # pairs replaced at once
 WORDS = 300_000  # distinct words whose ids a worker keeps
 TEXTS = 2 << 20  # characters encoded at once
+SLOTS = 18  # bits of a table of pairs
 LOT = 64  # words that are encoded as one string
+WHITE, ALNUM = np.frombuffer(b" \n", np.uint8), np.frombuffer((string.ascii_letters + string.digits).encode(), np.uint8)
 LETTERS, DIGITS, SIGNS = "A-Za-zÀ-ÖØ-öø-ɏ", "0-9", r"!-&(-/:-@\[-`{-~"  # words of these need no pattern; an apostrophe does
 # fixed values: white space other than the space and the line end
 OTHER_SPACES = "\t\v\f\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -58,9 +61,10 @@ class Encoder:
     """Whole texts to ids with a byte-level tokenizer file of the tokenizers library, as it encodes them by itself.
 
     Its pattern starts a new pre-token at every single space and makes a single line end one of its own, so a text without two
-    white spaces in a row is the list of its words, each encoded on its own with the space or line end before it. Other texts
-    are not cut, and so are texts with a special token. Words are numbered a batch of texts at a time, by their distinct ones.
-    The ids of up to ``limit`` words are kept; beyond that the rarest give way. Ids are those of the whole text either way.
+    white spaces in a row is the list of its words, each encoded on its own with the space or line end before it. Signs after an
+    ASCII letter or digit are words of their own where no token stands across such a place. Other texts are not cut, and so are
+    texts with a special token. Words are numbered a batch of texts at a time, by their distinct ones. The ids of up to
+    ``limit`` words are kept; beyond that the rarest give way. Ids are those of the whole text either way.
     """
 
     def __init__(self, path: str, limit: int = WORDS):
@@ -76,6 +80,8 @@ class Encoder:
         self.points = np.array([ord(c) for c in alphabet], "<u4")
         self.simple = None if self._crosses(alphabet) else rf"^[ \n][{LETTERS}{DIGITS}{SIGNS}]+$"
         self.sizes = np.array([len(t) for t, _ in sorted(self.whole.get_vocab().items(), key=lambda x: x[1])], np.int64)
+        own = re.compile(f"[{SIGNS}]" if self.simple is not None else "(?!)").match
+        self.signs = bytes(bool(own(chr(b))) for b in range(256))
         self.words, self.limit = pa.array([], pa.large_string()), limit
         self.flat, self.start, self.size, self.uses = np.empty(0, np.uint32), *(np.empty(0, np.int64) for _ in range(3))
 
@@ -91,11 +97,8 @@ class Encoder:
         return any(own(t) and cut(t) for t in texts)
 
     def _of_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of ``words``, each with a space before it unless it starts with a line end; where those of a word start, and how
-        many they are."""
-        none, space = (pa.scalar(x, pa.large_string()) for x in ("", " "))
-        words = pc.if_else(pc.starts_with(words, "\n"), words, pc.binary_join_element_wise(none, words, space))
-        simple = np.zeros(len(words), bool)
+        """Ids of ``words``; where those of a word start, and how many they are."""
+        none, simple = pa.scalar("", pa.large_string()), np.zeros(len(words), bool)
         if self.simple is not None:
             simple = pc.match_substring_regex(words, self.simple).to_numpy(zero_copy_only=False)
         counts, flats = np.zeros(len(words), np.int64), []
@@ -130,16 +133,27 @@ class Encoder:
         self.flat = self.flat[np.repeat(self.start[often] - start, sizes) + np.arange(sizes.sum())]
         self.start, self.size, self.uses = start, sizes, np.ones(len(often), np.int64)
 
-    def _cut(self, text: str) -> str | None:
-        """A text whose words between single spaces can be encoded one by one, the first of them as it stands; a word after a
-        line end starts with it."""
+    def _can_cut(self, text: str) -> bool:
+        """Whether the words of a text can be encoded one by one."""
         if "  " in text or " \n" in text or any(s in text for s in self.special):
-            return None
-        if any(c in text for c in OTHER_SPACES) and re.search(r"\s\s", text):
-            return None
-        if "\n" not in text or "\n\n" in text or "\n " in text or text[0] == "\n" or text[-1] == "\n":
-            return text
-        return text.replace("\n", " \n")
+            return False
+        return not (any(c in text for c in OTHER_SPACES) and re.search(r"\s\s", text))
+
+    def _cut(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """The words of all ``texts``, as they stand side by side, and how many there are before each text and at the end. A word
+        starts with its text, at a space, at a line end without white space beside it, or with a sign after a letter or digit."""
+        parts = [t.encode() for t in texts]
+        data, offsets = b"".join(parts), np.cumsum([0, *map(len, parts)])
+        one = np.frombuffer(data, np.uint8)
+        first = one == 32
+        signs = np.flatnonzero(np.frombuffer(data.translate(self.signs), bool))
+        first[signs[np.isin(one[signs - 1], ALNUM)]] = True
+        lines = np.flatnonzero(one == 10)
+        first[lines[~np.isin(one[lines - 1], WHITE) & ~np.isin(one[(lines + 1) % len(one)], WHITE)]] = True
+        first[offsets[:-1][np.diff(offsets) > 0]] = True
+        start = np.flatnonzero(first)
+        ends = pa.py_buffer(np.append(start, len(one)))
+        return pa.LargeStringArray.from_buffers(len(start), ends, pa.py_buffer(data)), np.searchsorted(start, offsets)
 
     def _numbers(self, words: pa.Array) -> np.ndarray:
         """The number of each word; words that are met for the first time are encoded."""
@@ -168,28 +182,15 @@ class Encoder:
         return found
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        ready = [self._cut(t) for t in texts]
-        lists = pc.split_pattern(pa.array([t for t in ready if t is not None], pa.large_string()), " ")
-        offsets, words = lists.offsets.to_numpy(), lists.values
-        first = np.zeros(len(words), bool)
-        first[offsets[:-1]] = True
-        direct, heads = [t for t, r in zip(texts, ready) if r is None], words.filter(pa.array(first)).to_numpy(zero_copy_only=False).tolist()
-        ids = iter([np.array(e.ids, np.uint32) for e in self.whole.encode_batch_fast(heads + direct, add_special_tokens=False)])
-        head = list(islice(ids, len(heads)))
-        numbers = self._numbers(words.filter(pa.array(~first)))
-        places = (offsets - np.arange(len(offsets))).tolist()
-        flat, start, size = self.flat, self.start, self.size
-        out, k = [], 0
-        for r in ready:
-            if r is None:
-                out.append(next(ids))
-                continue
-            number = numbers[places[k] : places[k + 1]]
-            sizes = size[number]
-            at = np.repeat(start[number] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-            out.append(np.concatenate([head[k], flat[at]]))
-            k += 1
-        return out
+        ready = [self._can_cut(t) for t in texts]
+        words, places = self._cut([t for t, r in zip(texts, ready) if r])
+        whole = iter(self.whole.encode_batch_fast([t for t, r in zip(texts, ready) if not r], add_special_tokens=False))
+        number = self._numbers(words)
+        sizes = self.size[number]
+        upto = np.concatenate(([0], np.cumsum(sizes)))
+        ids = self.flat[np.repeat(self.start[number] - upto[:-1], sizes) + np.arange(upto[-1])]
+        cut = iter(np.split(ids, upto[places[1:-1]]))
+        return [next(cut) if r else np.array(next(whole).ids, np.uint32) for r in ready]
 
 
 def encoder(path: str) -> Encoder:
@@ -203,6 +204,29 @@ def encoder(path: str) -> Encoder:
 # --- Re-Pair -----------------------------------------------------------------------------------------------------------
 
 
+def find(frequent: np.ndarray, chosen: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places in ``pairs`` that hold none of the ``frequent`` (some that hold none may be left out); places of one of the
+    ``chosen`` among them, and which one. ``chosen`` is sorted. Pairs lie in a table by a hash; only chosen ones that share a
+    slot are searched."""
+    factor, bits = (0x9E3779B1, 32) if pairs.dtype == np.uint32 else (0x9E3779B97F4A7C15, 64)
+    slots, slots_chosen, slots_frequent = (x * x.dtype.type(factor) >> x.dtype.type(bits - SLOTS) for x in (pairs, chosen, frequent))
+    held, number = np.zeros(1 << SLOTS, np.int32), np.arange(len(chosen), dtype=np.int32)
+    mark = np.zeros(1 << SLOTS, np.uint8)  # 1: of a frequent pair, 2: of a chosen one
+    mark[slots_frequent], mark[slots_chosen], held[slots_chosen] = 1, 2, number
+    found = mark[slots]
+    some = np.flatnonzero(found == 2)
+    rule, asked = held[slots[some]], pairs[some]
+    ok = chosen[rule] == asked
+    shared = slots_chosen[held[slots_chosen] != number]
+    if len(shared):
+        several = np.zeros(1 << SLOTS, bool)
+        several[shared] = True
+        rest = np.flatnonzero(several[slots[some]] & ~ok)
+        rule[rest] = np.minimum(np.searchsorted(chosen, asked[rest]), len(chosen) - 1)
+        ok[rest] = chosen[rule[rest]] == asked[rest]
+    return np.flatnonzero(found == 0), some[ok], rule[ok]
+
+
 def repair(symbols: np.ndarray, barrier: int, least: int = LEAST, per_round: int = PER_ROUND) -> tuple[np.ndarray, np.ndarray]:
     """(rules, symbols): frequent neighbours replaced by nonterminals from ``barrier`` + 1 on, until no pair occurs ``least``
     times. Nothing is paired with ``barrier``.
@@ -247,29 +271,25 @@ def repair(symbols: np.ndarray, barrier: int, least: int = LEAST, per_round: int
             break
         chosen = np.sort(np.array(picked, kind))
         both = np.stack([chosen >> kind(bits), chosen & kind((1 << bits) - 1)], axis=1).astype(np.uint32)
-        as_left, as_right = np.zeros(ids, np.uint8), np.zeros(ids, np.uint8)  # 1: in a frequent pair, 3: in a chosen one
-        as_left[keys >> kind(bits)], as_right[keys & kind((1 << bits) - 1)] = 1, 1
-        as_left[both[:, 0]], as_right[both[:, 1]] = 3, 3
-        able = as_left[left] & as_right[right]
-        live[places[able == 0]] = False
-        able = np.flatnonzero(able == 3)
-        rule = np.searchsorted(chosen, pairs[able])
-        rule[rule == len(chosen)] = 0
-        ok = chosen[rule] == pairs[able]
-        at, rule = places[able[ok]], rule[ok]
-        double = both[rule, 0] == both[rule, 1]
+        rare, at, rule = find(keys, chosen, pairs)
+        live[places[rare]] = False
+        at = places[at]
+        double = both[:, 0] == both[:, 1]
         if double.any():  # every second place of a run, counted from its start
-            run = np.concatenate(([True], (at[1:] != at[:-1] + 1) | ~(double[1:] & double[:-1])))
-            origin = at[np.maximum.accumulate(np.where(run, np.arange(len(at)), 0))]
-            ok = ~double | ((at - origin) % 2 == 0)
+            of = np.flatnonzero(double[rule])
+            run = np.concatenate(([True], at[of[1:]] != at[of[:-1]] + 1))[: len(of)]
+            origin = at[of][np.maximum.accumulate(np.where(run, np.arange(len(of)), 0))]
+            ok = np.ones(len(at), bool)
+            ok[of] = (at[of] - origin) % 2 == 0
             at, rule = at[ok], rule[ok]
         symbols[at] = (ids + rule).astype(np.uint32)
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
         symbols, live = symbols[keep], live[keep]
         at -= np.arange(len(at))
+        word = symbols != end
         for near in (at[at < len(symbols) - 1], at[at > 0] - 1):
-            live[near] = (symbols[near] != end) & (symbols[near + 1] != end)
+            live[near] = word[near] & word[near + 1]
         live[-1] = False
         rules.append(both)
         ids += len(both)
@@ -336,6 +356,7 @@ def shards(docs: DataFrame, tokenizer: str, shard_tokens: int = SHARD_TOKENS) ->
 
     def run(batches):
         tool = encoder(tokenizer)
+        end = np.array([tool.vocab], np.uint32)
         part, seq, ids, held, size = TaskContext.get().partitionId(), 0, [], [], 0
 
         def shard():
@@ -360,9 +381,9 @@ def shards(docs: DataFrame, tokenizer: str, shard_tokens: int = SHARD_TOKENS) ->
                 if chars < TEXTS and k + 1 < b.num_rows:
                     continue
                 for n, found in enumerate(tool.encode(texts)):
-                    held.append(np.append(found, np.uint32(tool.vocab)))
+                    held += [found, end]
                     ids.append(b.column(0).slice(first + n, 1))
-                    size += len(held[-1])
+                    size += len(found) + 1
                     if size >= shard_tokens:
                         yield shard()
                         seq, ids, held, size = seq + 1, [], [], 0

@@ -54,6 +54,16 @@ def test_words_give_the_ids_of_whole_texts():
                 assert ids.tolist() == tool.encode(text, add_special_tokens=False).ids, text
 
 
+def test_words_are_known_without_the_signs_after_them():
+    """A word before twenty different signs is one word, encoded once; 20 of 21 were encoded again before."""
+    tool, words = token_shards.Encoder(BPE), [a + b + c for a in "bdfgklmn" for b in "aeiou" for c in "lmnrst"]
+    texts = [" ".join(w + sign for w in words) for sign in "!#$%&()*+,-./:;<=>?"] + ["\n".join(words)]
+    whole = whole_tokenizer()
+    for text, ids in zip(texts, tool.encode(texts)):
+        assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert len(tool.words) <= 2 * len(words) + 21
+
+
 ENCODE = """
 import random, re, sys
 from huntspark.llm import token_shards
@@ -121,6 +131,31 @@ def test_repair_expands_to_its_input(n, kinds):
     assert all(pairs.count(p) < 2 * token_shards.LEAST for p in set(pairs) if 50 not in p)
 
 
+def test_repair_leaves_out_pairs_that_are_rare(monkeypatch):
+    """Rounds sort 1.3 pairs for each symbol; where only the symbols of a pair had to be frequent beside others it was 2.2."""
+    random_, sort, seen = np.random.default_rng(8), np.sort, []
+    phrases = random_.integers(0, 2000, (2000, 3))
+    parts = [np.append(phrases[k], random_.integers(0, 2000, 15)) for k in random_.integers(0, 2000, 30_000)]
+    symbols = np.concatenate(parts).astype(np.uint32)
+    monkeypatch.setattr(np, "sort", lambda a, *args, **kw: seen.append(len(a)) or sort(a, *args, **kw))
+    rules, short = token_shards.repair(symbols, 2000)
+    assert (token_shards.expand(short, rules, 2000) == symbols).all()
+    assert sum(seen) < 1.7 * len(symbols)
+
+
+@pytest.mark.parametrize("kind,bits", [(np.uint32, 16), (np.uint64, 32)])
+def test_find_is_exact_where_pairs_share_a_slot(kind, bits, monkeypatch):
+    monkeypatch.setattr(token_shards, "SLOTS", 5)
+    random_ = np.random.default_rng(bits)
+    pairs = (random_.integers(0, 40, 5000).astype(kind) << kind(bits)) | random_.integers(0, 40, 5000).astype(kind)
+    frequent = np.unique(pairs)[::7]
+    chosen = frequent[::3]
+    rare, at, rule = token_shards.find(frequent, chosen, pairs)
+    assert at.tolist() == np.flatnonzero(np.isin(pairs, chosen)).tolist()
+    assert (chosen[rule] == pairs[at]).all()
+    assert not np.isin(pairs[rare], frequent).any()
+
+
 def test_fill_is_as_near_as_any_choice():
     random_ = random.Random(5)
     cases = [{random_.randint(0, 40): random_.randint(1, 6) for _ in range(6)} for _ in range(200)]
