@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from huntspark.operators import context, entities, facets, ioc, rules
@@ -98,3 +99,71 @@ def test_facets_are_counted_by_values_without_names(spark, monkeypatch):
     got = facets.facets_by_schema(df, F.col("schema"))
     assert rows(got) == [("http", "source_address=1.1.1.1", 1), ("zzz", "schema=zzz|resource_id=r1", 2), ("zzz", "schema=zzz|resource_id=r2", 1)]
     assert written[0]["held"].dataType.simpleString() == "array<string>"
+
+
+def shuffled(plan) -> int:
+    """Rows that the exchanges of a plan that has run wrote."""
+    name = plan.getClass().getSimpleName()
+    inside = [plan.executedPlan()] if name == "AdaptiveSparkPlanExec" else [plan.plan()] if name.endswith("QueryStageExec") else [plan.children().apply(k) for k in range(plan.children().size())]
+    own = plan.metrics().apply("shuffleRecordsWritten").value() if name == "ShuffleExchangeExec" else 0
+    return own + sum(map(shuffled, inside))
+
+
+def hubs(spark, status: str):
+    """60 users of 4 addresses, each user with each address in an alert of its own."""
+    return spark.range(240).selectExpr(
+        "'a'||id as id", f"'{status}' as status", "cast(null as string) as resolution_reason", "'t'||(id % 3) as `metadata.title`",
+        "cast(null as string) as investigation_id" if status == "OPEN" else "'i'||(id % 5) as investigation_id",
+        "array('userName:u'||(id div 4), 'sourceIpAddress:i'||(id % 4)) as `entities.entities`")
+
+
+@pytest.mark.parametrize("kind", ["investigations", "resolved", "open"])
+def test_contexts_shuffle_fewer_rows_than_they_give(spark, kind):
+    """Each address is a term of 61 entities: neither their rows nor the numbers of their sets are dealt out one by one."""
+    alerts = hubs(spark, "OPEN" if kind == "open" else "CLOSED")
+    seed = context.seeds(entities.normalize_entities(alerts))
+    terms = context.related_terms(seed, entities.relate_entities(alerts))
+    found = {
+        "investigations": lambda: context.context_investigations(alerts, terms),
+        "resolved": lambda: context.context_resolved(alerts, terms),
+        "open": lambda: context.context_open_alerts(alerts, seed, terms),
+    }[kind]()
+    got = rows(found)
+    assert len(got) == len(set(got)) > 9000
+    assert shuffled(found._jdf.queryExecution().executedPlan()) < len(got)
+
+
+@pytest.mark.parametrize("block", [2, 4096])
+def test_contexts_by_blocks_against_brute_force(spark, monkeypatch, block):
+    """Sets of up to four terms that entities have several of, terms that come twice, entities without a field, titles and seeds that
+    come twice or are null: with lists and groups cut into blocks, and in one."""
+    monkeypatch.setattr(context, "BLOCK", block)
+    monkeypatch.setattr(context, "TASK_ROWS", 50 if block == 2 else 4_000_000)
+    rng = __import__("random").Random(5)
+    kinds = {"userName": "@user", "sourceIpAddress": "@ip", "hostName": "@host"}
+    listed = [[f"{k}:{k[0]}{rng.randrange(n)}" for k, n in [("userName", 9), ("sourceIpAddress", 3), ("sourceIpAddress", 3), ("hostName", 4)] if rng.random() < 0.8] for _ in range(150)]
+    data = [(f"a{k}", rng.choice(["OPEN", "CLOSED", None]), "r", rng.choice(["x", "y", None]), rng.choice([None, "i1"]), e) for k, e in enumerate(listed)]
+    alerts = spark.createDataFrame(data, "id string, status string, resolution_reason string, `metadata.title` string, investigation_id string, `entities.entities` array<string>")
+    pool = sorted({(kinds[t.split(":")[0]], t.split(":")[1]) for e in listed for t in e})
+    asked = {(rng.choice(["@user", None]), f"e{k}"): rng.sample(pool, rng.randrange(1, 9)) for k in range(12)} | {("@ip", "every"): pool, ("@ip", None): pool[:3]}
+    flat = [(*e, *t) for e, ts in asked.items() for t in [*ts, *ts[:1]]] + [("@ip", "every", None, "s0"), ("@ip", "gone", "@ip", "nothing")]
+    terms = spark.createDataFrame(flat, "entity_field string, entity_value string, field string, value string")
+    own = [("@ip", "every", "x"), ("@ip", "every", "x"), ("@ip", "every", "z"), *[(f, v, rng.choice(["x", "y", None])) for f, v in asked if v not in ("every", "e3")]]
+    seed = spark.createDataFrame(own, "entity_field string, entity_value string, title string")
+
+    def brute(keep, key):
+        counts = {}
+        for entity, ts in asked.items():
+            for a in data:
+                if keep(a) and {(kinds[t.split(":")[0]], t.split(":")[1]) for t in a[5]} & set(ts):
+                    k = (*entity, ",".join(sorted(a[5])), *key(a))
+                    counts[k] = counts.get(k, 0) + 1
+        return [(*k, n) for k, n in counts.items()]
+
+    want = brute(lambda a: a[1] == "CLOSED", lambda a: (a[3], a[1], a[2]))
+    assert rows(context.context_resolved(alerts, terms)) == sorted(want, key=repr)
+    want = brute(lambda a: a[4], lambda a: (a[3], a[4], a[1]))
+    assert rows(context.context_investigations(alerts, terms)) == sorted(want, key=repr)
+    free = brute(lambda a: a[1] == "OPEN" and not a[4], lambda a: (a[3],))
+    want = [r for r in free for s in own if r[1] is not None and s[1] == r[1] and None not in (s[2], r[3]) and s[2] != r[3]]
+    assert rows(context.context_open_alerts(alerts, seed, terms)) == sorted(want, key=repr)
